@@ -31,7 +31,7 @@ def is_variant_key(key: Column) -> Column:
 
 def variant_name(key: Column) -> Column:
     """Variant of a set key."""
-    return F.regexp_replace(key, f"^{VARIANT_PREFIX}", "")
+    return F.substr(key, F.lit(len(VARIANT_PREFIX) + 1))
 
 
 def overlap_key(first: Column, second: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.keys import counter_key
 from tallyline.operators.enrich import enrich, join_lookup, unassigned
-from tallyline.operators.route import by_company, split
+from tallyline.operators.route import by_company
 from tallyline.sources.lookup import Lookup
 
 
@@ -35,15 +35,14 @@ def stock_movement(movements: DataFrame, lookup: Lookup, company: str = "1") ->
     has to be joined through a shuffle, so the movements are summed per branch and sku before it.
     """
     if lookup.fits_broadcast:
-        wanted = split(enrich(movements, lookup), by_company(company), 2)[0]
-        return count_by_key(wanted)
+        return count_by_key(enrich(movements, lookup).where(by_company(company) == 0))
     summed = (
         unassigned(movements)
         .groupBy("branch", "sku")
         .agg(F.try_sum(F.col("value").cast("bigint")).alias("value"))
     )
     found = join_lookup(summed, lookup, ["branch"])
-    wanted = split(found, by_company(company), 2)[0]
+    wanted = found.where(by_company(company) == 0)
     # Only the wanted company's overflow is an error.
     checked = F.when(F.col("value").isNull(), F.raise_error(F.lit("counter overflow"))).otherwise(F.col("value"))
     return count_by_key(wanted.withColumn("value", checked.cast("bigint")))

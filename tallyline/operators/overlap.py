@@ -8,7 +8,7 @@ makes up a large part of the data is one row per task after the map-side step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.keys import is_variant_key, overlap_key, set_key, variant_name
@@ -38,18 +38,23 @@ def discover_variants(sets: DataFrame) -> DataFrame:
 
 
 def _combinations(sets: DataFrame) -> DataFrame:
-    """The sorted variants of each member. ``sets`` has no duplicate rows."""
+    """The sorted variant sets each member is in. ``sets`` has no duplicate rows."""
     return (
         sets.where(is_variant_key(F.col("set_key")))
         .groupBy("member")
-        .agg(F.sort_array(F.collect_list(variant_name(F.col("set_key")))).alias("variants"))
+        .agg(F.sort_array(F.collect_list("set_key")).alias("keys"))
     )
 
 
-def _pairs_within(variants: str) -> tuple[Column, Column]:
-    """For use after ``posexplode`` gave ``at, dim_a``: the first variant and those sorted behind it."""
-    behind = F.slice(variants, F.col("at") + 2, F.size(variants))
-    return F.col("dim_a"), F.explode(behind).alias("dim_b")
+def _pairs_within(combinations: DataFrame, *keep: str) -> DataFrame:
+    """Each two variants of a combination as ``dim_a, dim_b``, in sorted order."""
+    behind = F.slice("keys", F.col("at") + 2, F.size("keys"))
+    pairs = combinations.select(*keep, "keys", F.posexplode("keys").alias("at", "first")).select(
+        *keep, "first", F.explode(behind).alias("second")
+    )
+    return pairs.select(
+        variant_name(F.col("first")).alias("dim_a"), variant_name(F.col("second")).alias("dim_b"), *keep
+    )
 
 
 def variant_pairs(variants: DataFrame) -> DataFrame:
@@ -71,12 +76,8 @@ def variant_pairs(variants: DataFrame) -> DataFrame:
 
 def variant_overlap(sets: DataFrame) -> DataFrame:
     """Number of common users for every pair of variants, zero included. ``sets`` has no duplicate rows."""
-    counted = _combinations(sets).groupBy("variants").agg(F.count("*").alias("users"))
-    common = counted.select("users", "variants", F.posexplode("variants").alias("at", "dim_a")).select(
-        *_pairs_within("variants"), "users"
-    )
-    variants = counted.select(F.explode("variants").alias("variant")).distinct()
-    none = variant_pairs(variants).withColumn("users", F.lit(0).cast("bigint"))
+    common = _pairs_within(_combinations(sets).groupBy("keys").agg(F.count("*").alias("users")), "users")
+    none = variant_pairs(discover_variants(sets)).withColumn("users", F.lit(0).cast("bigint"))
     return (
         common.unionByName(none)
         .groupBy("dim_a", "dim_b")
@@ -86,13 +87,8 @@ def variant_overlap(sets: DataFrame) -> DataFrame:
 
 def overlap_members(sets: DataFrame) -> DataFrame:
     """Members of the intersection of every pair of variants. ``sets`` has no duplicate rows."""
-    pairs = (
-        _combinations(sets)
-        .select("member", "variants", F.posexplode("variants").alias("at", "dim_a"))
-        .select("member", *_pairs_within("variants"))
-    )
-    key = overlap_key(set_key("dim_a"), set_key("dim_b"))
-    return pairs.select(key.alias("overlap_key"), "member")
+    pairs = _pairs_within(_combinations(sets), "member")
+    return pairs.select(overlap_key(set_key("dim_a"), set_key("dim_b")).alias("overlap_key"), "member")
 
 
 def store_overlap(members: DataFrame, path: str) -> None:

@@ -37,7 +37,7 @@ def _once(messages: DataFrame, parsed: Column) -> DataFrame:
 def parse_cdc(messages: DataFrame) -> DataFrame:
     """Change messages in ``value`` to movements ``branch, company, sku, value`` with ``ts_ms``.
 
-    All of create, update, snapshot and delete count alike: only the row image in ``after`` is read.
+    An empty message parses to nothing and any other unreadable one keeps its text. All of create, update, snapshot and delete count alike: only the row image in ``after`` is read.
     """
     parsed = _once(
         messages,
@@ -47,12 +47,12 @@ def parse_cdc(messages: DataFrame) -> DataFrame:
         ),
     )
     body, after = F.col("m.body"), F.col("m.body.after")
-    ts_ms = body["ts_ms"].try_cast("decimal(38,6)").try_cast("bigint")
+    fraction = body["ts_ms"].try_cast("decimal(38,6)")
+    ts_ms = F.coalesce(body["ts_ms"].try_cast("bigint"), fraction.try_cast("bigint"))
     present = after["branch_id_no"].isNotNull() & after["sku_no"].isNotNull() & after["value"].isNotNull()
     whole = after["value"].rlike("^[+-]?[0-9]+$") & after["value"].try_cast("bigint").isNotNull()
     reason = (
-        F.when(F.col("value").isNull() | (F.trim("value") == ""), MALFORMED)
-        .when(body["_malformed"].isNotNull() | F.col("m.fields").isNull(), MALFORMED)
+        F.when(body.isNull() | body["_malformed"].isNotNull() | F.col("m.fields").isNull(), MALFORMED)
         .when(F.size(F.array_except("m.fields", F.lit(CDC_FIELDS))) > 0, UNKNOWN_FIELD)
         .when((body["ts_ms"] != "") & ts_ms.isNull(), MALFORMED)
         .when(~F.coalesce(present, F.lit(False)), MISSING_FIELD)
@@ -83,8 +83,7 @@ def parse_web(messages: DataFrame) -> DataFrame:
         | body["timestamp"].isNull()
     )
     reason = (
-        F.when(F.col("value").isNull() | (F.trim("value") == ""), MALFORMED)
-        .when(body["_malformed"].isNotNull(), MALFORMED)
+        F.when(body.isNull() | body["_malformed"].isNotNull(), MALFORMED)
         .when(absent, MISSING_FIELD)
         .when(uid.isNull() | experiment.isNull(), BAD_VALUE)
         .when(moment.isNull(), BAD_TIMESTAMP)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import keys, time
 from tallyline.operators import counters, enrich, minute, overlap, parse, route
-from tallyline.plans import inputs
+from tallyline.plans import inputs, reports
 from tallyline.session import scratch_dir, use_utc
 from tallyline.sources import lookup, messages, store
 from tallyline.streaming import stock, web
@@ -38,8 +38,7 @@ def query(run: Query) -> Query:
 
 
 def _movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = inputs.table(spark, sf_dir, "lineitem")
-    return parse.accepted(parse.parse_cdc(inputs.cdc_messages(lineitem)))
+    return parse.accepted(parse.parse_cdc(inputs.change_messages(spark, sf_dir)))
 
 
 def _branches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +72,7 @@ def _trailing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def event_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages from a text source, counted per operation."""
     path = scratch_dir(spark, "messages")
-    inputs.cdc_messages(inputs.table(spark, sf_dir, "lineitem")).write.text(path)
+    inputs.change_messages(spark, sf_dir).write.text(path)
     op = F.get_json_object("value", "$.op").alias("op")
     return messages.read_messages(spark, path).groupBy(op).agg(F.count("*").alias("n"))
 
@@ -85,8 +84,7 @@ def cdc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    damaged = inputs.damaged_cdc_messages(inputs.table(spark, sf_dir, "lineitem"))
-    return parse.reject_counts(parse.parse_cdc(damaged))
+    return parse.reject_counts(parse.parse_cdc(inputs.damaged_cdc_messages(spark, sf_dir)))
 
 
 @query
@@ -337,7 +335,7 @@ def stream_stock_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stock-stream")
     totals = store.PartialStore(spark, f"{root}/store", store.STOCK_FAMILIES)
     branches = lookup.RefreshingLookup(lambda: _branches(spark, sf_dir))
-    changes = inputs.cdc_messages(messages.stream_table(spark, f"{sf_dir}/lineitem.parquet"))
+    changes = inputs.streamed_change_messages(spark, sf_dir)
     stock.start_stock_stream(
         changes, totals, branches, f"{root}/checkpoint", trigger=AVAILABLE_NOW
     ).awaitTermination()
@@ -355,25 +353,25 @@ def _web_store(spark: SparkSession, sf_dir: str) -> store.PartialStore:
 
 @query
 def stream_visits_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, _ = _trailing(spark, sf_dir)
-    return minute.visits_report(axis, _web_store(spark, sf_dir).read("minutes"))
+    asof = time.latest_minute(_events(spark, sf_dir))
+    return reports.visits(_web_store(spark, sf_dir), REPORT_MINUTES, asof)
 
 
 @query
 def stream_users_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, _ = _trailing(spark, sf_dir)
-    return minute.users_report(axis, _web_store(spark, sf_dir).read("minutes"))
+    asof = time.latest_minute(_events(spark, sf_dir))
+    return reports.users(_web_store(spark, sf_dir), REPORT_MINUTES, asof)
 
 
 @query
 def stream_experiments_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, _ = _trailing(spark, sf_dir)
-    return minute.experiments_report(axis, _web_store(spark, sf_dir).read("experiments"))
+    asof = time.latest_minute(_events(spark, sf_dir))
+    return reports.experiments(_web_store(spark, sf_dir), REPORT_MINUTES, asof)
 
 
 @query
 def stream_variant_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlap.variant_overlap(_web_store(spark, sf_dir).read("variant_users"))
+    return reports.variants_overlap(_web_store(spark, sf_dir))
 
 
 @query

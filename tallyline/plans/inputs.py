@@ -7,12 +7,25 @@ from pyspark.sql import functions as F
 
 from tallyline.operators.overlap import variant_users
 from tallyline.sources.lookup import scan_lookup
+from tallyline.sources.messages import stream_table
+
+# Key of a lineitem row.
+LINE = ["l_orderkey", "l_linenumber"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, scan: DataFrame, *by: str) -> DataFrame:
+    """Give every core a share of a table that is stored in fewer pieces than there are cores.
+
+    A table of some size has far more pieces and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else rows
+
+
 def _operation() -> Column:
     """Changes are creates, updates and snapshot reads in turn."""
     return F.element_at(F.lit(["c", "u", "r"]), F.col("l_linenumber") % 3 + 1)
@@ -40,7 +53,7 @@ def cdc_messages(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(cdc_message().alias("value"))
 
 
-def damaged_cdc_messages(lineitem: DataFrame) -> DataFrame:
+def damaged_cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change messages of which six in ten cannot be used, each tenth in another way."""
     kind = F.col("l_orderkey") % 10
     without_sku = F.struct(F.col("l_suppkey").alias("branch_id_no"), F.lit(1).alias("value"))
@@ -58,7 +71,20 @@ def damaged_cdc_messages(lineitem: DataFrame) -> DataFrame:
         .when(kind == 5, cdc_message(after=fraction))
         .otherwise(cdc_message())
     )
-    return lineitem.select(damaged.alias("value"))
+    lineitem = table(spark, sf_dir, "lineitem")
+    return spread(lineitem, lineitem, *LINE).select(damaged.alias("value"))
+
+
+def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change messages of the whole lineitem table."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return cdc_messages(spread(lineitem, lineitem, *LINE))
+
+
+def streamed_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a stream."""
+    stream = stream_table(spark, f"{sf_dir}/lineitem.parquet")
+    return cdc_messages(spread(stream, table(spark, sf_dir, "lineitem"), *LINE))
 
 
 def branch_lookup(supplier: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,10 @@ class PartialStore:
         if family.by_day:
             rows = rows.withColumn("day", F.to_date("minute"))
             by = (*by, "day")
+        if by:
+            # One task per folder instead of a file of every task in every folder; a folder too large for
+            # one task is split by the adaptive execution.
+            rows = rows.hint("rebalance", *[F.col(name) for name in by])
         # Static, so that nothing of an earlier attempt survives whatever the session prefers.
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(*by).parquet(folder)
@@ -112,9 +117,12 @@ class PartialStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def read(self, table: str) -> DataFrame:
-        """The metric itself: partials folded."""
-        return self.families[table].merge(self.partials(table))
+    def read(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
+        """The metric itself: partials folded. A span of days reads the folders of those days only."""
+        partials = self.partials(table)
+        if self.families[table].by_day and start and end:
+            partials = partials.where(F.col("day").between(start, end))
+        return self.families[table].merge(partials)
 
     def fold(self, run: str, before: int) -> int:
         """Merge everything but batches of ``run`` from number ``before`` on into a new generation.
