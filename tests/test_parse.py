@@ -1,0 +1,130 @@
+"""Hand-made messages with their expected row or reason."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from tallyline.operators.parse import accepted, parse_cdc, parse_web, reject_counts, rejected
+
+ROW = '"branch_id_no":1,"sku_no":"s"'
+
+
+def after(value: str) -> str:
+    return '{"after":{%s,"value":%s}}' % (ROW, value)
+
+
+GOOD = {
+    "plain": (after("5"), ("1", "s", "5", 0)),
+    "quoted value": (after('"5"'), ("1", "s", "5", 0)),
+    "negative": (after("-4"), ("1", "s", "-4", 0)),
+    "zero": (after("0"), ("1", "s", "0", 0)),
+    "largest": (after("9223372036854775807"), ("1", "s", "9223372036854775807", 0)),
+    "trailing text": (after("5") + " trailing", ("1", "s", "5", 0)),
+    "leading space": (" \n" + after("5"), ("1", "s", "5", 0)),
+    "ts_ms text": ('{"ts_ms":"12","after":{%s,"value":5}}' % ROW, ("1", "s", "5", 12)),
+    "ts_ms number": ('{"ts_ms":12,"after":{%s,"value":5}}' % ROW, ("1", "s", "5", 12)),
+    "ts_ms fraction": ('{"ts_ms":12.7,"after":{%s,"value":5}}' % ROW, ("1", "s", "5", 12)),
+    "ts_ms null": ('{"ts_ms":null,"after":{%s,"value":5}}' % ROW, ("1", "s", "5", 0)),
+    "ts_ms empty": ('{"ts_ms":"","after":{%s,"value":5}}' % ROW, ("1", "s", "5", 0)),
+    "op number": ('{"op":7,"after":{%s,"value":5}}' % ROW, ("1", "s", "5", 0)),
+    "delete with image": ('{"op":"d","after":{%s,"value":5}}' % ROW, ("1", "s", "5", 0)),
+    "all fields": (
+        '{"before":{"z":[1]},"after":{%s,"value":5,"more":{}},"source":{"a":{"b":1}},"op":"u","ts_ms":3,'
+        '"transaction":[1]}' % ROW,
+        ("1", "s", "5", 3),
+    ),
+    "nested sku": ('{"after":{"branch_id_no":true,"sku_no":{"a":1},"value":5}}', ("true", '{"a":1}', "5", 0)),
+    "fraction branch": ('{"after":{"branch_id_no":5.0,"sku_no":"s","value":5}}', ("5.0", "s", "5", 0)),
+    "empty branch": ('{"after":{"branch_id_no":"","sku_no":"s","value":5}}', ("", "s", "5", 0)),
+    "last duplicate wins": ('{"after":{%s,"value":1,"value":6}}' % ROW, ("1", "s", "6", 0)),
+    "repeated field": ('{"op":"c","op":"u","after":{%s,"value":6}}' % ROW, ("1", "s", "6", 0)),
+}
+
+BAD = {
+    "not json": ("not json", "malformed"),
+    "empty": ("", "malformed"),
+    "blank": ("   ", "malformed"),
+    "no message": (None, "malformed"),
+    "array": ("[1]", "malformed"),
+    "null literal": ("null", "malformed"),
+    "number": ("5", "malformed"),
+    "cut off": (after("5")[:-1], "malformed"),
+    "single quotes": ("{'after':{'branch_id_no':1,'sku_no':'s','value':5}}", "malformed"),
+    "not a number": ('{"after":{"branch_id_no":NaN,"sku_no":"s","value":5}}', "malformed"),
+    "after a number": ('{"after":5}', "malformed"),
+    "after a list": ('{"after":[1]}', "malformed"),
+    "source a number": ('{"source":5,"after":{%s,"value":5}}' % ROW, "malformed"),
+    "ts_ms word": ('{"ts_ms":"soon","after":{%s,"value":5}}' % ROW, "malformed"),
+    "ts_ms true": ('{"ts_ms":true,"after":{%s,"value":5}}' % ROW, "malformed"),
+    "extra field": ('{"extra":1,"after":{%s,"value":5}}' % ROW, "unknown_field"),
+    "web event": ('{"uid":1,"experiment_id":2,"variant":"1","timestamp":"2024-01-01T00:00:00Z"}', "unknown_field"),
+    "after null": ('{"after":null}', "missing_field"),
+    "no after": ('{"op":"d"}', "missing_field"),
+    "no fields": ("{}", "missing_field"),
+    "no value": ('{"after":{%s}}' % ROW, "missing_field"),
+    "null branch": ('{"after":{"branch_id_no":null,"sku_no":"s","value":5}}', "missing_field"),
+    "fraction": (after("5.0"), "bad_value"),
+    "exponent": (after("1e3"), "bad_value"),
+    "word": (after('"abc"'), "bad_value"),
+    "object": (after("{}"), "bad_value"),
+    "padded": (after('" 5 "'), "bad_value"),
+    "too large": (after("9223372036854775808"), "bad_value"),
+    "empty value": (after('""'), "bad_value"),
+}
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], T.StructType([T.StructField("value", T.StringType())]))
+
+
+@pytest.mark.parametrize("kind", ["good", "bad"])
+def test_cdc_messages(spark, kind):
+    cases = GOOD if kind == "good" else BAD
+    # One row per case, in order, so that a failure names its case.
+    rows = parse_cdc(frame(spark, [text for text, _ in cases.values()]).coalesce(1)).collect()
+    for (name, (text, expected)), row in zip(cases.items(), rows, strict=True):
+        assert row["message"] == text
+        if kind == "good":
+            assert row["reason"] is None, name
+            assert (row["branch"], row["sku"], row["value"], row["ts_ms"]) == expected, name
+            assert row["company"] == ""
+        else:
+            assert row["reason"] == expected, name
+
+
+def test_sides_are_complete(spark):
+    texts = [t for t, _ in GOOD.values()] + [t for t, _ in BAD.values()]
+    parsed = parse_cdc(frame(spark, texts))
+    assert accepted(parsed).count() == len(GOOD)
+    assert {r["message"] for r in rejected(parsed).collect()} == {t for t, _ in BAD.values()}
+    counts = {r["reason"]: r["n"] for r in reject_counts(parsed).collect()}
+    assert sum(counts.values()) == len(BAD)
+    assert counts["bad_value"] == 7
+
+
+def test_no_messages(spark):
+    parsed = parse_cdc(frame(spark, []))
+    assert accepted(parsed).count() == 0 and reject_counts(parsed).count() == 0
+
+
+def test_web_messages(spark):
+    event = '{"uid":%s,"experiment_id":%s,"variant":%s,"timestamp":%s}'
+    texts = {
+        event % (7, 3, '"default"', '"2024-02-29T23:59:59Z"'): None,
+        event % ('"7"', 3, '"1"', '"2024-01-01T00:00:00Z"'): None,
+        event % (7, 3, '"1"', '"2024-01-01 00:00:00"'): "bad_timestamp",
+        event % (7, 3, '"1"', '"2024-02-30T00:00:00Z"'): "bad_timestamp",
+        event % ('"x"', 3, '"1"', '"2024-01-01T00:00:00Z"'): "bad_value",
+        event % (7, "null", '"1"', '"2024-01-01T00:00:00Z"'): "missing_field",
+        '{"uid":7}': "missing_field",
+        "": "malformed",
+        "[]": "malformed",
+    }
+    parsed = parse_web(frame(spark, texts))
+    assert {r["message"]: r["reason"] for r in parsed.collect()} == texts
+    first = accepted(parsed).where("variant = 'default'").first()
+    assert (first["uid"], first["experiment_id"]) == (7, 3)
+    assert first["timestamp"] == datetime(2024, 2, 29, 23, 59, 59)
