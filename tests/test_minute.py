@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.functions.keys import stored_int
+from tallyline.functions.time import (
+    current_minute,
+    latest_minute,
+    minute_floor,
+    minute_key,
+    newest_first,
+    trailing_minutes,
+    within_trailing,
+)
+from tallyline.operators import minute
+
+EVENT = "uid BIGINT, experiment_id INT, variant STRING, timestamp TIMESTAMP_NTZ"
+ASOF = datetime(2024, 1, 1, 0, 2)
+
+
+def events(spark, rows):
+    return spark.createDataFrame([(u, e, "1", t) for u, e, t in rows], EVENT)
+
+
+def series(report):
+    return {r["timestamp"]: r["metric"] for r in report.collect()}
+
+
+def test_axis(spark):
+    axis = newest_first(trailing_minutes(spark, 3, ASOF)).collect()
+    assert [r[0] for r in axis] == [datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 0), datetime(2023, 12, 31, 23, 59)]
+    assert [r[0] for r in trailing_minutes(spark, 1, ASOF).collect()] == [datetime(2024, 1, 1, 0, 1)]
+    assert trailing_minutes(spark, 0, ASOF).count() == 0
+    assert trailing_minutes(spark, -5, ASOF).count() == 0
+
+
+def test_axis_defaults_to_the_last_ten_minutes(spark):
+    before = current_minute()
+    newest = trailing_minutes(spark).agg(F.max("timestamp"), F.count("*")).first()
+    assert newest[1] == 10
+    assert before - timedelta(minutes=1) <= newest[0] <= current_minute() - timedelta(minutes=1)
+
+
+def test_floor_and_key(spark):
+    frame = events(spark, [(1, 1, datetime(2024, 2, 29, 9, 5, 59, 999999)), (2, 1, datetime(2024, 2, 29, 9, 6))])
+    made = frame.orderBy("uid").select(minute_floor("timestamp"), minute_key("visitCounter", "timestamp")).collect()
+    assert made[0] == (datetime(2024, 2, 29, 9, 5), "visitCounter_2024_02_29T09_05")
+    assert made[1] == (datetime(2024, 2, 29, 9, 6), "visitCounter_2024_02_29T09_06")
+
+
+def test_range_takes_whole_minutes_before_asof(spark):
+    at = [datetime(2023, 12, 31, 23, 59, 59), datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1, 59), ASOF]
+    kept = within_trailing(events(spark, [(i, 1, t) for i, t in enumerate(at)]), 2, ASOF)
+    assert sorted(r["uid"] for r in kept.collect()) == [1, 2]
+
+
+def test_latest_minute(spark):
+    assert latest_minute(events(spark, [(1, 1, datetime(2024, 1, 1, 0, 2, 30))])) == ASOF
+    assert latest_minute(events(spark, [])) >= current_minute() - timedelta(minutes=1)
+
+
+def test_reports_are_dense(spark):
+    got = events(
+        spark,
+        [
+            (1, 5, datetime(2024, 1, 1, 0, 0)),
+            (1, 6, datetime(2024, 1, 1, 0, 0, 30)),
+            (2, 6, datetime(2024, 1, 1, 0, 0, 59)),
+            (3, None, datetime(2024, 1, 1, 0, 1)),
+        ],
+    )
+    axis = trailing_minutes(spark, 3, ASOF)
+    first, second, third = datetime(2023, 12, 31, 23, 59), datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1)
+    parts = minute.minute_partials(got)
+    assert series(minute.visits_report(axis, parts)) == {first: 0.0, second: 3.0, third: 1.0}
+    assert series(minute.users_report(axis, parts)) == {first: 0.0, second: 2.0, third: 1.0}
+    live = minute.experiments_report(axis, minute.experiment_partials(got))
+    assert series(live) == {first: 0.0, second: 2.0, third: 0.0}
+
+
+@pytest.mark.parametrize("minutes", [0, 1])
+def test_reports_without_events(spark, minutes):
+    none = events(spark, [])
+    axis = trailing_minutes(spark, minutes, ASOF)
+    parts = minute.minute_partials(none)
+    assert list(series(minute.visits_report(axis, parts)).values()) == [0.0] * minutes
+    assert list(series(minute.users_report(axis, parts)).values()) == [0.0] * minutes
+    assert list(series(minute.experiments_report(axis, minute.experiment_partials(none))).values()) == [0.0] * minutes
+
+
+def test_sketch_error_of_one_and_of_merged_partials(spark):
+    users = 100_000
+    frame = spark.range(users * 3).selectExpr(
+        f"id % {users} AS uid", "1 AS experiment_id", "'1' AS variant", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS timestamp",
+        "id % 7 AS batch_id",
+    )
+    for partials in (minute.minute_partials(frame), minute.merge_minutes(minute.minute_partials(frame, "batch_id"))):
+        row = partials.select("visits", F.hll_sketch_estimate("users").alias("users")).first()
+        assert row["visits"] == users * 3
+        assert abs(row["users"] - users) / users <= 0.03
+
+
+def test_stored_values(spark):
+    frame = spark.createDataFrame([(None,), ("(nil)",), ("7",), ("-3",)], "value STRING")
+    assert [r[0] for r in frame.coalesce(1).select(stored_int("value")).collect()] == [0, 0, 7, -3]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        spark.createDataFrame([("x",)], "value STRING").select(stored_int("value")).collect()
