@@ -1,9 +1,9 @@
 """User sets of experiment variants and how they overlap.
 
-A set is kept as distinct rows ``set_key, member``. Overlaps are read off the combination of variants each
-member is in: members with the same combination are counted first, and only the combinations are expanded
-to pairs. With V variants that is at most 2^V rows instead of one per member, and a member or a variant that
-makes up a large part of the data is one row per task after the map-side step.
+A set is kept as rows ``set_key, member``; the operators do not mind a row that comes twice. Overlaps are
+read off the combination of variants each member is in: members with the same combination are counted first,
+and only the combinations are expanded to pairs. That takes one shuffle of the rows, and a member or a
+variant that makes up a large part of them is one combination per task after the map-side step.
 """
 
 from __future__ import annotations
@@ -19,11 +19,15 @@ PAIR_BLOCKS = 8
 MAX_MATRIX_COLUMNS = 10_000
 
 
+def memberships(events: DataFrame) -> DataFrame:
+    """One set row per event that has a user and a variant."""
+    known = events.where(F.col("uid").isNotNull() & F.col("variant").isNotNull())
+    return known.select(set_key("variant").alias("set_key"), F.col("uid").cast("string").alias("member"))
+
+
 def variant_users(events: DataFrame) -> DataFrame:
     """Distinct users of each variant, over all time."""
-    return events.select(
-        set_key("variant").alias("set_key"), F.col("uid").cast("string").alias("member")
-    ).distinct()
+    return memberships(events).distinct()
 
 
 def merge_sets(sets: DataFrame) -> DataFrame:
@@ -38,11 +42,11 @@ def discover_variants(sets: DataFrame) -> DataFrame:
 
 
 def _combinations(sets: DataFrame) -> DataFrame:
-    """The sorted variant sets each member is in. ``sets`` has no duplicate rows."""
+    """The sorted variant sets each member is in."""
     return (
         sets.where(is_variant_key(F.col("set_key")))
         .groupBy("member")
-        .agg(F.sort_array(F.collect_list("set_key")).alias("keys"))
+        .agg(F.sort_array(F.collect_set("set_key")).alias("keys"))
     )
 
 
@@ -75,7 +79,7 @@ def variant_pairs(variants: DataFrame) -> DataFrame:
 
 
 def variant_overlap(sets: DataFrame) -> DataFrame:
-    """Number of common users for every pair of variants, zero included. ``sets`` has no duplicate rows."""
+    """Number of common users for every pair of variants, zero included."""
     common = _pairs_within(_combinations(sets).groupBy("keys").agg(F.count("*").alias("users")), "users")
     none = variant_pairs(discover_variants(sets)).withColumn("users", F.lit(0).cast("bigint"))
     return (
@@ -86,7 +90,7 @@ def variant_overlap(sets: DataFrame) -> DataFrame:
 
 
 def overlap_members(sets: DataFrame) -> DataFrame:
-    """Members of the intersection of every pair of variants. ``sets`` has no duplicate rows."""
+    """Members of the intersection of every pair of variants."""
     pairs = _pairs_within(_combinations(sets), "member")
     return pairs.select(overlap_key(set_key("dim_a"), set_key("dim_b")).alias("overlap_key"), "member")
 

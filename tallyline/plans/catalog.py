@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import keys, time
 from tallyline.operators import counters, enrich, minute, overlap, parse, route
 from tallyline.plans import inputs, reports
-from tallyline.session import scratch_dir, use_utc
+from tallyline.session import materialize, scratch_dir, use_utc
 from tallyline.sources import lookup, messages, store
 from tallyline.streaming import stock, web
 
@@ -134,7 +134,10 @@ def tumbling_10h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _snapshots(movements: DataFrame, every: bool) -> lookup.Lookup:
-    """Lookup snapshots without branch 9, the company changing each time; some windows have none."""
+    """A table of lookup snapshots without branch 9, the company changing each time.
+
+    Unless ``every``, two windows in five have no snapshot.
+    """
     number = (F.unix_timestamp(F.col("window").cast("timestamp")) / 36000).cast("bigint")
     rows = (
         movements.select("branch", enrich.snapshot_window("timestamp").alias("window"))
@@ -142,7 +145,8 @@ def _snapshots(movements: DataFrame, every: bool) -> lookup.Lookup:
         .distinct()
         .withColumn("company", ((F.col("branch").cast("bigint") + number) % 3).cast("string"))
     )
-    return lookup.Lookup.measure(rows if every else rows.where(number % 5 < 3), keys=["branch", "window"])
+    taken = materialize(rows if every else rows.where(number % 5 < 3), "snapshots")
+    return lookup.Lookup.measure(taken, keys=["branch", "window"])
 
 
 def _from_snapshots(spark: SparkSession, sf_dir: str, every: bool) -> DataFrame:
@@ -274,7 +278,7 @@ def metric_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def variant_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sets(spark, sf_dir)
+    return overlap.merge_sets(_sets(spark, sf_dir))
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.overlap import variant_users
+from tallyline.operators.overlap import memberships
 from tallyline.sources.lookup import scan_lookup
 from tallyline.sources.messages import stream_table
 
@@ -115,7 +115,7 @@ def web_messages(events: DataFrame) -> DataFrame:
 
 def order_sets(orders: DataFrame) -> DataFrame:
     """User sets with the order priority as the variant and the customer as the user."""
-    return variant_users(orders.select(F.col("o_orderpriority").alias("variant"), F.col("o_custkey").alias("uid")))
+    return memberships(orders.select(F.col("o_orderpriority").alias("variant"), F.col("o_custkey").alias("uid")))
 
 
 def branch_movements(events: DataFrame) -> DataFrame:

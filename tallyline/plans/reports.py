@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.functions.time import (
     DEFAULT_MINUTES,
     current_minute,
+    newest_first,
     trailing_minutes,
     within_trailing,
 )
@@ -27,6 +28,11 @@ def _axis_and_metric(
     return trailing_minutes(store.spark, minutes, asof), metric
 
 
+def times(spark: SparkSession, minutes: int = DEFAULT_MINUTES, asof: datetime | None = None) -> DataFrame:
+    """The axis alone, newest first."""
+    return newest_first(trailing_minutes(spark, minutes, asof))
+
+
 def visits(store: PartialStore, minutes: int = DEFAULT_MINUTES, asof: datetime | None = None) -> DataFrame:
     return visits_report(*_axis_and_metric(store, "minutes", minutes, asof))
 
@@ -40,4 +46,4 @@ def experiments(store: PartialStore, minutes: int = DEFAULT_MINUTES, asof: datet
 
 
 def variants_overlap(store: PartialStore) -> DataFrame:
-    return variant_overlap(store.read("variant_users"))
+    return variant_overlap(store.partials("variant_users"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -27,3 +27,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         shared = tempfile.mkdtemp(prefix="tallyline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(rows: DataFrame, name: str) -> DataFrame:
+    """Write the rows to the shared folder once and go on from there, for results that are read repeatedly."""
+    path = scratch_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

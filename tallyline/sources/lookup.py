@@ -6,9 +6,11 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.session import materialize
+
 # Largest lookup that is replicated to every executor, counted on its rows and not guessed from files.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
@@ -28,6 +30,11 @@ def scan_lookup(table: DataFrame, key: str = "branch_id", value: str = "cpy_id")
     ).where(F.col("branch").isNotNull() & F.col("company").isNotNull())
 
 
+def query_lookup(spark: SparkSession, sql: str, key: str = "branch_id", value: str = "cpy_id") -> DataFrame:
+    """The lookup from a query of the session's tables. A warehouse table is one read with ``spark.read.jdbc``."""
+    return scan_lookup(spark.sql(sql), key, value)
+
+
 def unusable_rows(table: DataFrame, key: str = "branch_id", value: str = "cpy_id") -> DataFrame:
     """Number of lookup rows left out for a null key and for a null value."""
     return table.agg(
@@ -80,7 +87,8 @@ class RefreshingLookup:
     """Re-reads the lookup once it is older than ``ttl`` seconds.
 
     A DataFrame keeps the file list of the moment it was made, so a long-running stream that held on to one
-    would never see a change. ``read`` makes a new one.
+    would never see a change. ``read`` makes a new one. What it gives is copied to the shared folder, so that
+    every batch until the next read sees the same lookup, whatever happens to the source or to an executor.
     """
 
     def __init__(
@@ -98,6 +106,6 @@ class RefreshingLookup:
     def get(self) -> Lookup:
         now = self._clock()
         if self._current is None or now - self._read_at >= self._ttl:
-            self._current = Lookup.measure(self._read())
+            self._current = Lookup.measure(materialize(self._read(), "lookup"))
             self._read_at = now
         return self._current

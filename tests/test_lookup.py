@@ -7,6 +7,7 @@ from tallyline.sources.lookup import (
     Lookup,
     RefreshingLookup,
     lookup_duplicates,
+    query_lookup,
     scan_lookup,
     unusable_rows,
 )
@@ -26,6 +27,12 @@ def test_scan_reads_two_columns(spark, tmp_path):
     assert "ReadSchema: struct<branch_id:int,cpy_id:string>" in plan
 
 
+def test_lookup_from_a_query(spark):
+    spark.createDataFrame([(1, "1", "x"), (2, "2", "x")], TABLE).createOrReplaceTempView("branch_table")
+    found = query_lookup(spark, "SELECT branch_id, cpy_id FROM branch_table")
+    assert sorted(map(tuple, found.collect())) == [("1", "1"), ("2", "2")]
+
+
 def test_duplicates_are_reported_and_refused(spark):
     rows = spark.createDataFrame([("1", "1"), ("1", "2"), ("2", "1")], "branch STRING, company STRING")
     assert [tuple(r) for r in lookup_duplicates(rows).collect()] == [("1", 2)]
@@ -60,3 +67,12 @@ def test_refresh_sees_new_files_after_the_ttl(spark, tmp_path):
     now[0] = 10.0
     assert lookup.get().n_rows == 2
     assert lookup.get().rows.count() == 2
+
+
+def test_lookup_stays_the_same_until_the_next_read(spark, tmp_path):
+    path = str(tmp_path / "lookup")
+    spark.createDataFrame([(1, "1", "x")], TABLE).write.parquet(path)
+    lookup = RefreshingLookup(lambda: scan_lookup(spark.read.parquet(path)), ttl=10, clock=lambda: 0.0)
+    lookup.get()
+    spark.createDataFrame([(2, "2", "x")], TABLE).write.mode("overwrite").parquet(path)
+    assert [tuple(r) for r in lookup.get().rows.collect()] == [("1", "1")]

@@ -16,6 +16,7 @@ from tallyline.functions.time import (
     within_trailing,
 )
 from tallyline.operators import minute
+from tallyline.plans import reports
 
 EVENT = "uid BIGINT, experiment_id INT, variant STRING, timestamp TIMESTAMP_NTZ"
 ASOF = datetime(2024, 1, 1, 0, 2)
@@ -37,6 +38,10 @@ def test_axis(spark):
     assert trailing_minutes(spark, -5, ASOF).count() == 0
 
 
+def test_times(spark):
+    assert [r[0].minute for r in reports.times(spark, 3, ASOF).collect()] == [1, 0, 59]
+
+
 def test_axis_defaults_to_the_last_ten_minutes(spark):
     before = current_minute()
     newest = trailing_minutes(spark).agg(F.max("timestamp"), F.count("*")).first()

@@ -38,6 +38,14 @@ def test_overlap(spark, name):
     assert as_dict(overlap.variant_overlap(frame)) == brute(CASES[name])
 
 
+def test_repeated_rows_and_unknown_users(spark):
+    events = spark.createDataFrame(
+        [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, "b"), (3, None)], "uid BIGINT, variant STRING"
+    )
+    assert as_dict(overlap.variant_overlap(overlap.memberships(events))) == {("a", "b"): 1.0}
+    assert overlap.variant_users(events).count() == 3
+
+
 def test_prefix_is_literal(spark):
     frame = sets(spark, CASES["disjoint"]).unionByName(
         spark.createDataFrame([("setXvar_9", "1"), ("set_var", "1"), ("my_set_var_8", "1")], SETS)
