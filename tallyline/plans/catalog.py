@@ -89,7 +89,7 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def web_event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.accepted(parse.parse_web(inputs.web_messages(inputs.table(spark, sf_dir, "events"))))
+    return parse.accepted(parse.parse_web(inputs.visit_messages(spark, sf_dir)))
 
 
 # Lookup
@@ -350,7 +350,7 @@ def _web_store(spark: SparkSession, sf_dir: str) -> store.PartialStore:
     """The web metrics of all events, through the stream."""
     root = scratch_dir(spark, "web-stream")
     saved = store.PartialStore(spark, f"{root}/store", store.WEB_FAMILIES)
-    sent = inputs.web_messages(messages.stream_table(spark, f"{sf_dir}/events.parquet"))
+    sent = inputs.streamed_visit_messages(spark, sf_dir)
     web.start_web_stream(sent, saved, f"{root}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
     return saved
 

@@ -106,13 +106,25 @@ def web_events(events: DataFrame) -> DataFrame:
 
 
 def web_messages(events: DataFrame) -> DataFrame:
-    """Web event messages of the events table; the message has whole seconds."""
+    """Web event messages; the message has whole seconds."""
     rows = web_events(events).withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
 
 
+def visit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web event messages of the whole events table."""
+    events = table(spark, sf_dir, "events")
+    return web_messages(spread(events, events, "event_id"))
+
+
+def streamed_visit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a stream."""
+    stream = stream_table(spark, f"{sf_dir}/events.parquet")
+    return web_messages(spread(stream, table(spark, sf_dir, "events"), "event_id"))
+
+
 def order_sets(orders: DataFrame) -> DataFrame:
     """User sets with the order priority as the variant and the customer as the user."""
     return memberships(orders.select(F.col("o_orderpriority").alias("variant"), F.col("o_custkey").alias("uid")))

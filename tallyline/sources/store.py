@@ -2,12 +2,16 @@
 
 Each micro-batch writes what it adds to the metrics under its own batch number and replaces that folder when
 the batch is run again, so a replay never counts twice. Readers fold all partials. Every so often a fold
-writes the merged state of the closed batches as the first partial of a new generation; a one-row entry
-written last makes the new generation current, so a crash in between changes nothing.
+writes the merged state of the closed batches as the start of a new generation; a one-row entry written last
+makes the new generation current, so a crash in between changes nothing.
 
-    <root>/<table>/generation=<g>/run=<run>/batch_id=<n>/[day=<d>/]part-*.parquet
+    <root>/<table>/generation=<g>/folded/[day=<d>/]part-*.parquet
+    <root>/<table>/generation=<g>/batches/run=<run>/batch_id=<n>/part-*.parquet
     <root>/current/generation=<g>/
 
+Only the folded state is laid out by day: a micro-batch is small and would fall apart into tiny files. Within
+a batch the time range is pruned by the statistics of the Parquet files.
+
 One writer at a time. Generations before the current one are not read any more and can be expired by the
 storage's own lifecycle rules.
 """
@@ -28,6 +32,7 @@ from tallyline.operators.overlap import merge_sets
 
 FOLDED_RUN = "folded"
 FOLDED_BATCH = -1
+BATCH_COLUMNS = "run STRING, batch_id BIGINT"
 
 
 @dataclass(frozen=True)
@@ -82,47 +87,53 @@ class PartialStore:
     def _folder(self, table: str, generation: int) -> str:
         return f"{self.root}/{table}/generation={generation}"
 
-    def _write(self, table: str, rows: DataFrame, folder: str, by: tuple[str, ...] = ()) -> None:
-        family = self.families[table]
-        if family.by_day:
-            rows = rows.withColumn("day", F.to_date("minute"))
-            by = (*by, "day")
+    def _write(self, rows: DataFrame, folder: str, by: str | None = None) -> None:
         if by:
             # One task per folder instead of a file of every task in every folder; a folder too large for
             # one task is split by the adaptive execution.
-            rows = rows.hint("rebalance", *[F.col(name) for name in by])
+            rows = rows.hint("rebalance", F.col(by))
         # Static, so that nothing of an earlier attempt survives whatever the session prefers.
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*by).parquet(folder)
+        (writer.partitionBy(by) if by else writer).parquet(folder)
+
+    def _read(self, folder: str, schema: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(folder)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def write(self, table: str, partials: DataFrame, run: str, batch_id: int, generation: int | None = None) -> None:
         """Store the partials of one batch in place of any earlier attempt at it."""
         generation = self.generation() if generation is None else generation
-        self._write(table, partials, f"{self._folder(table, generation)}/run={run}/batch_id={batch_id}")
+        self._write(partials, f"{self._folder(table, generation)}/batches/run={run}/batch_id={batch_id}")
 
     def backfill(self, table: str, partials: DataFrame, run: str) -> None:
         """Store the partials of many batches, told apart by ``batch_id``, in one job."""
-        self._write(table, partials, f"{self._folder(table, self.generation())}/run={run}", ("batch_id",))
+        self._write(partials, f"{self._folder(table, self.generation())}/batches/run={run}", by="batch_id")
 
-    def partials(self, table: str, generation: int | None = None) -> DataFrame:
-        """All partials that count, with the run and batch they came from. A table by day prunes on ``day``."""
+    def partials(
+        self, table: str, generation: int | None = None, start: date | None = None, end: date | None = None
+    ) -> DataFrame:
+        """All partials that count, with the run and batch they came from.
+
+        ``start`` and ``end`` leave out folded days beyond them.
+        """
         family = self.families[table]
         generation = self.generation() if generation is None else generation
-        day = ", day DATE" if family.by_day else ""
-        schema = f"{family.schema}, run STRING, batch_id BIGINT{day}"
-        try:
-            return self.spark.read.schema(schema).parquet(self._folder(table, generation))
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        folder = self._folder(table, generation)
+        folded = self._read(f"{folder}/folded", f"{family.schema}, day DATE" if family.by_day else family.schema)
+        if family.by_day:
+            if start and end:
+                folded = folded.where(F.col("day").between(start, end))
+            folded = folded.drop("day")
+        folded = folded.withColumns({"run": F.lit(FOLDED_RUN), "batch_id": F.lit(FOLDED_BATCH).cast("bigint")})
+        return folded.unionByName(self._read(f"{folder}/batches", f"{family.schema}, {BATCH_COLUMNS}"))
 
     def read(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
-        """The metric itself: partials folded. A span of days reads the folders of those days only."""
-        partials = self.partials(table)
-        if self.families[table].by_day and start and end:
-            partials = partials.where(F.col("day").between(start, end))
-        return self.families[table].merge(partials)
+        """The metric itself: partials folded."""
+        return self.families[table].merge(self.partials(table, start=start, end=end))
 
     def fold(self, run: str, before: int) -> int:
         """Merge everything but batches of ``run`` from number ``before`` on into a new generation.
@@ -133,7 +144,11 @@ class PartialStore:
         current = self.generation()
         for table, family in self.families.items():
             closed = self.partials(table, current).where(~((F.col("run") == run) & (F.col("batch_id") >= before)))
-            folder = f"{self._folder(table, current + 1)}/run={FOLDED_RUN}/batch_id={FOLDED_BATCH}"
-            self._write(table, family.merge(closed), folder)
+            state = family.merge(closed)
+            folder = f"{self._folder(table, current + 1)}/folded"
+            if family.by_day:
+                self._write(state.withColumn("day", F.to_date("minute")), folder, by="day")
+            else:
+                self._write(state, folder)
         self._mark_current(current + 1)
         return current + 1

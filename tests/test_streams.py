@@ -19,6 +19,7 @@ from tallyline.sources.messages import read_messages, stream_messages
 from tallyline.sources.store import STOCK_FAMILIES, WEB_FAMILIES, PartialStore
 from tallyline.streaming.stock import start_stock_stream, stock_batch
 from tallyline.streaming.web import closed_minutes, start_web_stream, web_batch
+from tests.test_plans import plan
 
 NOW = {"availableNow": True}
 LOOKUP = "branch STRING, company STRING"
@@ -227,10 +228,13 @@ def test_report_reads_the_days_it_needs(spark):
         (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))).alias("timestamp"),
     )
     store.write("minutes", minute.minute_partials(events), "run", 0)
+    assert store.fold("run", 1) == 1
+    store.write("minutes", minute.minute_partials(events), "run", 1)
     report = reports.visits(store, 10, datetime(2024, 1, 3, 0, 5))
-    assert rows(report.where("metric > 0")) == [(datetime(2024, 1, 3), 1.0)]
-    plan = report._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and "CartesianProduct" not in plan
+    assert rows(report.where("metric > 0")) == [(datetime(2024, 1, 3), 2.0)]
+    text = plan(report)
+    assert "PartitionFilters: [isnotnull(day" in text
+    assert text.count("GreaterThanOrEqual(minute,2024-01-02") == 2, "in the folded days and in the batches"
 
 
 def test_closed_minutes_drop_what_is_too_late(spark, tmp_path):
