@@ -96,8 +96,13 @@ def overlap_members(sets: DataFrame) -> DataFrame:
 
 
 def store_overlap(members: DataFrame, path: str) -> None:
-    """Write the intersections under their names; each run replaces the one before."""
-    members.write.mode("overwrite").partitionBy("overlap_key").parquet(path)
+    """Write the intersections under their names; each run replaces the one before.
+
+    The rebalance gathers a small intersection in one file and splits a large one over many.
+    """
+    gathered = members.hint("rebalance", F.col("overlap_key"))
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("overlap_key").parquet(path)
 
 
 def intersect(sets: DataFrame, first: str, second: str) -> DataFrame:

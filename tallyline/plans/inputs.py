@@ -12,6 +12,10 @@ from tallyline.sources.messages import stream_table
 # Key of a lineitem row.
 LINE = ["l_orderkey", "l_linenumber"]
 
+# Bytes of table files in one micro-batch. A batch keeps its parsed messages while it writes its outputs, so
+# the whole of a large table must not be one batch.
+BATCH_BYTES = 1 << 40
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -83,7 +87,7 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream."""
-    stream = stream_table(spark, f"{sf_dir}/lineitem.parquet")
+    stream = stream_table(spark, f"{sf_dir}/lineitem.parquet", max_bytes=BATCH_BYTES)
     return cdc_messages(spread(stream, table(spark, sf_dir, "lineitem"), *LINE))
 
 
@@ -121,7 +125,7 @@ def visit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_visit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream."""
-    stream = stream_table(spark, f"{sf_dir}/events.parquet")
+    stream = stream_table(spark, f"{sf_dir}/events.parquet", max_bytes=BATCH_BYTES)
     return web_messages(spread(stream, table(spark, sf_dir, "events"), "event_id"))
 
 

@@ -32,12 +32,18 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_table(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
     """Rows of a Parquet table, a single file or a folder of files, as a stream.
 
-    The trailing ``*`` makes the source take the path as a pattern, which is what lets it be one file.
+    The last character goes in as a pattern that matches only itself: the source takes a single file by
+    pattern, but not by name.
     """
+    path = path.rstrip("/")
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path.rstrip("/") + "*")
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from tallyline.functions.time import trailing_minutes
 from tallyline.operators import minute, overlap, parse
 from tallyline.operators.counters import count_by_key, stock_movement
-from tallyline.plans import reports
+from tallyline.plans import inputs, reports
+from tallyline.plans.catalog import QUERIES
 from tallyline.session import scratch_dir
 from tallyline.sources.lookup import Lookup, RefreshingLookup
-from tallyline.sources.messages import read_messages, stream_messages
+from tallyline.sources.messages import read_messages, stream_messages, stream_table
 from tallyline.sources.store import STOCK_FAMILIES, WEB_FAMILIES, PartialStore
 from tallyline.streaming.stock import start_stock_stream, stock_batch
 from tallyline.streaming.web import closed_minutes, start_web_stream, web_batch
@@ -83,6 +84,23 @@ def test_stock_stream_equals_batch(spark, tmp_path, branches, order):
     assert (sum(m["read"] for m in progress), sum(m["unusable"] for m in progress)) == (10, 3)
 
 
+def test_table_stream_in_small_batches(spark, sf_dir, tmp_path, branches):
+    path = str(tmp_path / "lineitem.parquet")
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(4).write.parquet(path)
+    (tmp_path / "lineitem.parquet.old").mkdir()
+    root = scratch_dir(spark, "test-table")
+    store = PartialStore(spark, f"{root}/store", STOCK_FAMILIES)
+    suppliers = inputs.branch_lookup(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
+    query = start_stock_stream(
+        inputs.cdc_messages(stream_table(spark, path, max_bytes=1)), store, RefreshingLookup(lambda: suppliers),
+        f"{root}/checkpoint", trigger=NOW, fold_every=3,
+    )
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
+    assert rows(store.read("counters")) == rows(QUERIES["stock_movement"](spark, sf_dir))
+    assert store.generation() == 1
+
+
 def test_stream_goes_on_after_a_stop(spark, tmp_path, branches):
     root = scratch_dir(spark, "test-restart")
     store = PartialStore(spark, f"{root}/store", STOCK_FAMILIES)
