@@ -9,8 +9,10 @@ from tallyline.functions.time import at
 from tallyline.sources.lookup import Lookup
 
 # Copies of a lookup row in the shuffled join. A branch that holds a third of all movements is spread over
-# as many tasks, and the adaptive skew join splits what is still too large.
+# as many tasks, and the adaptive skew join splits what is still too large. The copies of a very large lookup
+# are limited in number, down to none.
 SALTS = 32
+SALTED_ROWS = 1 << 30
 
 SNAPSHOT_HOURS = 10
 
@@ -22,8 +24,9 @@ def join_lookup(rows: DataFrame, lookup: Lookup, on: list[str], how: str = "inne
     """
     if lookup.fits_broadcast:
         return rows.join(F.broadcast(lookup.rows), on, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    copies = lookup.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = max(1, min(SALTS, SALTED_ROWS // max(1, lookup.n_rows)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    copies = lookup.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

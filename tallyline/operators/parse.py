@@ -37,7 +37,8 @@ def _once(messages: DataFrame, parsed: Column) -> DataFrame:
 def parse_cdc(messages: DataFrame) -> DataFrame:
     """Change messages in ``value`` to movements ``branch, company, sku, value`` with ``ts_ms``.
 
-    An empty message parses to nothing and any other unreadable one keeps its text. All of create, update, snapshot and delete count alike: only the row image in ``after`` is read.
+    All of create, update, snapshot and delete count alike: only the row image in ``after`` is read. An empty
+    message parses to nothing, and any other unreadable one keeps its text in ``_malformed``.
     """
     parsed = _once(
         messages,

@@ -228,7 +228,8 @@ def trailing_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def nil_to_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored counter text made from the events: absent, the text of an absent value, or a number."""
-    text = F.when(F.col("event_id") % 3 == 1, keys.NIL).when(F.col("event_id") % 3 == 2, F.col("user_id").cast("string"))
+    kind = F.col("event_id") % 3
+    text = F.when(kind == 1, keys.NIL).when(kind == 2, F.col("user_id").cast("string"))
     events = inputs.table(spark, sf_dir, "events")
     return events.select("event_id", keys.stored_int(text).alias("metric"))
 

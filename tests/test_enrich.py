@@ -42,6 +42,15 @@ def test_enrich(spark, limit):
     assert rows(lookup_misses(moves, branches)) == [("b9", "s", "3")]
 
 
+def test_copies_of_a_large_lookup_are_limited(spark, monkeypatch):
+    monkeypatch.setattr("tallyline.operators.enrich.SALTED_ROWS", 2)
+    moves = spark.createDataFrame([(f"b{i % 2}", "", str(i), "1") for i in range(50)], MOVEMENT)
+    branches = lookup(spark, [("b0", "1"), ("b1", "2")], 0)
+    found = enrich(moves, branches)
+    assert found.count() == 50
+    assert {(r["branch"], r["company"]) for r in found.collect()} == {("b0", "1"), ("b1", "2")}
+
+
 def test_a_hot_branch_is_spread(spark):
     """One branch has a third of the rows; without the salt its task would have them all."""
     moves = spark.range(30_000).selectExpr(
