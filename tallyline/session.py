@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +13,22 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share.
 
-    Only a local session without that setting may fall back to a folder of this machine: on a cluster
-    the executors and a restarted driver would not see it.
+    It is the cluster's ``spark.checkpoint.dir``, or a folder below the warehouse where that is unset. A folder of one
+    machine is refused unless the master is local.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        shared = tempfile.mkdtemp(prefix="tallyline-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if shared.startswith("file:") and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError(f"{shared} is on one machine; set spark.checkpoint.dir to a folder shared by the cluster")
+    return shared.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, in the application's own folder (see ``release``)."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(rows: DataFrame, name: str) -> DataFrame:
@@ -34,3 +36,9 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application has written to the shared folder, once its results have been used."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

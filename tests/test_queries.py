@@ -5,9 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from tallyline.plans.catalog import QUERIES
+from tallyline.plans.oracle import SQL
 from tests.oracle import check, connect
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert NAMES == sorted(contract.oracle_sql())
+    assert NAMES == sorted(SQL)
+
+
+def test_contract_has_every_query():
+    assert QUERIES.items() <= contract.queries().items()
+    assert SQL.items() <= contract.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):
