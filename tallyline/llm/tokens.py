@@ -23,7 +23,6 @@ CHUNK_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,19 +34,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_of_base(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the byte base and of its inverse. Kept for the usual size only."""
-    if len(_powers.get("base", ())) >= n:
-        return _powers["base"], _powers["inverse"]
-    size = max(n, CHUNK_BYTES + 1)
-    made = []
-    for base in (BYTE_BASE, pow(BYTE_BASE, -1, 1 << 64)):
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        made.append(np.cumprod(steps, dtype=np.uint64))
-    if size == CHUNK_BYTES + 1:
-        _powers["base"], _powers["inverse"] = made
-    return made[0], made[1]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of an odd number modulo 2**64."""
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 @dataclass
@@ -83,9 +74,9 @@ class Texts:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each stretch of bytes."""
-        power, inverse = _powers_of_base(len(self.data) + 1)
         total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[: len(self.data)], out=total[1:])
+        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(BYTE_BASE, len(self.data)), out=total[1:])
+        inverse = _powers(pow(BYTE_BASE, -1, 1 << 64), len(self.data) + 1)
         return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
     def code_points(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
