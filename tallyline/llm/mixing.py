@@ -106,7 +106,7 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """What the mix takes of each document: ``doc_id, source, size, source_size, target, quota, taken``.
+    """What the mix takes of each document: ``doc_id, digest, source, size, source_size, target, quota, taken``.
 
     ``parts``: stretches of a source's line that are put in order separately; by default one for every
     ``ROWS_PER_PART`` rows of the table, up to a million.
@@ -135,10 +135,10 @@ def mix_sources(
     plan = stretch.alias("s").join(quotas.alias("q"), same).select("s.source", "part", "ahead", "source_size", "target", "quota")
 
     inside = Window.partitionBy("source", "part").orderBy("place", "size", "doc_id", "digest")
-    placed = sizes.withColumn("end", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))).drop("digest")
+    placed = sizes.withColumn("end", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.part") == F.col("p.part"))
     rows = placed.alias("d").join(plan.alias("p"), same).select("d.*", "ahead", "source_size", "target", "quota")
-    return rows.select("doc_id", "source", "size", "source_size", "target", "quota", _taken(seed, block_words, cap).alias("taken"))
+    return rows.select("doc_id", "digest", "source", "size", "source_size", "target", "quota", _taken(seed, block_words, cap).alias("taken"))
 
 
 def _taken(seed: int, block_words: int, cap: int) -> Column:
@@ -155,3 +155,20 @@ def _taken(seed: int, block_words: int, cap: int) -> Column:
 
     again = common(start, start + more) + common(F.lit(0), start + more - length)
     return F.when(F.col("size") == 0, F.lit(0)).otherwise(F.floor(wanted / length) * F.col("size") + again).cast("long")
+
+
+def draw_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents of the mix with all their columns, each as often as the mix takes it, in whole documents.
+
+    A document of which half the words or more are taken beyond whole passes is given once more. Rows equal in id and
+    text share evenly what they are given together.
+    """
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, **options)
+    name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-"))
+    times = F.round(F.sum("taken") / F.nullif(F.sum("size"), F.lit(0))).cast("int")
+    drawn = mix.groupBy(name.alias("name"), "digest").agg(times.alias("times")).where("times > 0")
+    own = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("-"))
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(own.alias("name"), digest.alias("digest"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    repeated = rows.join(drawn, ["name", "digest"]).select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
+    return repeated.select("row.*")

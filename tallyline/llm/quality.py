@@ -122,34 +122,45 @@ def measures(texts: Texts, lengths: list[int]) -> dict[str, np.ndarray]:
     return out
 
 
-def measure_repetition(docs: DataFrame, lengths: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its id and the measures, as longs."""
+def measure_repetition(docs: DataFrame, lengths: list[int], id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One row per document: its id and the measures, as longs; with ``carry`` also the row itself as the struct ``row``."""
     names = [*MEASURES, *map(window_column, sorted(lengths))]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    every = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
+    rows = docs.select(F.col(id_col).alias("id"), *every, F.col(text_col).cast("string").alias("text"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema if f.name != "text"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "text"):
             found = measures(texts, lengths)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(found[name].astype(np.int64)) for name in names)], ["id", *names]
-            )
+            counted = [pa.array(found[name].astype(np.int64)) for name in names]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counted], [*kinds, *names])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, ", ".join([f"id {kind}", *(f"{name} bigint" for name in names)])).withColumnRenamed("id", id_col)
+    schema = ", ".join([*(f"{name} {kind}" for name, kind in kinds.items()), *(f"{name} bigint" for name in names)])
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def quality_rules(
-    docs: DataFrame, rules: RepetitionRules = RepetitionRules(), id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    rules: RepetitionRules = RepetitionRules(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
     """The measures of each document with ``base_failed`` and ``kept``.
 
     All limits are compared in whole numbers (``100 * part > percent * whole``), so no rounding decides.
     """
-    found = measure_repetition(docs, list(rules.window_percent), id_col, text_col)
+    found = measure_repetition(docs, list(rules.window_percent), id_col, text_col, carry)
     over = (F.lit(100) * F.col("n_dup_lines") > F.lit(rules.line_percent) * F.col("n_lines")) | (
         F.lit(100) * F.col("dup_line_chars") > F.lit(rules.line_char_percent) * F.col("line_chars")
-    ) | (F.lit(100) * F.col("n_symbols") > F.lit(rules.symbol_percent) * F.col("n_words"))
+    )
+    over = over | (F.lit(100) * F.col("n_symbols") > F.lit(rules.symbol_percent) * F.col("n_words"))
     for length, percent in rules.window_percent.items():
         over = over | (F.lit(100) * F.col(window_column(length)) > F.lit(percent) * F.col("word_chars"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(BASE_PERCENT) * F.col("n_words"))
     return found.withColumn("base_failed", base_failed).withColumn("kept", ~(base_failed | over))
+
+
+def keep_good(docs: DataFrame, rules: RepetitionRules = RepetitionRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that pass, with all their columns."""
+    return quality_rules(docs, rules, id_col, text_col, carry=True).where("kept").select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import mixing, quality, sharding
+from tallyline.llm import decontamination, jaccard, mixing, quality, sharding
 from tallyline.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,18 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item, one row for each item."""
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "n_items", "matched", "first_word", "n_words")
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of each document, by five-word sets with a similarity of 0.8 or more."""
+    joined = jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "copy_id", "n_copies", "n_linked_texts", "n_links")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and the verdict on each document."""
     judged = quality.quality_rules(table(spark, sf_dir, "documents"))
@@ -47,6 +59,8 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op6_source_mixing": op6_source_mixing,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_histogram_shards": op10_histogram_shards,
 }

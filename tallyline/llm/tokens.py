@@ -55,6 +55,10 @@ class Texts:
         upper = (self.data >= 65) & (self.data <= 90)
         return Texts(np.where(upper, self.data | 32, self.data).astype(np.uint8), self.offsets)
 
+    def without(self, flags: np.ndarray) -> Texts:
+        """The texts without the flagged bytes."""
+        return Texts(self.data[~flags], running(~flags)[self.offsets])
+
     def per_text(self, flags: np.ndarray) -> np.ndarray:
         """How many bytes of each text are flagged."""
         return np.diff(running(flags)[self.offsets])
