@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyline.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_PART = 20_000
+ROWS_PER_PART = 1_000
 CAP = 3
 
 
