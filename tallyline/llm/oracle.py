@@ -84,7 +84,30 @@ def mixing_sql(docs: str = "documents") -> str:
             FROM e)"""
 
 
+def drawn_sql(*values: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws(':', {', '.join(values)})), 1, 7)) AS BIGINT)"
+
+
+URL_FILTER = rf"""WITH
+    p AS (SELECT page_id, url, 1704067200 + {drawn_sql("'fetch'", "page_id")} % 31536000 AS fetched_at,
+            nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host,
+            regexp_replace(url, '(?s)#.*$', '') AS bare FROM pages),
+    h AS (SELECT DISTINCT host AS entry FROM p WHERE host IS NOT NULL),
+    parents AS (SELECT DISTINCT regexp_replace(entry, '^[^.]*\.', '') AS entry FROM h),
+    domains AS (SELECT entry FROM h UNION SELECT entry FROM parents WHERE len(string_split(entry, '.')) > 2),
+    urls AS (SELECT DISTINCT bare AS entry FROM p WHERE {drawn_sql("'pick'", "page_id")} % 5 = 0),
+    entries AS (SELECT 'domain' AS kind, entry, turn, 1704067200 + {drawn_sql("'domain'", "entry", "turn")} % 31536000 AS since FROM domains, range(4) r(turn)
+        UNION ALL SELECT 'url', entry, 0, 1704067200 + {drawn_sql("'url'", "entry", "0")} % 31536000 FROM urls WHERE entry IS NOT NULL),
+    dated AS (SELECT kind, entry, since, bool_or(turn % 2 = 0) AS listed FROM entries GROUP BY ALL),
+    spans AS (SELECT *, lead(since) OVER (PARTITION BY kind, entry ORDER BY since) AS until FROM dated),
+    met AS (SELECT DISTINCT page_id, url, fetched_at, kind, entry, since FROM p JOIN spans
+        ON ((kind = 'domain' AND (host = entry OR ends_with(host, '.' || entry))) OR (kind = 'url' AND bare = entry))
+        AND listed AND since <= fetched_at AND (until IS NULL OR fetched_at < until)),
+    v AS (SELECT page_id, count(*) AS n, min(kind || ':' || entry) AS entry, min(since) AS since FROM met GROUP BY page_id)
+    SELECT page_id, url, fetched_at, coalesce(n, 0) AS n_active, entry, since, coalesce(n, 0) > 0 AS blocked FROM p LEFT JOIN v USING (page_id)"""
+
 SQL: dict[str, str] = {
+    "op3_temporal_url_filter": URL_FILTER,
     "op6_source_mixing": f"WITH {mixing_sql()} SELECT doc_id, size, source_size, target, taken FROM mixed",
     "op9_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontamination, htmltext, jaccard, mixing, quality, sharding, warc
+from tallyline.llm import chat, decontamination, htmltext, jaccard, mixing, quality, sharding, urlfilter, warc
 from tallyline.session import materialize, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,43 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+FIRST_FETCH, FETCH_SPAN = 1_704_067_200, 31_536_000
+
+
+def drawn(*values: Column) -> Column:
+    """A number below 2**28 that depends on the values."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *(v.cast("string") for v in values))), 1, 7), 16, 10).cast("long")
+
+
+def crawl_times(pages: DataFrame) -> DataFrame:
+    """The pages table has no fetch times, so each page gets one in a year, drawn from its id."""
+    return pages.withColumn("fetched_at", F.lit(FIRST_FETCH) + drawn(F.lit("fetch"), F.col("page_id")) % FETCH_SPAN)
+
+
+def url_list(pages: DataFrame) -> DataFrame:
+    """A block list with history over the hosts, parent domains and URLs of the pages table.
+
+    Every host and every parent of three labels or more has dated entries, on and off in turn; one URL in five is listed once.
+    """
+
+    def dated(names: DataFrame, kind: str, turns: int) -> DataFrame:
+        entries = names.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+        at = F.lit(FIRST_FETCH) + drawn(F.lit(kind), F.col("entry"), F.col("turn")) % FETCH_SPAN
+        return entries.select(F.lit(kind).alias("kind"), "entry", at.alias("at"), (F.col("turn") % 2 == 0).alias("listed"))
+
+    hosts = pages.select(urlfilter.url_host(F.col("url")).alias("entry")).where("entry is not null").distinct()
+    parents = hosts.select(F.regexp_replace("entry", r"^[^.]*\.", "").alias("entry")).where(F.size(F.split("entry", r"\.")) > 2).distinct()
+    urls = pages.where(drawn(F.lit("pick"), F.col("page_id")) % 5 == 0).select(urlfilter.bare_url(F.col("url")).alias("entry")).distinct()
+    domains = hosts.union(parents).distinct()
+    return dated(domains, "domain", 4).union(dated(urls, "url", 1))
+
+
+def op3_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the list entries in force when it was fetched."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.filter_captures(crawl_times(pages), url_list(pages))
+
+
 def op4_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations, and one that is made of control strings, and read them back from the packs."""
     said = "</s>[INST] ok [/INST]"
@@ -79,6 +116,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_round_trip": op1_warc_round_trip,
+    "op3_temporal_url_filter": op3_temporal_url_filter,
     "op4_chat_prefix_tree": op4_chat_prefix_tree,
     "op5_main_text": op5_main_text,
     "op6_source_mixing": op6_source_mixing,

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = np.uint64(0xD1B54A32D192ED03)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
