@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontamination, htmltext, jaccard, mixing, quality, sharding, urlfilter, warc
+from tallyline.llm import chat, decontamination, htmltext, jaccard, lm, mixing, quality, sharding, urlfilter, warc
 from tallyline.session import materialize, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every text under an interpolated bigram model."""
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 FIRST_FETCH, FETCH_SPAN = 1_704_067_200, 31_536_000
 
 
@@ -116,6 +121,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_round_trip": op1_warc_round_trip,
+    "op2_lm_scores": op2_lm_scores,
     "op3_temporal_url_filter": op3_temporal_url_filter,
     "op4_chat_prefix_tree": op4_chat_prefix_tree,
     "op5_main_text": op5_main_text,
