@@ -170,7 +170,7 @@ def blocks_of(page: str) -> list[Block]:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        if tag in VOID_TAGS or token["attrs"].endswith("/"):
+        if tag in VOID_TAGS:
             continue
         if tag == "a" and in_link:  # a link ends where the next one begins
             where = next(i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == "a")

@@ -53,7 +53,7 @@ START = np.uint64(0x119DE1F3B8A92C7)
 
 def pack(values: np.ndarray) -> bytes:
     """Non-negative numbers, byte by byte of equal weight, compressed. Small numbers take little room."""
-    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), "zstd", asbytes=True)
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes(), "zstd", asbytes=True)
 
 
 def unpack(data: bytes, count: int, kind: type) -> np.ndarray:

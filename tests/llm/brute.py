@@ -1,0 +1,100 @@
+"""Plain versions of the operators, for small inputs."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+
+def words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def shingle_set(text: str | None, n: int = 5) -> frozenset:
+    found = words(text)
+    return frozenset(tuple(found[i : i + n]) for i in range(max(1, len(found) - n + 1))) if found else frozenset()
+
+
+def near_links(texts: list[str | None], percent: int = 80) -> list[tuple[int, int]]:
+    sets, holders = [shingle_set(t) for t in texts], defaultdict(list)
+    for i, grams in enumerate(sets):
+        for gram in grams:
+            holders[gram].append(i)
+    out = []
+    for i, grams in enumerate(sets):
+        common = Counter(j for gram in grams for j in holders[gram] if j > i)
+        out += [(i, j) for j, k in common.items() if 100 * k >= percent * (len(grams) + len(sets[j]) - k)]
+    return out
+
+
+def classes(size: int, links: list[tuple[int, int]]) -> list[int]:
+    parent = list(range(size))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(size)]
+
+
+def repetition(text: str | None) -> dict[str, int]:
+    body, found = text or "", words(text)
+    out = {"n_words": len(found), "word_chars": sum(map(len, found)), "n_symbols": len(re.findall(r"[#*$%&|<>]", body))}
+    seen: set[str] = set()
+    lines = [line for line in body.split("\n") if words(line)]
+    out |= {"n_lines": len(lines), "n_dup_lines": 0, "line_chars": sum(map(len, lines)), "dup_line_chars": 0}
+    for line in lines:
+        if line in seen:
+            out["n_dup_lines"] += 1
+            out["dup_line_chars"] += len(line)
+        seen.add(line)
+    for n in (5, 6, 7, 8, 9, 10):
+        grams = [tuple(found[i : i + n]) for i in range(len(found) - n + 1)]
+        times, before, later, twice = Counter(grams), set(), set(), set()
+        for i, gram in enumerate(grams):
+            if gram in before:
+                later.update(range(i, i + n))
+            before.add(gram)
+            if times[gram] > 1:
+                twice.update(range(i, i + n))
+        out[f"dup_chars_{n}"] = sum(len(found[i]) for i in later)
+        if n == 8:
+            out["n_repeat_words"] = len(twice)
+    return out
+
+
+def kept(text: str | None) -> bool:
+    m = repetition(text)
+    limits = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+    return not (
+        m["n_words"] < 20
+        or 100 * m["n_repeat_words"] > 30 * m["n_words"]
+        or 100 * m["n_dup_lines"] > 30 * m["n_lines"]
+        or 100 * m["dup_line_chars"] > 20 * m["line_chars"]
+        or 100 * m["n_symbols"] > 10 * m["n_words"]
+        or any(100 * m[f"dup_chars_{n}"] > p * m["word_chars"] for n, p in limits.items())
+    )
+
+
+def plain(text: str | None) -> list[str]:
+    """Words for decontamination: ASCII lower case, without ASCII punctuation."""
+    body = re.sub(r"[!-/:-@\[-`{-~]", "", text or "")
+    return words(re.sub("[A-Z]", lambda m: m[0].lower(), body))
+
+
+def leaks(text: str | None, item: str | None, stretch: int = 13, percent: int = 80) -> bool:
+    """Whether some diagonal has a stretch that agrees well enough (without any hashing)."""
+    a, b = plain(text), plain(item)
+    need = min(stretch, len(b))
+    if len(b) < 10:
+        return False
+    for shift in range(-len(b), len(a)):
+        low, high = max(0, -shift), min(len(b), len(a) - shift)
+        equal = [b[i] == a[i + shift] for i in range(low, high)]
+        if any(100 * sum(equal[i : i + need]) >= percent * need for i in range(len(equal) - need + 1)):
+            return True
+    return False

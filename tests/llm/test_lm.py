@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyline.llm import lm
+
+
+def tokens(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lower) + ["\n"]
+
+
+def fold(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 if doc_id is not None else 4
+
+
+def plain_model(docs, weights):
+    """Scores of all texts by a dictionary model with the given weights."""
+    words, pairs, starts = Counter(), Counter(), 0
+    for doc_id, text in docs:
+        if fold(doc_id) != 1:
+            found = tokens(text)
+            words.update(found)
+            pairs.update(zip(["\t", *found], found))
+            starts += 1
+    n, v = sum(words.values()), len(words)
+    out = []
+    for doc_id, text in docs:
+        found, base, score = tokens(text), 0.0, 0.0
+        for before, word in zip(["\t", *found], found):
+            c = starts if before == "\t" else words[before]
+            w = weights[lm.bucket_of(np.array([c]))[0]]
+            base += math.log10((words[word] + 0.5) / (n + 0.5 * (v + 1)))
+            score += math.log10((w[0] * pairs[before, word] / c if c else 0) + (w[1] * words[word] / n if n else 0) + w[2] / (v + 1))
+        out.append((doc_id, fold(doc_id) == 1, len(found), sum(words[t] > 0 for t in found), n, base, score))
+    return out
+
+
+def compare(monkeypatch, docs, rows):
+    found = []
+    learn = lm.learn_weights
+    monkeypatch.setattr(lm, "learn_weights", lambda *a: found.append(learn(*a)) or found[-1])
+    got = sorted(lm.score_texts(docs, block_tokens=5000, group_keys=3000).collect(), key=repr)
+    want = sorted(plain_model(rows, found[0]), key=lambda r: repr(r[0]))
+    got = sorted((tuple(r) for r in got), key=lambda r: (repr(r[0]), r[2]))
+    want = sorted(want, key=lambda r: (repr(r[0]), r[2]))
+    assert len(got) == len(want)
+    for mine, theirs in zip(got, want):
+        assert mine[:5] == theirs[:5]
+        assert mine[5:] == pytest.approx(theirs[5:], abs=1e-9, rel=1e-9)
+    return got
+
+
+def test_scores_equal_a_dictionary_model(monkeypatch, documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    got = compare(monkeypatch, documents, rows)
+    held = [r for r in got if r[1]]
+    assert sum(r[6] for r in held) > sum(r[5] for r in held)  # the model explains held-out texts better than the base
+
+
+def test_odd_rows(monkeypatch, odd_documents):
+    rows = [(r["doc_id"], r["text"]) for r in odd_documents.select("doc_id", "text").collect()]
+    compare(monkeypatch, odd_documents, rows)
+
+
+def test_empty_table(documents):
+    assert lm.score_texts(documents.limit(0)).count() == 0
+
+
+def test_weights_are_those_that_made_the_events():
+    """Events drawn from a known mixture give its weights back."""
+    rng = np.random.default_rng(5)
+    truth, code = np.array([0.6, 0.3, 0.1]), lambda p: int(np.floor(-lm.STEPS * np.log2(p))) + 1
+    # three outcomes under pair, word and uniform estimates
+    pair, word, n = np.array([0.7, 0.2, 0.1]), np.array([0.1, 0.3, 0.6]), 2
+    chance = truth[0] * pair + truth[1] * word + truth[2] / (n + 1)
+    cells = np.array([(5 * lm.CELLS + code(p)) * lm.CELLS + code(w) for p, w in zip(pair, word)])
+    times = rng.multinomial(1_000_000, chance / chance.sum()).astype(float)
+    weights = lm.learn_weights(cells, times, n, rounds=200)
+    estimate = lambda c: 2.0 ** (-(c - 0.5) / lm.STEPS)
+    parts = np.stack([estimate(cells // lm.CELLS % lm.CELLS), estimate(cells % lm.CELLS), np.full(3, 1 / (n + 1))], 1)
+    best = float(times @ np.log(parts @ weights[5]))
+    for other in rng.dirichlet([1, 1, 1], 300):
+        assert float(times @ np.log(parts @ other)) <= best + 1e-3 * abs(best)
+    assert np.allclose(weights.sum(1), 1)
+
+
+@pytest.mark.parametrize("size", [0, 1, 7, 1000])
+def test_packing(size):
+    rng = np.random.default_rng(size)
+    keys = np.sort(rng.integers(0, 1 << 63, size, np.uint64) * np.uint64(2))
+    assert (lm.unpack_sorted(lm.pack_sorted(keys), size) == keys).all()
+    counts = rng.integers(0, 1 << 20, size).astype(np.uint32)
+    assert (lm.unpack(lm.pack(counts), size, np.uint32) == counts).all()

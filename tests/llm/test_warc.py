@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+from tallyline.llm import warc
+from tallyline.llm.files import file_system
+
+LARGE = "x" * 1200
+
+
+def test_round_trip_of_the_table(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    index = warc.write_archives(pages)
+    assert index.count() == pages.count()
+    got = {r["page_id"]: r for r in warc.read_records(index).collect()}
+    for page in pages.collect():
+        payload = page["html"].encode()
+        record = got[page["page_id"]]
+        assert (record["url"], record["payload_bytes"], record["payload_digest"]) == (
+            page["url"], len(payload), hashlib.sha1(payload).hexdigest()
+        )
+        assert record["record_type"] == "revisit" or bytes(record["payload"]) == payload
+
+
+def odd_pages(spark):
+    rows = [
+        (None, None, None), (1, "http://a/ b\r\n%41", LARGE), (2, None, LARGE), (2, "u", LARGE), (None, "n", LARGE), (3, "", "s"),
+        (4, "é", "s"), (5, "v", "y" * 1000), (6, "w", "y" * 999), (7, "w", "y" * 1000), (8, "z", "é" * 500), (9, "z", "é" * 500),
+    ]
+    rows = [(*row, i, i, "extra") for i, row in enumerate(rows)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, offset long, size long, payload string")
+
+
+def test_revisits_ties_and_odd_rows(spark):
+    got = sorted((r["page_id"] or 0, r["url"] or "", r["record_type"], r["refers_to"]) for r in warc.read_records(warc.write_archives(odd_pages(spark))).collect())
+    assert got == sorted(
+        [
+            (0, "", "response", None), (1, "http://a/ b\r\n%41", "revisit", 2), (2, "", "response", None), (2, "u", "response", None),
+            (0, "n", "revisit", 2), (3, "", "response", None), (4, "é", "response", None), (5, "v", "revisit", 7),
+            (6, "w", "response", None), (7, "w", "response", None), (8, "z", "revisit", 9), (9, "z", "response", None),
+        ],
+        key=lambda r: (r[0], r[1], r[2]),
+    )
+
+
+def test_selected_records_only(spark):
+    index = warc.write_archives(odd_pages(spark))
+    assert sorted(r["page_id"] for r in warc.read_records(index.where("page_id in (3, 6, 9)")).collect()) == [3, 6, 9]
+
+
+def test_archives_are_plain_warc(spark):
+    """Members of gzip that any reader can take one after the other."""
+    index = warc.write_archives(odd_pages(spark))
+    total = 0
+    for file in {r["file"] for r in index.collect()}:
+        store, path = file_system(file)
+        data = gzip.decompress(store.open_input_file(path).read())
+        total += data.count(b"WARC/1.1\r\nWARC-Type: ")
+    assert total == 12
+
+
+def test_lost_attempts_leave_nothing_in_the_index(spark):
+    """An archive that no index row names is not read."""
+    pages = odd_pages(spark)
+    index = warc.write_archives(pages)
+    folder = index.first()["file"].rsplit("/archives/", 1)[0]
+    store, path = file_system(f"{folder}/archives/lost.warc.gz")
+    with store.open_output_stream(path, compression=None) as out:
+        out.write(b"half a rec")
+    assert warc.read_records(warc.read_index(pages, folder)).count() == 12
+
+
+def test_ranges_are_joined_up_to_gap_and_size():
+    entries = [("a", 0, 10), ("a", 10, 10), ("a", 25, 5), ("a", 100, 10), ("b", 0, 10), ("b", 10, 95)]
+    found = [(f, s, e, len(h)) for f, s, e, h in warc.coalesced(entries, gap=5, most=100)]
+    assert found == [("a", 0, 30, 3), ("a", 100, 110, 1), ("b", 0, 10, 1), ("b", 10, 105, 1)]
+
+
+def test_empty_table(spark):
+    assert warc.read_records(warc.write_archives(odd_pages(spark).limit(0))).count() == 0
