@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +34,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def materialize(rows: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder once and go on from there, for results that are read repeatedly."""
+    return materialize_at(rows, name)[0]
+
+
+def materialize_at(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, to be removed when what was made from the rows is written itself."""
     path = scratch_dir(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:
     """Remove what this application has written to the shared folder, once its results have been used."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Free the disk of shuffles whose DataFrames are not referred to any more.
+
+    Spark removes them when the driver's garbage is collected, which a driver with memory to spare may not do
+    for half an hour.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
