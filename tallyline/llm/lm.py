@@ -37,10 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.tokens import chunks, mix, running
-from tallyline.session import materialize
+from tallyline.session import drop_shuffles, materialize, materialize_at, remove
 
 TEST, DEV, FOLDS = 1, 0, 5
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 GROUP_KEYS = 1_000_000
 BUCKETS = 40
 STEPS = 4
@@ -356,12 +356,17 @@ def score_texts(
     """
     fold = F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS, F.lit(FOLDS - 1)).cast("tinyint")
     rows = docs.select(F.col(id_col).alias("doc_id"), fold.alias("fold"), F.col(text_col).cast("string").alias("text"))
-    blocks = materialize(token_blocks(rows, block_tokens), "lm-blocks")
+    spark = docs.sparkSession
+    blocks, blocks_path = materialize_at(token_blocks(rows, block_tokens), "lm-blocks")
     size = blocks.agg(F.sum("n_vocab").alias("words"), F.sum("n_tokens").alias("tokens")).first()
     slices = {kind: max(1, math.ceil((size[name] or 0) / group_keys)) for kind, name in (("word", "words"), ("pair", "tokens"))}
     asked = [answers(requests(blocks, kind, slices[kind]), kind) for kind in ("word", "pair")]
     answered = materialize(asked[0].union(asked[1]), "lm-answers")
+    del asked
+    drop_shuffles(spark)
     counted = materialize(counted_blocks(blocks, answered), "lm-counted")
+    remove(spark, blocks_path)
+    drop_shuffles(spark)
 
     totals = answered.groupBy("kind").agg(F.sum("known").alias("known"), F.sum("total").alias("total"), F.sum("dev_total").alias("dev"))
     of_words = {row["kind"]: row for row in totals.collect()}.get("word")
