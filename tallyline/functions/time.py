@@ -13,19 +13,30 @@ DEFAULT_MINUTES = 10
 NTZ = "timestamp_ntz"
 
 
+def _column(ts: Column | str) -> Column:
+    return F.col(ts) if isinstance(ts, str) else ts
+
+
 def minute_floor(ts: Column | str) -> Column:
-    """Start of the UTC minute that holds ``ts``."""
-    return F.date_trunc("minute", ts).cast(NTZ)
+    """Start of the minute that holds the naive UTC time ``ts``. No step goes through the session's time zone."""
+    ts = _column(ts)
+    return ts - F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), ts))
 
 
 def day_floor(ts: Column | str) -> Column:
-    """Start of the UTC day that holds ``ts``."""
-    return F.date_trunc("day", ts).cast(NTZ)
+    """Start of the day that holds the naive UTC time ``ts``."""
+    return _column(ts).cast("date").cast(NTZ)
 
 
 def minute_key(prefix: str, ts: Column | str) -> Column:
-    """Text key of a minute, for instance ``visitCounter_2024_01_31T09_05``."""
-    return F.date_format(ts, f"'{prefix}'_yyyy_MM_dd'T'HH_mm")
+    """Text key of a naive UTC minute, for instance ``visitCounter_2024_01_31T09_05``."""
+    minute = F.substring(_column(ts).cast(NTZ).cast("string"), 1, 16)
+    return F.concat(F.lit(f"{prefix}_"), F.translate(minute, "- :", "_T_"))
+
+
+def utc_instant(ts: Column | str) -> Column:
+    """The instant of a naive UTC time, whatever the session's time zone."""
+    return F.concat(_column(ts).cast("string"), F.lit("Z")).cast("timestamp")
 
 
 def at(moment: datetime) -> Column:
@@ -39,7 +50,7 @@ def current_minute() -> datetime:
 
 
 def latest_minute(events: DataFrame, ts: str = "timestamp") -> datetime:
-    """The minute of the newest event: a repeatable stand-in for the running minute."""
+    """The minute of the newest event: a repeatable stand-in for the running minute. Runs a job."""
     newest = events.agg(F.max(F.col(ts).cast(NTZ))).first()[0]
     return (newest or current_minute()).replace(second=0, microsecond=0)
 

@@ -8,26 +8,43 @@ from pyspark.sql import functions as F
 from tallyline.functions.time import at
 from tallyline.sources.lookup import Lookup
 
-# Copies of a lookup row in the shuffled join. A branch that holds a third of all movements is spread over
-# as many tasks, and the adaptive skew join splits what is still too large. The copies of a very large lookup
-# are limited in number, down to none.
+SNAPSHOT_HOURS = 10
+
+
+# In a shuffled join, a key with more than one row in HEAVY_PART is dealt over SALTS tasks. There are fewer than
+# HEAVY_PART such keys, whatever the lookup's size, and only their lookup rows are copied.
+HEAVY_PART = 100
 SALTS = 32
-SALTED_ROWS = 1 << 30
 
-SNAPSHOT_HOURS = 10
+
+def heavy_keys(rows: DataFrame, on: list[str]) -> DataFrame:
+    """Hashes of the keys that hold a large part of the rows, from one sketch of fixed size. No result depends on it."""
+    top = F.expr(f"approx_top_k(_key, {HEAVY_PART}, {100 * HEAVY_PART})").alias("top")
+    tops = rows.select(F.xxhash64(*on).alias("_key")).agg(top, F.count("*").alias("n"))
+    items = tops.select("n", F.explode("top").alias("e"))
+    return items.where(F.col("e.count") * HEAVY_PART > F.col("n")).select(F.col("e.item").alias("_key"))
 
 
 def join_lookup(rows: DataFrame, lookup: Lookup, on: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join with a lookup: replicated if its measured size allows, else shuffled with salted keys.
+    """Equi-join with a lookup: replicated if its measured size allows, else a sort-merge join through a shuffle.
 
-    The salt is a hash of the row itself and so comes out the same when a lost task is run again.
+    Rows of a heavy key are dealt out by their place in their partition, so equal rows part as well, and meet a copy
+    of the lookup row each. The place comes out the same when a lost task is run again. What is still uneven is left
+    to the adaptive skew join.
     """
     if lookup.fits_broadcast:
         return rows.join(F.broadcast(lookup.rows), on, how)
-    salts = max(1, min(SALTS, SALTED_ROWS // max(1, lookup.n_rows)))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    copies = lookup.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    heavy = F.broadcast(heavy_keys(rows, on).withColumn("_heavy", F.lit(True)))  # fewer than HEAVY_PART rows
+
+    def flagged(side: DataFrame) -> DataFrame:
+        return side.withColumn("_key", F.xxhash64(*on)).join(heavy, "_key", "left")
+
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salted = flagged(rows.withColumn("_place", place)).withColumn("_salt", F.when(F.col("_heavy"), F.col("_place")).otherwise(0))
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col("_heavy"), SALTS - 1).otherwise(0)))
+    copied = flagged(lookup.rows).withColumn("_salt", copies).drop("_key", "_heavy")
+    joined = salted.drop("_key", "_heavy", "_place").hint("merge").join(copied, [*on, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def unassigned(movements: DataFrame) -> DataFrame:
@@ -50,6 +67,12 @@ def enrich(movements: DataFrame, lookup: Lookup, keep_assigned: bool = False) ->
     return found.unionByName(assigned(movements)) if keep_assigned else found
 
 
+def branch_misses(movements: DataFrame, lookup: Lookup) -> DataFrame:
+    """Number of movements for each branch the lookup does not know, counted before the join."""
+    per_branch = unassigned(movements).groupBy("branch").agg(F.count("*").alias("n"))
+    return join_lookup(per_branch, lookup, ["branch"], "left_anti")
+
+
 def lookup_misses(movements: DataFrame, lookup: Lookup) -> DataFrame:
     """Movements whose branch the lookup does not know."""
     return join_lookup(unassigned(movements).drop("company"), lookup, ["branch"], "left_anti")

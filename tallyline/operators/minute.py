@@ -6,10 +6,10 @@ A report puts merged partials on the dense trailing-minute axis, zero where noth
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.time import minute_floor, day_floor
+from tallyline.functions.time import minute_floor
 
 # Size of the sketch, as a power of two: about 0.8 % standard error.
 SKETCH_BITS = 14
@@ -57,10 +57,31 @@ def experiments_report(axis: DataFrame, experiments: DataFrame) -> DataFrame:
     return _on_axis(axis, live.agg(F.count("*").alias("metric")))
 
 
-def users_by_day(events: DataFrame) -> DataFrame:
-    """Exact and approximate users per day, from the distinct users of the day."""
-    users = events.select(day_floor("timestamp").alias("day"), "uid").where("uid IS NOT NULL").distinct()
-    return users.groupBy("day").agg(
-        F.count("*").alias("exact"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("uid", F.lit(SKETCH_BITS))).alias("approximate"),
+def trailing_report(per_minute: DataFrame, minutes: int) -> DataFrame:
+    """The last complete minutes before the newest ``minute``, from rows ``minute, metric``, in one pass over them.
+
+    The newest minute yields the axis, with zeros, and every minute on it adds its metric. One task sees one row per
+    minute to find the newest: half a million a year however many events there are. No rows give no report.
+    """
+    newest = F.max("minute").over(Window.partitionBy())
+    axis = F.transform(
+        F.sequence(F.lit(1), F.lit(max(minutes, 1))),
+        lambda back: F.struct((F.col("asof") - F.make_dt_interval(mins=back)).alias("timestamp"), F.lit(0.0).alias("metric")),
     )
+    own = F.array(F.struct(F.col("minute").alias("timestamp"), F.col("metric").cast("double").alias("metric")))
+    first = F.col("asof") - F.make_dt_interval(mins=F.lit(minutes))
+    points = F.when(F.col("minute") == F.col("asof"), axis).when(F.col("minute") >= first, own)
+    shown = per_minute.withColumn("asof", newest).where(F.lit(minutes > 0)).select(F.explode(points).alias("p"))
+    return shown.groupBy("p.timestamp").agg(F.sum("p.metric").alias("metric"))
+
+
+def approximate_users(events: DataFrame, *by: str) -> DataFrame:
+    """Approximate users per group. Only sketches are shuffled, whatever the number of users."""
+    sketch = F.hll_sketch_agg("uid", F.lit(SKETCH_BITS))
+    return events.groupBy(*by).agg(F.hll_sketch_estimate(sketch).alias("approximate"))
+
+
+def exact_users(events: DataFrame, *by: str) -> DataFrame:
+    """Exact users per group, to compare with."""
+    users = events.select(*by, "uid").where("uid IS NOT NULL").distinct()
+    return users.groupBy(*by).agg(F.count("*").alias("exact"))

@@ -2,21 +2,20 @@
 
 A set is kept as rows ``set_key, member``; the operators do not mind a row that comes twice. Overlaps are
 read off the combination of variants each member is in: members with the same combination are counted first,
-and only the combinations are expanded to pairs. That takes one shuffle of the rows, and a member or a
-variant that makes up a large part of them is one combination per task after the map-side step.
+and only the combinations are expanded to pairs. The rows are read and shuffled once. All pairs, zero included,
+are the feature, so their number is that of the variants squared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.keys import is_variant_key, overlap_key, set_key, variant_name
 
-# Side of the grid over which the pairs of variants are spread.
+# Side of the grid over which the pairs of variants are spread, and variants of a combination paired in one row.
 PAIR_BLOCKS = 8
-
-MAX_MATRIX_COLUMNS = 10_000
+PAIR_SLICE = 64
 
 
 def memberships(events: DataFrame) -> DataFrame:
@@ -51,11 +50,25 @@ def _combinations(sets: DataFrame) -> DataFrame:
 
 
 def _pairs_within(combinations: DataFrame, *keep: str) -> DataFrame:
-    """Each two variants of a combination as ``dim_a, dim_b``, in sorted order."""
-    behind = F.slice("keys", F.col("at") + 2, F.size("keys"))
-    pairs = combinations.select(*keep, "keys", F.posexplode("keys").alias("at", "first")).select(
-        *keep, "first", F.explode(behind).alias("second")
-    )
+    """Each two variants of a combination as ``dim_a, dim_b``, in sorted order.
+
+    A combination is first cut into pairs of slices, rows of at most two slices of names. Those of a long one,
+    say of a robot that is in every variant, are dealt out before they are expanded.
+    """
+    slices = F.ceil(F.size("keys") / PAIR_SLICE).cast("int")
+    one = F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1)).alias("one")
+    numbered = combinations.withColumn("slices", slices).select(*keep, "keys", "slices", one)
+    two = F.explode(F.sequence("one", F.greatest(F.col("slices"), F.lit(1)) - 1)).alias("two")
+    numbered = numbered.select(*keep, "keys", "slices", "one", two)
+
+    def names(number: str) -> Column:
+        return F.slice("keys", F.col(number) * PAIR_SLICE + 1, F.lit(PAIR_SLICE))
+
+    cut = numbered.select(*keep, "slices", names("one").alias("left"), names("two").alias("right"))
+    short, long = cut.where("slices <= 1"), cut.where("slices > 1")
+    cut = short.unionByName(long.hint("rebalance"))
+    firsts = cut.select(*keep, "right", F.explode("left").alias("first"))
+    pairs = firsts.select(*keep, "first", F.explode("right").alias("second")).where("first < second")
     return pairs.select(
         variant_name(F.col("first")).alias("dim_a"), variant_name(F.col("second")).alias("dim_b"), *keep
     )
@@ -79,9 +92,24 @@ def variant_pairs(variants: DataFrame) -> DataFrame:
 
 
 def variant_overlap(sets: DataFrame) -> DataFrame:
-    """Number of common users for every pair of variants, zero included."""
-    common = _pairs_within(_combinations(sets).groupBy("keys").agg(F.count("*").alias("users")), "users")
-    none = variant_pairs(discover_variants(sets)).withColumn("users", F.lit(0).cast("bigint"))
+    """Number of common users for every pair of variants, zero included.
+
+    The names are read off the combinations too, so the sets are read once.
+    """
+    return combination_overlap(combination_counts(sets))
+
+
+def combination_counts(sets: DataFrame) -> DataFrame:
+    """Number of members in exactly the variants of each combination."""
+    return _combinations(sets).groupBy("keys").agg(F.count("*").alias("users"))
+
+
+def combination_overlap(combinations: DataFrame) -> DataFrame:
+    """Number of common users for every pair of variants, from the counts of combinations."""
+    common = _pairs_within(combinations, "users")
+    names = combinations.select(F.explode("keys").alias("key")).distinct()
+    none = variant_pairs(names.select(variant_name(F.col("key")).alias("variant")))
+    none = none.withColumn("users", F.lit(0).cast("bigint"))
     return (
         common.unionByName(none)
         .groupBy("dim_a", "dim_b")
@@ -119,16 +147,12 @@ def overlap_dimensions(overlap: DataFrame) -> DataFrame:
     return overlap.select(both).distinct()
 
 
-def overlap_matrix(overlap: DataFrame, variants: DataFrame) -> DataFrame:
-    """One row per first variant, one column per variant, null where the pair does not exist.
+def overlap_matrix(overlap: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per first variant, one column for each named variant, null where the pair does not exist.
 
-    The column names have to be known to lay out the table; more than a table can have is an error.
+    This is how a few variants are shown. ``variant_overlap`` is the same in long form, for any number of them.
     """
-    names = variants.select("variant").distinct().limit(MAX_MATRIX_COLUMNS + 1).collect()
-    if len(names) > MAX_MATRIX_COLUMNS:
-        raise ValueError(f"more than {MAX_MATRIX_COLUMNS} variants do not fit the columns of a table")
-    rows = overlap.groupBy(F.col("dim_a").alias("variant"))
-    return rows.pivot("dim_b", sorted(row["variant"] for row in names)).agg(F.first("metric"))
+    return overlap.groupBy(F.col("dim_a").alias("variant")).pivot("dim_b", sorted(columns)).agg(F.first("metric"))
 
 
 def with_dimensions(overlap: DataFrame) -> DataFrame:
@@ -137,10 +161,14 @@ def with_dimensions(overlap: DataFrame) -> DataFrame:
 
 
 def experiment_conversion(events: DataFrame, goal: str) -> DataFrame:
-    """Share of an experiment's users with at least one ``goal`` event."""
+    """Share of an experiment's users with at least one ``goal`` event.
+
+    An event without a user is nobody's; an experiment that only has such events has no users and no rate.
+    """
     per_user = events.groupBy("experiment_id", "uid").agg(F.max(F.col("variant") == goal).alias("converted"))
+    known = F.col("uid").isNotNull()
     return (
         per_user.groupBy("experiment_id")
-        .agg(F.count("*").alias("users"), F.count_if("converted").alias("converted"))
-        .withColumn("rate", F.col("converted") / F.col("users"))
+        .agg(F.count_if(known).alias("users"), F.count_if(known & F.col("converted")).alias("converted"))
+        .withColumn("rate", F.try_divide("converted", "users"))
     )

@@ -15,7 +15,7 @@ from tallyline.schemas import (
     CDC_SCHEMA,
     JSON_OPTIONS,
     WEB_SCHEMA,
-    WEB_TIMESTAMP_FORMAT,
+    WEB_TIMESTAMP_PATTERN,
 )
 
 MALFORMED = "malformed"
@@ -76,7 +76,8 @@ def parse_web(messages: DataFrame) -> DataFrame:
     body = F.col("m.body")
     uid = body["uid"].try_cast("bigint")
     experiment = body["experiment_id"].try_cast("int")
-    moment = F.try_to_timestamp(body["timestamp"], F.lit(WEB_TIMESTAMP_FORMAT)).cast(NTZ)
+    whole = body["timestamp"].rlike(WEB_TIMESTAMP_PATTERN)
+    moment = F.when(whole, F.substring(body["timestamp"], 1, 19).try_cast(NTZ))
     absent = (
         body["uid"].isNull()
         | body["experiment_id"].isNull()
@@ -109,6 +110,11 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select("reason", "message")
 
 
+def only_rejected_text(parsed: DataFrame) -> DataFrame:
+    """Without the text of good messages, which nothing reads any more."""
+    return parsed.withColumn("message", F.when(F.col("reason").isNotNull(), F.col("message")))
+
+
 def reject_counts(parsed: DataFrame) -> DataFrame:
     """Number of unusable messages per reason."""
     return rejected(parsed).groupBy("reason").agg(F.count("*").alias("n"))

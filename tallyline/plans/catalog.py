@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import keys, time
 from tallyline.operators import counters, enrich, minute, overlap, parse, route
 from tallyline.plans import inputs, reports
-from tallyline.session import materialize, scratch_dir, use_utc
+from tallyline.session import materialize, scratch_dir
 from tallyline.sources import lookup, messages, store
 from tallyline.streaming import stock, web
 
@@ -25,12 +25,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    """Register under the function's own name, with the session set to UTC."""
-
-    def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(use_utc(spark), sf_dir)
-
-    QUERIES[run.__name__] = in_utc
+    """Register under the function's own name. No query depends on the session's time zone or changes it."""
+    QUERIES[run.__name__] = run
     return run
 
 
@@ -57,14 +53,6 @@ def _sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.order_sets(inputs.table(spark, sf_dir, "orders"))
 
 
-def _trailing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The report axis up to the newest event, and the events that can fall on it."""
-    events = _events(spark, sf_dir)
-    asof = time.latest_minute(events)
-    axis = time.trailing_minutes(spark, REPORT_MINUTES, asof)
-    return axis, time.within_trailing(events, REPORT_MINUTES, asof)
-
-
 # Messages
 
 
@@ -138,7 +126,7 @@ def _snapshots(movements: DataFrame, every: bool) -> lookup.Lookup:
 
     Unless ``every``, two windows in five have no snapshot.
     """
-    number = (F.unix_timestamp(F.col("window").cast("timestamp")) / 36000).cast("bigint")
+    number = (F.unix_seconds(time.utc_instant("window")) / 36000).cast("bigint")
     rows = (
         movements.select("branch", enrich.snapshot_window("timestamp").alias("window"))
         .where("branch <> '9'")
@@ -221,8 +209,8 @@ def minute_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trailing_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, _ = _trailing(spark, sf_dir)
-    return axis
+    minutes = _events(spark, sf_dir).select(time.minute_floor("timestamp").alias("minute")).distinct()
+    return minute.trailing_report(minutes.withColumn("metric", F.lit(0)), REPORT_MINUTES).select("timestamp")
 
 
 @query
@@ -236,27 +224,40 @@ def nil_to_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def visits_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, events = _trailing(spark, sf_dir)
-    return minute.visits_report(axis, minute.minute_partials(events))
+    minutes = minute.minute_partials(_events(spark, sf_dir))
+    return minute.trailing_report(minutes.select("minute", F.col("visits").alias("metric")), REPORT_MINUTES)
 
 
 @query
 def users_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, events = _trailing(spark, sf_dir)
-    return minute.users_report(axis, minute.minute_partials(events))
+    minutes = minute.minute_partials(_events(spark, sf_dir))
+    users = F.hll_sketch_estimate("users").alias("metric")
+    return minute.trailing_report(minutes.select("minute", users), REPORT_MINUTES)
 
 
 @query
 def experiments_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis, events = _trailing(spark, sf_dir)
-    return minute.experiments_report(axis, minute.experiment_partials(events))
+    live = minute.experiment_partials(_events(spark, sf_dir)).groupBy("minute")
+    return minute.trailing_report(live.agg(F.count("experiment_id").alias("metric")), REPORT_MINUTES)
 
 
 @query
 def users_per_day_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = minute.users_by_day(_events(spark, sf_dir))
+    events = _events(spark, sf_dir).withColumn("day", time.day_floor("timestamp"))
+    return _with_error(events, "day")
+
+
+def _with_error(events: DataFrame, by: str) -> DataFrame:
+    both = minute.exact_users(events, by).join(minute.approximate_users(events, by), by)
     error = F.abs(F.col("approximate") - F.col("exact"))
-    return days.select("day", "exact", (error <= F.col("exact") * 0.03).alias("within_3pct"))
+    return both.select(by, "exact", (error <= F.col("exact") * 0.03).alias("within_3pct"))
+
+
+@query
+def users_approx_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of many users, with the order as the user: sketches are exact only for the smallest groups."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    return _with_error(lines.select(F.col("l_linestatus").alias("status"), F.col("l_orderkey").alias("uid")), "status")
 
 
 @query
@@ -268,7 +269,7 @@ def metric_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved.backfill("minutes", minute.minute_partials(batches, "batch_id"), "quarters")
     saved.backfill("experiments", minute.experiment_partials(batches, "batch_id"), "quarters")
     minutes = saved.read("minutes").withColumn("users", F.hll_sketch_estimate("users"))
-    experiments = saved.read("experiments").groupBy("minute").agg(F.count("*").alias("n"))
+    experiments = saved.read("experiments").groupBy("minute").agg(F.count("experiment_id").alias("n"))
     return minutes.unpivot("minute", ["visits", "users"], "family", "n").unionByName(
         experiments.withColumn("family", F.lit("experiments"))
     )
@@ -317,13 +318,21 @@ def overlap_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def overlap_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlap.overlap_dimensions(overlap.variant_overlap(_sets(spark, sf_dir)))
+    return overlap.overlap_dimensions(overlap.variant_pairs(overlap.discover_variants(_sets(spark, sf_dir))))
+
+
+@query
+def overlap_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output form of the overlap report, the pair as one array, shown as text."""
+    points = overlap.with_dimensions(overlap.variant_overlap(_sets(spark, sf_dir)))
+    return points.select(F.array_join("dimensions", "|").alias("dimensions"), "metric")
 
 
 @query
 def overlap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = _sets(spark, sf_dir)
-    return overlap.overlap_matrix(overlap.variant_overlap(sets), overlap.discover_variants(sets))
+    shown = [row["variant"] for row in overlap.discover_variants(sets).collect()]
+    return overlap.overlap_matrix(overlap.variant_overlap(sets), shown)
 
 
 @query
@@ -379,18 +388,49 @@ def stream_variant_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.variants_overlap(_web_store(spark, sf_dir))
 
 
+@query
+def stream_visits_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visits report with the place of each point in it."""
+    asof = time.latest_minute(_events(spark, sf_dir))
+    report = reports.visits(_web_store(spark, sf_dir), REPORT_MINUTES, asof).coalesce(1)
+    return report.select(F.monotonically_increasing_id().alias("place"), "timestamp", "metric")
+
+
 @query
 def stream_closed_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The watermarked way: minutes an hour before the newest event and older."""
-    root = scratch_dir(spark, "closed-minutes")
-    events = inputs.web_events(messages.stream_table(spark, f"{sf_dir}/events.parquet"))
-    (
-        web.closed_minutes(events, "1 hour")
-        .writeStream.format("parquet")
-        .option("path", f"{root}/minutes")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(**AVAILABLE_NOW)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema("minute TIMESTAMP_NTZ, visits BIGINT").parquet(f"{root}/minutes")
+    """Minutes that ended an hour before the newest event or earlier, however the events were cut into batches."""
+    return reports.closed_minutes(_web_store(spark, sf_dir), minutes=60)
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unusable messages in full, as the stream keeps them."""
+    root = scratch_dir(spark, "reject-stream")
+    totals = store.PartialStore(spark, f"{root}/store", store.STOCK_FAMILIES)
+    sent = inputs.streamed_part_damaged_messages(spark, sf_dir)
+    branches = lookup.RefreshingLookup(lambda: _branches(spark, sf_dir))
+    stock.start_stock_stream(sent, totals, branches, f"{root}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+    return totals.rejected_messages()
+
+
+@query
+def stream_lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the stream over the same messages. The lookup has changed, and is read again, before the second."""
+    root = scratch_dir(spark, "refresh-stream")
+    hours = [0.0]
+
+    def branches() -> DataFrame:
+        moved = (F.col("company").cast("int") + (1 if hours[0] else 0)) % 3
+        return _branches(spark, sf_dir).withColumn("company", moved.cast("string"))
+
+    refreshing = lookup.RefreshingLookup(branches, clock=lambda: hours[0] * 3600)
+    totals = store.PartialStore(spark, f"{root}/store", store.STOCK_FAMILIES)
+    for run, hour in (("first", 0.0), ("same", 9.0), ("second", 10.0)):
+        hours[0] = hour
+        if run != "same":
+            changes = inputs.streamed_change_messages(spark, sf_dir)
+            stream = stock.start_stock_stream(changes, totals, refreshing, f"{root}/{run}", run=run, trigger=AVAILABLE_NOW)
+            stream.awaitTermination()
+        else:
+            refreshing.get()  # too early for another read
+    return totals.read("counters")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.functions.time import utc_instant
 from tallyline.operators.overlap import memberships
 from tallyline.sources.lookup import scan_lookup
 from tallyline.sources.messages import stream_table
@@ -13,8 +14,8 @@ from tallyline.sources.messages import stream_table
 LINE = ["l_orderkey", "l_linenumber"]
 
 # Bytes of table files in one micro-batch. A batch keeps its parsed messages while it writes its outputs, so
-# the whole of a large table must not be one batch.
-BATCH_BYTES = 1 << 40
+# the whole of a large table must not be one batch. This paces a stream and drops nothing.
+BATCH_BYTES = 16 << 30
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +48,7 @@ def cdc_message(**extra: Column) -> Column:
         "after": after,
         "source": F.struct(F.lit("stock").alias("table"), F.col("l_orderkey").alias("row")),
         "op": _operation(),
-        "ts_ms": F.unix_millis(F.col("l_shipdate").cast("timestamp")),
+        "ts_ms": F.unix_millis(utc_instant("l_shipdate")),
         **extra,
     }
     return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
@@ -91,6 +92,15 @@ def streamed_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc_messages(spread(stream, table(spark, sf_dir, "lineitem"), *LINE))
 
 
+def streamed_part_damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change messages of which every tenth order is plain text and every tenth has no text, as a stream."""
+    kind = F.col("l_orderkey") % 10
+    text = F.concat_ws(" ", F.lit("order"), "l_orderkey", "l_linenumber")
+    damaged = F.when(kind == 0, text).when(kind == 1, F.lit("")).otherwise(cdc_message())
+    stream = stream_table(spark, f"{sf_dir}/lineitem.parquet", max_bytes=BATCH_BYTES)
+    return spread(stream, table(spark, sf_dir, "lineitem"), *LINE).select(damaged.alias("value"))
+
+
 def branch_lookup(supplier: DataFrame) -> DataFrame:
     """Nine in ten suppliers as branches of three companies."""
     rows = supplier.where("s_suppkey % 10 <> 7").select(
@@ -111,9 +121,8 @@ def web_events(events: DataFrame) -> DataFrame:
 
 def web_messages(events: DataFrame) -> DataFrame:
     """Web event messages; the message has whole seconds."""
-    rows = web_events(events).withColumn(
-        "timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    )
+    second = F.translate(F.substring(F.col("timestamp").cast("string"), 1, 19), " ", "T")
+    rows = web_events(events).withColumn("timestamp", F.concat(second, F.lit("Z")))
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
 
 

@@ -184,6 +184,24 @@ SQL = {
     "stream_users_per_minute": _report("count(DISTINCT uid)"),
     "stream_experiments_per_minute": _report("count(DISTINCT experiment_id)"),
     "stream_variant_overlap": _overlap(EVENT_PAIRS, EVENT_MEMBERS),
+    "users_approx_large": """
+        SELECT l_linestatus AS status, count(DISTINCT l_orderkey) AS exact, true AS within_3pct FROM lineitem GROUP BY 1
+    """,
+    "overlap_points": f"SELECT dim_a || '|' || dim_b AS dimensions, metric FROM ({OVERLAP})",
+    "stream_visits_newest_first": f"""
+        SELECT row_number() OVER (ORDER BY timestamp DESC) - 1 AS place, timestamp, metric FROM ({_report("count(*)")})
+    """,
+    "stream_rejects": """
+        SELECT 'malformed' AS reason, CASE l_orderkey % 10 WHEN 0 THEN 'order ' || l_orderkey || ' ' || l_linenumber ELSE '' END AS message
+        FROM lineitem WHERE l_orderkey % 10 < 2
+    """,
+    "stream_lookup_refresh": f"""
+        SELECT m.branch || '|1|' || m.sku AS counter_key, CAST(sum(CAST(m.value AS BIGINT)) AS BIGINT) AS total
+        FROM ({MOVEMENTS}) m JOIN (
+            SELECT branch, company FROM ({BRANCHES})
+            UNION ALL SELECT branch, CAST((CAST(company AS INTEGER) + 1) % 3 AS VARCHAR) FROM ({BRANCHES})
+        ) b ON m.branch = b.branch WHERE b.company = '1' GROUP BY 1
+    """,
     "stream_closed_minutes": f"""
         SELECT minute, count(*) AS visits FROM ({EVENTS}) GROUP BY 1
         HAVING minute + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR

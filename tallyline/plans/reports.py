@@ -1,10 +1,11 @@
-"""The reports over a store of web metrics: minute series for the last minutes and the variant overlap."""
+"""The reports over a store of web metrics: minute series, newest minute first, and the variant overlap."""
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tallyline.functions.time import (
     DEFAULT_MINUTES,
@@ -34,15 +35,26 @@ def times(spark: SparkSession, minutes: int = DEFAULT_MINUTES, asof: datetime |
 
 
 def visits(store: PartialStore, minutes: int = DEFAULT_MINUTES, asof: datetime | None = None) -> DataFrame:
-    return visits_report(*_axis_and_metric(store, "minutes", minutes, asof))
+    return newest_first(visits_report(*_axis_and_metric(store, "minutes", minutes, asof)))
 
 
 def users(store: PartialStore, minutes: int = DEFAULT_MINUTES, asof: datetime | None = None) -> DataFrame:
-    return users_report(*_axis_and_metric(store, "minutes", minutes, asof))
+    return newest_first(users_report(*_axis_and_metric(store, "minutes", minutes, asof)))
 
 
 def experiments(store: PartialStore, minutes: int = DEFAULT_MINUTES, asof: datetime | None = None) -> DataFrame:
-    return experiments_report(*_axis_and_metric(store, "experiments", minutes, asof))
+    return newest_first(experiments_report(*_axis_and_metric(store, "experiments", minutes, asof)))
+
+
+def closed_minutes(store: PartialStore, minutes: int) -> DataFrame:
+    """Visits of every minute that ended ``minutes`` or more before the newest event, from all partials.
+
+    Late events count wherever they fall, so how the events came in batches makes no difference.
+    """
+    newest = F.max("minute").over(Window.partitionBy())  # one row per minute of the calendar
+    merged = store.read("minutes").select("minute", "visits", newest.alias("newest"))
+    last = F.col("newest") - F.make_dt_interval(mins=F.lit(minutes + 1))
+    return merged.where(F.col("minute") <= last).select("minute", "visits")
 
 
 def variants_overlap(store: PartialStore) -> DataFrame:

@@ -22,5 +22,5 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "false",
 }
 
-# Fixed value: UTC, whole seconds.
-WEB_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# Fixed value: yyyy-MM-ddTHH:mm:ssZ, UTC, whole seconds.
+WEB_TIMESTAMP_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"

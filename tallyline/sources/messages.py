@@ -11,24 +11,25 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+# What one micro-batch takes at most. It paces a stream that begins with a long history and drops nothing.
+FILES_PER_BATCH = 1_000
+OFFSETS_PER_BATCH = 50_000_000
+
+
+def stream_messages(spark: SparkSession, path: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
     """Messages of text files as they arrive in a folder."""
-    reader = spark.readStream.format("text")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(path)
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
+def stream_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int = OFFSETS_PER_BATCH) -> DataFrame:
     """Messages of a Kafka topic; the session needs Spark's Kafka connector."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", max_offsets)
     )
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 

@@ -12,8 +12,8 @@ makes the new generation current, so a crash in between changes nothing.
 Only the folded state is laid out by day: a micro-batch is small and would fall apart into tiny files. Within
 a batch the time range is pruned by the statistics of the Parquet files.
 
-One writer at a time. Generations before the current one are not read any more and can be expired by the
-storage's own lifecycle rules.
+One writer at a time. Generations before the current one are not read any more; ``expire`` removes them. An age
+rule of the storage must not, as it cannot know which generation is current.
 """
 
 from __future__ import annotations
@@ -109,6 +109,14 @@ class PartialStore:
         generation = self.generation() if generation is None else generation
         self._write(partials, f"{self._folder(table, generation)}/batches/run={run}/batch_id={batch_id}")
 
+    def keep_rejected(self, messages: DataFrame, run: str, batch_id: int, folder: str | None = None) -> None:
+        """Store the unusable messages of one batch in full. They are kept as they came and never folded."""
+        self._write(messages, f"{folder or self.root + '/rejected_messages'}/run={run}/batch_id={batch_id}")
+
+    def rejected_messages(self) -> DataFrame:
+        """All unusable messages with their reason."""
+        return self._read(f"{self.root}/rejected_messages", "reason STRING, message STRING").select("reason", "message")
+
     def backfill(self, table: str, partials: DataFrame, run: str) -> None:
         """Store the partials of many batches, told apart by ``batch_id``, in one job."""
         self._write(partials, f"{self._folder(table, self.generation())}/batches/run={run}", by="batch_id")
@@ -135,6 +143,15 @@ class PartialStore:
         """The metric itself: partials folded."""
         return self.families[table].merge(self.partials(table, start=start, end=end))
 
+    def expire(self, keep: int = 1) -> None:
+        """Remove generations before the last ``keep``. The current one and its marker always stay."""
+        oldest = self.generation() - max(keep, 1) + 1
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for table in [*self.families, "current"]:
+            for generation in range(oldest):
+                files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(table, generation)), True)
+
     def fold(self, run: str, before: int) -> int:
         """Merge everything but batches of ``run`` from number ``before`` on into a new generation.
 

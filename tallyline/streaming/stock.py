@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.counters import stock_movement
-from tallyline.operators.enrich import lookup_misses
-from tallyline.operators.parse import accepted, parse_cdc, reject_counts, rejected
+from tallyline.operators.enrich import branch_misses
+from tallyline.operators.parse import accepted, only_rejected_text, parse_cdc, reject_counts, rejected
 from tallyline.sources.lookup import RefreshingLookup
 from tallyline.sources.store import PartialStore
 
@@ -26,23 +26,24 @@ def stock_batch(
     fold_every: int = FOLD_EVERY,
     dead_letters: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """What to do with each micro-batch of parsed messages: one parse, several outputs."""
+    """What to do with each micro-batch of parsed messages: one parse, several outputs.
+
+    Unusable messages are kept in full in the store, or in the folder ``dead_letters`` if that is given.
+    """
 
     def process(parsed: DataFrame, batch_id: int) -> None:
         if batch_id and batch_id % fold_every == 0:
             store.fold(run, batch_id)
         generation = store.generation()
         branches = lookup.get()
-        parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             movements = accepted(parsed)
-            missed = lookup_misses(movements, branches).groupBy("branch").agg(F.count("*").alias("n"))
+            missed = branch_misses(movements, branches)
             store.write("counters", stock_movement(movements, branches, company), run, batch_id, generation)
             store.write("misses", missed, run, batch_id, generation)
             store.write("rejects", reject_counts(parsed), run, batch_id, generation)
-            if dead_letters:
-                folder = f"{dead_letters}/run={run}/batch_id={batch_id}"
-                rejected(parsed).write.mode("overwrite").parquet(folder)
+            store.keep_rejected(rejected(parsed), run, batch_id, dead_letters)
         finally:
             parsed.unpersist()
 

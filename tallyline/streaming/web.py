@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyline.functions.time import NTZ
 from tallyline.operators.minute import experiment_partials, minute_partials
 from tallyline.operators.overlap import variant_users
-from tallyline.operators.parse import accepted, parse_web, reject_counts
+from tallyline.operators.parse import accepted, only_rejected_text, parse_web, reject_counts, rejected
 from tallyline.sources.store import PartialStore
 
 FOLD_EVERY = 500
@@ -25,13 +25,14 @@ def web_batch(store: PartialStore, run: str, fold_every: int = FOLD_EVERY) -> Ca
         if batch_id and batch_id % fold_every == 0:
             store.fold(run, batch_id)
         generation = store.generation()
-        parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = accepted(parsed)
             store.write("minutes", minute_partials(events), run, batch_id, generation)
             store.write("experiments", experiment_partials(events), run, batch_id, generation)
             store.write("variant_users", variant_users(events), run, batch_id, generation)
             store.write("rejects", reject_counts(parsed), run, batch_id, generation)
+            store.keep_rejected(rejected(parsed), run, batch_id)
         finally:
             parsed.unpersist()
 
@@ -66,7 +67,8 @@ def closed_minutes(events: DataFrame, delay: str) -> DataFrame:
     """Visits of each minute as a watermarked streaming aggregate.
 
     In append mode a minute comes out once, when ``delay`` has passed it, and events later than that are
-    dropped. The partial tables are the way that drops nothing.
+    dropped: what is dropped depends on how the events came in batches. ``reports.closed_minutes`` gives the
+    same minutes from the partial tables and drops nothing.
     """
     timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
     counted = timed.groupBy(F.window("timestamp", "1 minute")).agg(F.count("*").alias("visits"))

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.operators.counters import count_by_key, merge_counters, stock_movement
-from tallyline.operators.enrich import enrich, enrich_from_snapshot, lookup_misses
+from tallyline.operators.enrich import branch_misses, enrich, enrich_from_snapshot, heavy_keys, lookup_misses
 from tallyline.operators.route import by_company, route, split
 from tallyline.sources.lookup import Lookup
 
@@ -42,33 +43,38 @@ def test_enrich(spark, limit):
     assert rows(lookup_misses(moves, branches)) == [("b9", "s", "3")]
 
 
-def test_copies_of_a_large_lookup_are_limited(spark, monkeypatch):
-    monkeypatch.setattr("tallyline.operators.enrich.SALTED_ROWS", 2)
-    moves = spark.createDataFrame([(f"b{i % 2}", "", str(i), "1") for i in range(50)], MOVEMENT)
-    branches = lookup(spark, [("b0", "1"), ("b1", "2")], 0)
+@pytest.mark.parametrize("sku", ["CAST(id AS STRING)", "'same'"])
+def test_a_hot_branch_is_spread(spark, sku):
+    """One branch has a third of the rows, which may all be equal; without the skew join its task would have them all."""
+    moves = spark.range(0, 60_000, 1, 24).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS branch", "'' AS company", f"{sku} AS sku", "'1' AS value"
+    )
+    branches = Lookup.measure(moves.selectExpr("branch", "'1' AS company").distinct(), broadcast_limit=0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     found = enrich(moves, branches)
-    assert found.count() == 50
-    assert {(r["branch"], r["company"]) for r in found.collect()} == {("b0", "1"), ("b1", "2")}
+    assert found.count() == 60_000
+    dealt = found.select("branch", F.spark_partition_id().alias("p")).collect()
+    hot = Counter(r["p"] for r in dealt if r["branch"] == "hot")
+    assert len(hot) > 4 and max(hot.values()) < 10_000
+    assert stock_movement(moves, branches).agg(F.sum("total")).first()[0] == 60_000
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_a_hot_branch_is_spread(spark):
-    """One branch has a third of the rows; without the salt its task would have them all."""
-    moves = spark.range(30_000).selectExpr(
-        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS branch", "'' AS company", "CAST(id AS STRING) AS sku", "'1' AS value"
-    )
-    branches = Lookup.measure(moves.selectExpr("branch", "'1' AS company").distinct(), broadcast_limit=0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = enrich(moves, branches)
-        assert "BroadcastHashJoin" not in plan(found)
-        assert found.count() == 30_000
-        hot = found.where("branch = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-        assert len(hot) > 1 and max(r["count"] for r in hot) < 5_000
-        assert stock_movement(moves, branches).agg(F.sum("total")).first()[0] == 30_000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+def test_only_heavy_keys_are_dealt_out(spark):
+    moves = spark.range(3000).selectExpr("IF(id < 1000, 'hot', CAST(id AS STRING)) AS branch", "'' AS company", "'s' AS sku", "'1' AS value")
+    assert [r[0] for r in heavy_keys(moves, ["branch"]).collect()] == [moves.select(F.xxhash64(F.lit("hot"))).first()[0]]
+    assert heavy_keys(moves.limit(0), ["branch"]).count() == 0
+
+
+def test_large_lookup_is_joined_through_a_shuffle(spark):
+    moves = spark.createDataFrame([("b1", "", "s", "1")], MOVEMENT)
+    text = plan(enrich(moves, lookup(spark, [("b1", "1")], 0)))
+    assert "SortMergeJoin" in text
+
+
+def test_misses_are_counted_before_the_join(spark, limit):
+    moves = spark.createDataFrame([("b9", "", str(i), "1") for i in range(5)] + [("b1", "", "s", "1"), ("b8", "2", "s", "1")], MOVEMENT)
+    assert [tuple(r) for r in branch_misses(moves, lookup(spark, [("b1", "1")], limit)).collect()] == [("b9", 5)]
 
 
 def test_small_lookup_is_replicated(spark):
