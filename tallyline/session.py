@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Minute buckets and time keys are UTC, so the session has to be too."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
@@ -58,7 +53,9 @@ def drop_shuffles(spark: SparkSession) -> None:
     """Free the disk of shuffles whose DataFrames are not referred to any more.
 
     Spark removes them when the driver's garbage is collected, which a driver with memory to spare may not do
-    for half an hour.
+    for half an hour. The first of two collections only frees what refers to them.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)

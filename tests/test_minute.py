@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tallyline.functions.keys import stored_int
 from tallyline.functions.time import (
     current_minute,
+    day_floor,
     latest_minute,
     minute_floor,
     minute_key,
     newest_first,
     trailing_minutes,
+    utc_instant,
     within_trailing,
 )
 from tallyline.operators import minute
@@ -56,6 +58,30 @@ def test_floor_and_key(spark):
     assert made[1] == (datetime(2024, 2, 29, 9, 6), "visitCounter_2024_02_29T09_06")
 
 
+def test_floor_and_key_outside_utc(spark):
+    """A minute that the session's zone skips in spring, and one that it has twice in autumn."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        frame = events(spark, [(1, 1, datetime(2024, 3, 10, 2, 30, 5)), (2, 1, datetime(2024, 11, 3, 1, 59, 59))])
+        made = frame.orderBy("uid").select(minute_floor("timestamp"), minute_key("k", "timestamp"), day_floor("timestamp"), F.unix_seconds(utc_instant("timestamp")))
+        assert [tuple(r) for r in made.collect()] == [
+            (datetime(2024, 3, 10, 2, 30), "k_2024_03_10T02_30", datetime(2024, 3, 10), 1710037805),
+            (datetime(2024, 11, 3, 1, 59), "k_2024_11_03T01_59", datetime(2024, 11, 3), 1730599199),
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("minutes", [0, 1, 3])
+def test_trailing_report_in_one_pass(spark, minutes):
+    seen = [(datetime(2024, 1, 1, 0, 5), 4), (datetime(2024, 1, 1, 0, 3), 2), (datetime(2024, 1, 1, 0, 1), 9), (None, 7)]
+    frame = spark.createDataFrame(seen, "minute TIMESTAMP_NTZ, metric LONG")
+    want = {datetime(2024, 1, 1, 0, 5 - back): {3: 2.0}.get(5 - back, 0.0) for back in range(1, minutes + 1)}
+    assert series(minute.trailing_report(frame, minutes)) == want
+    assert minute.trailing_report(frame.limit(0), minutes).count() == 0
+
+
 def test_range_takes_whole_minutes_before_asof(spark):
     at = [datetime(2023, 12, 31, 23, 59, 59), datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1, 59), ASOF]
     kept = within_trailing(events(spark, [(i, 1, t) for i, t in enumerate(at)]), 2, ASOF)

@@ -275,6 +275,48 @@ def test_closed_minutes_drop_what_is_too_late(spark, tmp_path):
     assert found == [(datetime(2024, 1, 1), 1)]
 
 
+@pytest.mark.parametrize("cut", ["one file", "shuffled", "reversed"])
+def test_closed_minutes_of_the_store_do_not_depend_on_batches(spark, tmp_path, cut):
+    """An hour of events, some of them an hour late: the same minutes as one batch, six batches, or six in reverse."""
+    times = [f"2024-01-01T{h:02d}:{m:02d}:{(7 * m) % 60:02d}Z" for h in (0, 1) for m in range(0, 60, 3)]
+    texts = [visit(i, i % 3, "1", t) for i, t in enumerate(times)]
+    parts = [texts] if cut == "one file" else [texts[i::6] for i in range(6)] if cut == "shuffled" else [texts[i : i + 7] for i in range(35, -1, -7)]
+    for position, part in enumerate(parts):
+        put(tmp_path / "in", f"{position}.txt", part, position)
+    root = scratch_dir(spark, "test-closed-store")
+    store = PartialStore(spark, f"{root}/store", WEB_FAMILIES)
+    start_web_stream(
+        stream_messages(spark, str(tmp_path / "in"), max_files=1), store, f"{root}/checkpoint", trigger=NOW, fold_every=2
+    ).awaitTermination()
+    want = [(datetime(2024, 1, 1, 0, m), 1) for m in range(0, 57, 3)]
+    assert rows(reports.closed_minutes(store, minutes=60)) == want
+
+
+def test_rejects_are_kept_by_default(spark, tmp_path, branches):
+    put(tmp_path / "in", "0.txt", CHANGES[0] + ["{}"])
+    root = scratch_dir(spark, "test-rejects")
+    stock = PartialStore(spark, f"{root}/stock", STOCK_FAMILIES)
+    web = PartialStore(spark, f"{root}/web", WEB_FAMILIES)
+    start_stock_stream(stream_messages(spark, str(tmp_path / "in")), stock, branches, f"{root}/c1", trigger=NOW).awaitTermination()
+    start_web_stream(stream_messages(spark, str(tmp_path / "in")), web, f"{root}/c2", trigger=NOW).awaitTermination()
+    assert rows(stock.rejected_messages()) == [("malformed", "not json"), ("missing_field", "{}")]
+    assert len(rows(web.rejected_messages())) == 5 and ("malformed", "not json") in rows(web.rejected_messages())
+
+
+def test_expire_keeps_the_live_generation(spark):
+    store = PartialStore(spark, scratch_dir(spark, "test-expire"), STOCK_FAMILIES)
+    moves = spark.createDataFrame([("b", "1", "s", "2")], "branch STRING, company STRING, sku STRING, value STRING")
+    for number in range(3):
+        store.write("counters", count_by_key(moves), "run", number)
+        store.fold("run", number + 1)
+    before = rows(store.read("counters"))
+    store.expire()
+    again = PartialStore(spark, store.root, STOCK_FAMILIES)
+    assert again.generation() == 3 and rows(again.read("counters")) == before == [("b|1|s", 6)]
+    store.write("counters", count_by_key(moves), "run", 3)
+    assert rows(store.read("counters")) == [("b|1|s", 8)]
+
+
 def test_counters_of_many_batches_in_one_job(spark):
     store = PartialStore(spark, scratch_dir(spark, "test-backfill"), STOCK_FAMILIES)
     moves = spark.range(100).selectExpr(
