@@ -275,6 +275,19 @@ def metric_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def fold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits per minute from four batches of mixed days, with two folds in between."""
+    events = _events(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("timestamp"), F.lit(4)))
+    saved = store.PartialStore(spark, scratch_dir(spark, "folds"), store.WEB_FAMILIES)
+    for number in range(4):
+        if number in (2, 3):
+            saved.fold("quarters", number)
+        part = events.where(F.col("part") == number)
+        saved.write("minutes", minute.minute_partials(part), "quarters", number)
+    return saved.read("minutes").select("minute", "visits")
+
+
 # Variants
 
 

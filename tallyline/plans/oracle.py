@@ -160,6 +160,7 @@ SQL = {
         UNION ALL SELECT minute, 'users', count(DISTINCT uid) FROM ({EVENTS}) GROUP BY 1
         UNION ALL SELECT minute, 'experiments', count(DISTINCT experiment_id) FROM ({EVENTS}) GROUP BY 1
     """,
+    "fold_merge": f"SELECT minute, count(*) AS visits FROM ({EVENTS}) GROUP BY 1",
     "variant_users": SETS,
     "variant_discovery": VARIANTS,
     "variant_pairs": PAIRS,

@@ -2,12 +2,16 @@
 
 Each micro-batch writes what it adds to the metrics under its own batch number and replaces that folder when
 the batch is run again, so a replay never counts twice. Readers fold all partials. Every so often a fold
-writes the merged state of the closed batches as the start of a new generation; a one-row entry written last
-makes the new generation current, so a crash in between changes nothing.
+merges the closed batches into a new generation; its list of folders, written last, makes the new generation
+current, so a crash in between changes nothing.
 
     <root>/<table>/generation=<g>/folded/[day=<d>/]part-*.parquet
     <root>/<table>/generation=<g>/batches/run=<run>/batch_id=<n>/part-*.parquet
-    <root>/current/generation=<g>/
+    <root>/current/generation=<g>/      table, day, folded_in
+
+A fold costs what the batches touch. Of a table by day, the days of the batches are merged with their earlier state,
+and other days stay listed where they are. Of the other tables, the merged batches are one more level beside the
+earlier ones; ``fold(full=True)`` merges all levels into one.
 
 Only the folded state is laid out by day: a micro-batch is small and would fall apart into tiny files. Within
 a batch the time range is pruned by the statistics of the Parquet files.
@@ -29,10 +33,13 @@ from pyspark.sql import functions as F
 from tallyline.operators.counters import merge_counters
 from tallyline.operators.minute import merge_minutes
 from tallyline.operators.overlap import merge_sets
+from tallyline.session import remove
 
 FOLDED_RUN = "folded"
 FOLDED_BATCH = -1
 BATCH_COLUMNS = "run STRING, batch_id BIGINT"
+NO_DAY = date(1970, 1, 1)  # folder of rows without a minute
+LAYOUT = "table STRING, day DATE, folded_in INT"
 
 
 @dataclass(frozen=True)
@@ -77,8 +84,15 @@ class PartialStore:
     def __post_init__(self) -> None:
         self._mark_current(0, mode="ignore")
 
-    def _mark_current(self, generation: int, mode: str = "overwrite") -> None:
-        self.spark.range(1).coalesce(1).write.mode(mode).parquet(f"{self.root}/current/generation={generation}")
+    def _mark_current(self, generation: int, layout: list[tuple] = (), mode: str = "overwrite") -> None:
+        """Store where the folded state of this generation is; a row without a table is the generation's own mark."""
+        rows = self.spark.createDataFrame([("", None, generation), *layout], LAYOUT).coalesce(1)
+        rows.write.mode(mode).parquet(f"{self.root}/current/generation={generation}")
+
+    def layout(self, table: str, generation: int) -> list[tuple[date | None, int]]:
+        """Day (None for a table that is not by day) and generation of the folders of folded state."""
+        rows = self.spark.read.schema(LAYOUT).parquet(f"{self.root}/current/generation={generation}")
+        return sorted((r["day"], r["folded_in"]) for r in rows.where(F.col("table") == table).collect())
 
     def generation(self) -> int:
         """The newest complete generation."""
@@ -96,9 +110,11 @@ class PartialStore:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(by) if by else writer).parquet(folder)
 
-    def _read(self, folder: str, schema: str) -> DataFrame:
+    def _read(self, schema: str, *folders: str) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
         try:
-            return self.spark.read.schema(schema).parquet(folder)
+            return self.spark.read.schema(schema).parquet(*folders)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -115,7 +131,7 @@ class PartialStore:
 
     def rejected_messages(self) -> DataFrame:
         """All unusable messages with their reason."""
-        return self._read(f"{self.root}/rejected_messages", "reason STRING, message STRING").select("reason", "message")
+        return self._read("reason STRING, message STRING", f"{self.root}/rejected_messages").select("reason", "message")
 
     def backfill(self, table: str, partials: DataFrame, run: str) -> None:
         """Store the partials of many batches, told apart by ``batch_id``, in one job."""
@@ -130,42 +146,59 @@ class PartialStore:
         """
         family = self.families[table]
         generation = self.generation() if generation is None else generation
-        folder = self._folder(table, generation)
-        folded = self._read(f"{folder}/folded", f"{family.schema}, day DATE" if family.by_day else family.schema)
-        if family.by_day:
-            if start and end:
-                folded = folded.where(F.col("day").between(start, end))
-            folded = folded.drop("day")
+        within = [(d, g) for d, g in self.layout(table, generation) if d is None or not (start and end) or start <= d <= end]
+        folded = self._folded(table, within)
         folded = folded.withColumns({"run": F.lit(FOLDED_RUN), "batch_id": F.lit(FOLDED_BATCH).cast("bigint")})
-        return folded.unionByName(self._read(f"{folder}/batches", f"{family.schema}, {BATCH_COLUMNS}"))
+        return folded.unionByName(self._batches(table, generation))
+
+    def _folded(self, table: str, layout: list[tuple[date | None, int]]) -> DataFrame:
+        folders = [f"{self._folder(table, g)}/folded" + (f"/day={d}" if d else "") for d, g in layout]
+        return self._read(self.families[table].schema, *folders)
+
+    def _batches(self, table: str, generation: int) -> DataFrame:
+        return self._read(f"{self.families[table].schema}, {BATCH_COLUMNS}", f"{self._folder(table, generation)}/batches")
 
     def read(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
         """The metric itself: partials folded."""
         return self.families[table].merge(self.partials(table, start=start, end=end))
 
-    def expire(self, keep: int = 1) -> None:
-        """Remove generations before the last ``keep``. The current one and its marker always stay."""
-        oldest = self.generation() - max(keep, 1) + 1
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for table in [*self.families, "current"]:
-            for generation in range(oldest):
-                files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(table, generation)), True)
-
-    def fold(self, run: str, before: int) -> int:
+    def expire(self) -> None:
+        """Remove what the current generation does not list: folded state, batches and marks of those before it."""
+        current = self.generation()
+        for table in self.families:
+            live = {generation for _, generation in self.layout(table, current)}
+            for generation in range(current):
+                remove(self.spark, f"{self._folder(table, generation)}/batches")
+                if generation not in live:
+                    remove(self.spark, self._folder(table, generation))
+        for generation in range(current):
+            remove(self.spark, f"{self.root}/current/generation={generation}")
+
+    def fold(self, run: str, before: int, full: bool = False) -> int:
         """Merge everything but batches of ``run`` from number ``before`` on into a new generation.
 
         Called at the start of batch ``before``: the batches before it are closed and will not come again.
-        What a failed attempt at that batch left behind stays out.
+        What a failed attempt at that batch left behind stays out. ``full`` merges all earlier state too.
         """
         current = self.generation()
+        layout: list[tuple] = []
         for table, family in self.families.items():
-            closed = self.partials(table, current).where(~((F.col("run") == run) & (F.col("batch_id") >= before)))
-            state = family.merge(closed)
-            folder = f"{self._folder(table, current + 1)}/folded"
+            closed = self._batches(table, current).where(~((F.col("run") == run) & (F.col("batch_id") >= before)))
+            closed = closed.drop("run", "batch_id")
+            earlier = self.layout(table, current)
             if family.by_day:
-                self._write(state.withColumn("day", F.to_date("minute")), folder, by="day")
+                closed = closed.withColumn("day", F.coalesce(F.to_date("minute"), F.lit(NO_DAY)))
+                days = {row["day"] for row in closed.select("day").distinct().collect()}
+                days |= {d for d, _ in earlier} if full else set()
+                merged = self._folded(table, [(d, g) for d, g in earlier if d in days])
+                state = family.merge(closed.drop("day").unionByName(merged))
+                state = state.withColumn("day", F.coalesce(F.to_date("minute"), F.lit(NO_DAY)))
+                kept, new = [(d, g) for d, g in earlier if d not in days], [(d, current + 1) for d in days]
             else:
-                self._write(state, folder)
-        self._mark_current(current + 1)
+                state = family.merge(closed.unionByName(self._folded(table, earlier)) if full else closed)
+                kept, new = ([] if full else earlier), [(None, current + 1)]
+            if new:
+                self._write(state, f"{self._folder(table, current + 1)}/folded", by="day" if family.by_day else None)
+            layout += [(table, day, generation) for day, generation in [*kept, *new]]
+        self._mark_current(current + 1, layout)
         return current + 1

@@ -143,7 +143,9 @@ def test_fold_keeps_totals_and_survives_a_crash(spark, monkeypatch):
     store.write("counters", spark.createDataFrame([("k", 10)], "counter_key STRING, total BIGINT"), "other", 2)
     assert store.fold("run", 3) == 2
     assert rows(store.read("counters")) == [("k", 17)]
-    assert store.partials("counters").count() == 1
+    assert store.partials("counters").count() == 2, "one level for each fold"
+    assert store.fold("run", 3, full=True) == 3
+    assert rows(store.partials("counters").select("counter_key", "total")) == [("k", 17)]
 
 
 def test_replaced_batch_leaves_no_old_day(spark):
@@ -250,9 +252,49 @@ def test_report_reads_the_days_it_needs(spark):
     store.write("minutes", minute.minute_partials(events), "run", 1)
     report = reports.visits(store, 10, datetime(2024, 1, 3, 0, 5))
     assert rows(report.where("metric > 0")) == [(datetime(2024, 1, 3), 2.0)]
-    text = plan(report)
-    assert "PartitionFilters: [isnotnull(day" in text
-    assert text.count("GreaterThanOrEqual(minute,2024-01-02") == 2, "in the folded days and in the batches"
+    days = {f.split("/day=")[1].split("/")[0] for f in report.inputFiles() if "/folded/" in f}
+    assert days == {"2024-01-02", "2024-01-03"}, "folded days"
+    assert "GreaterThanOrEqual(minute,2024-01-02" in plan(report), "within the batches"
+
+
+def test_fold_leaves_other_days_where_they_are(spark):
+    """A late day is merged with its own earlier state; no file of another day is written again."""
+    store = PartialStore(spark, scratch_dir(spark, "test-fold-days"), WEB_FAMILIES)
+
+    def batch(number, *days):
+        events = spark.createDataFrame([(1, 1, "1", datetime(2024, 1, d, 0, m)) for d in days for m in (0, 0, 5)], "uid BIGINT, experiment_id INT, variant STRING, timestamp TIMESTAMP_NTZ")
+        store.write("minutes", minute.minute_partials(events), "run", number)
+        store.write("variant_users", overlap.variant_users(events), "run", number)
+        return events
+
+    def files(day):
+        return sorted(f for f in store.partials("minutes").inputFiles() if f"/day=2024-01-0{day}/" in f)
+
+    seen = batch(0, 1, 2, 3)
+    store.fold("run", 1)
+    before = {day: files(day) for day in (1, 2, 3)}
+    seen = seen.unionAll(batch(1, 2))
+    store.fold("run", 2)
+    assert files(1) == before[1] and files(3) == before[3] and files(2) != before[2] and files(2)
+    for full in (False, True):
+        found = store.read("minutes").select("minute", "visits")
+        assert rows(found) == rows(minute.minute_partials(seen).select("minute", "visits"))
+        assert rows(store.read("variant_users")) == rows(overlap.variant_users(seen))
+        assert len(store.layout("variant_users", store.generation())) == (1 if full else 2)
+        if not full:
+            store.fold("run", 3, full=True)
+            store.expire()
+    assert {g for _, g in store.layout("minutes", 3)} == {3}
+
+
+def test_unfinished_batch_files_are_not_read(spark):
+    """What a task has written of a batch that never finished is below a folder that readers leave out."""
+    store = PartialStore(spark, scratch_dir(spark, "test-unfinished"), STOCK_FAMILIES)
+    moves = spark.createDataFrame([("b", "1", "s", "2")], "branch STRING, company STRING, sku STRING, value STRING")
+    store.write("counters", count_by_key(moves), "run", 0)
+    half = f"{store.root}/counters/generation=0/batches/run=run/batch_id=1/_temporary/0/task_0"
+    count_by_key(moves).write.parquet(half)
+    assert rows(store.read("counters")) == [("b|1|s", 2)]
 
 
 def test_closed_minutes_drop_what_is_too_late(spark, tmp_path):
