@@ -1,12 +1,14 @@
 """Mergeable partial metrics in Parquet folders.
 
-Each micro-batch writes what it adds to the metrics under its own batch number and replaces that folder when
-the batch is run again, so a replay never counts twice. Readers fold all partials. Every so often a fold
+Each micro-batch writes what it adds to the metrics into folders of this attempt at it. When all tables are written, one small
+file says that the attempt is finished: from then on, and all at once, it counts in place of any earlier attempt at the batch.
+So a replay never counts twice, and a reader never meets a batch half written. Readers fold all partials. Every so often a fold
 merges the closed batches into a new generation; its list of folders, written last, makes the new generation
 current, so a crash in between changes nothing.
 
     <root>/<table>/generation=<g>/folded/[day=<d>/]part-*.parquet
-    <root>/<table>/generation=<g>/batches/run=<run>/batch_id=<n>/part-*.parquet
+    <root>/<table>/generation=<g>/batches/attempt=<a>/run=<run>/batch_id=<n>/part-*.parquet
+    <root>/finished/generation=<g>/     table, run, batch_id, attempt, at
     <root>/current/generation=<g>/      table, day, folded_in
 
 A fold costs what the batches touch. Of a table by day, the days of the batches are merged with their earlier state,
@@ -22,6 +24,8 @@ rule of the storage must not, as it cannot know which generation is current.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
@@ -40,6 +44,7 @@ FOLDED_BATCH = -1
 BATCH_COLUMNS = "run STRING, batch_id BIGINT"
 NO_DAY = date(1970, 1, 1)  # folder of rows without a minute
 LAYOUT = "table STRING, day DATE, folded_in INT"
+FINISHED = "table STRING, run STRING, batch_id BIGINT, attempt STRING, at BIGINT"
 
 
 @dataclass(frozen=True)
@@ -110,20 +115,39 @@ class PartialStore:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(by) if by else writer).parquet(folder)
 
-    def _read(self, schema: str, *folders: str) -> DataFrame:
+    def _read(self, schema: str, *folders: str, base: str | None = None) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
         try:
-            return self.spark.read.schema(schema).parquet(*folders)
+            return (reader.option("basePath", base) if base else reader).parquet(*folders)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
     def write(self, table: str, partials: DataFrame, run: str, batch_id: int, generation: int | None = None) -> None:
-        """Store the partials of one batch in place of any earlier attempt at it."""
+        """As ``write_batch`` for a batch of one table."""
+        self.write_batch({table: partials}, run, batch_id, generation)
+
+    def write_batch(self, tables: dict[str, DataFrame], run: str, batch_id: int, generation: int | None = None) -> None:
+        """Store the partials of one batch; they take the place of any earlier attempt at it when all are written."""
         generation = self.generation() if generation is None else generation
-        self._write(partials, f"{self._folder(table, generation)}/batches/run={run}/batch_id={batch_id}")
+        attempt = f"a{uuid.uuid4().hex}"
+        for table, partials in tables.items():
+            self._write(partials, f"{self._attempt(table, generation, attempt)}/run={run}/batch_id={batch_id}")
+        self._finish(list(tables), run, batch_id, generation, attempt)
+
+    def _attempt(self, table: str, generation: int, attempt: str) -> str:
+        return f"{self._folder(table, generation)}/batches/attempt={attempt}"
+
+    def _finish(self, tables: list[str], run: str, batch_id: int | None, generation: int, attempt: str) -> None:
+        """One file for all tables, so that they count at once. ``batch_id`` is null for an attempt of many batches."""
+        marks = [(table, run, batch_id, attempt, time.time_ns()) for table in tables]
+        self.spark.createDataFrame(marks, FINISHED).coalesce(1).write.mode("append").parquet(self._finished(generation))
+
+    def _finished(self, generation: int) -> str:
+        return f"{self.root}/finished/generation={generation}"
 
     def keep_rejected(self, messages: DataFrame, run: str, batch_id: int, folder: str | None = None) -> None:
         """Store the unusable messages of one batch in full. They are kept as they came and never folded."""
@@ -134,8 +158,13 @@ class PartialStore:
         return self._read("reason STRING, message STRING", f"{self.root}/rejected_messages").select("reason", "message")
 
     def backfill(self, table: str, partials: DataFrame, run: str) -> None:
-        """Store the partials of many batches, told apart by ``batch_id``, in one job."""
-        self._write(partials, f"{self._folder(table, self.generation())}/batches/run={run}", by="batch_id")
+        """Store the partials of many batches, told apart by ``batch_id``, in one job.
+
+        They take the place of an earlier backfill of this run as a whole; batches written one by one need another run.
+        """
+        generation, attempt = self.generation(), f"a{uuid.uuid4().hex}"
+        self._write(partials, f"{self._attempt(table, generation, attempt)}/run={run}", by="batch_id")
+        self._finish([table], run, None, generation, attempt)
 
     def partials(
         self, table: str, generation: int | None = None, start: date | None = None, end: date | None = None
@@ -156,7 +185,12 @@ class PartialStore:
         return self._read(self.families[table].schema, *folders)
 
     def _batches(self, table: str, generation: int) -> DataFrame:
-        return self._read(f"{self.families[table].schema}, {BATCH_COLUMNS}", f"{self._folder(table, generation)}/batches")
+        """The newest finished attempt at every batch. A generation has as many batches as there are between two folds."""
+        marks = self._read(FINISHED, self._finished(generation)).where(F.col("table") == table)
+        newest = marks.groupBy("run", "batch_id").agg(F.max_by("attempt", "at").alias("attempt"))
+        folders = [self._attempt(table, generation, row["attempt"]) for row in newest.collect()]
+        schema = f"{self.families[table].schema}, {BATCH_COLUMNS}"
+        return self._read(schema, *folders, base=f"{self._folder(table, generation)}/batches").drop("attempt")
 
     def read(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
         """The metric itself: partials folded."""
@@ -173,6 +207,7 @@ class PartialStore:
                     remove(self.spark, self._folder(table, generation))
         for generation in range(current):
             remove(self.spark, f"{self.root}/current/generation={generation}")
+            remove(self.spark, self._finished(generation))
 
     def fold(self, run: str, before: int, full: bool = False) -> int:
         """Merge everything but batches of ``run`` from number ``before`` on into a new generation.

@@ -39,11 +39,13 @@ def stock_batch(
         parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             movements = accepted(parsed)
-            missed = branch_misses(movements, branches)
-            store.write("counters", stock_movement(movements, branches, company), run, batch_id, generation)
-            store.write("misses", missed, run, batch_id, generation)
-            store.write("rejects", reject_counts(parsed), run, batch_id, generation)
             store.keep_rejected(rejected(parsed), run, batch_id, dead_letters)
+            tables = {
+                "counters": stock_movement(movements, branches, company),
+                "misses": branch_misses(movements, branches),
+                "rejects": reject_counts(parsed),
+            }
+            store.write_batch(tables, run, batch_id, generation)
         finally:
             parsed.unpersist()
 

@@ -28,11 +28,14 @@ def web_batch(store: PartialStore, run: str, fold_every: int = FOLD_EVERY) -> Ca
         parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = accepted(parsed)
-            store.write("minutes", minute_partials(events), run, batch_id, generation)
-            store.write("experiments", experiment_partials(events), run, batch_id, generation)
-            store.write("variant_users", variant_users(events), run, batch_id, generation)
-            store.write("rejects", reject_counts(parsed), run, batch_id, generation)
             store.keep_rejected(rejected(parsed), run, batch_id)
+            tables = {
+                "minutes": minute_partials(events),
+                "experiments": experiment_partials(events),
+                "variant_users": variant_users(events),
+                "rejects": reject_counts(parsed),
+            }
+            store.write_batch(tables, run, batch_id, generation)
         finally:
             parsed.unpersist()
 

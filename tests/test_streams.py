@@ -297,6 +297,24 @@ def test_unfinished_batch_files_are_not_read(spark):
     assert rows(store.read("counters")) == [("b|1|s", 2)]
 
 
+def test_attempts_count_when_all_tables_are_written(spark):
+    """Until its last table is written, a replay changes nothing; then all its tables take the place of the earlier ones."""
+    store = PartialStore(spark, scratch_dir(spark, "test-attempts"), STOCK_FAMILIES)
+    counters = lambda total: spark.createDataFrame([("k", total)], "counter_key STRING, total BIGINT")
+    misses = lambda n: spark.createDataFrame([("b", n)], "branch STRING, n BIGINT")
+    broken = spark.range(1).select(F.lit("b").alias("branch"), F.raise_error(F.lit("lost")).cast("bigint").alias("n"))
+    store.write_batch({"counters": counters(1), "misses": misses(1)}, "run", 0)
+    with pytest.raises(Exception, match="lost"):
+        store.write_batch({"counters": counters(5), "misses": broken}, "run", 0)
+    assert rows(store.read("counters")) == [("k", 1)] and rows(store.read("misses")) == [("b", 1)]
+    report = store.read("counters")
+    store.write_batch({"counters": counters(7), "misses": misses(2)}, "run", 0)
+    assert rows(store.read("counters")) == [("k", 7)] and rows(store.read("misses")) == [("b", 2)]
+    assert rows(report) == [("k", 1)], "a report that began before the replay keeps its files"
+    assert store.fold("run", 1) == 1
+    assert rows(store.read("counters")) == [("k", 7)] and rows(store.read("misses")) == [("b", 2)]
+
+
 def test_closed_minutes_drop_what_is_too_late(spark, tmp_path):
     root = scratch_dir(spark, "test-closed")
     seen = [["00:00:10", "00:02:00"], ["00:01:40"], ["00:00:20"]]
