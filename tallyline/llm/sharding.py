@@ -9,8 +9,9 @@ Candidates fall between texts first: copies of a text stay in one shard. Only wh
 than the tolerance allows do candidates go on inside it, along the ids, so that a group with a third of all bytes is
 spread over as many shards as its bytes need.
 
-A shard is cut into ``parts`` by the same search, and rows are ordered and numbered per part; the rows before each part are
-known from the last count. No task holds a whole shard, and the driver holds (shards * parts * probes) numbers.
+A shard is cut into parts by the same search, at least ``PARTS`` and as many more as keep a part near ``PART_BYTES``, so what
+a task orders and numbers does not grow with the table; the rows before each part are known from the last count. The driver holds
+(shards * parts * probes) numbers: some 40 MB for 100 TB.
 
 Defined results: a null text has no bytes and the digest 0 of an empty one. Rows equal in id and text have one key and
 stay together. Rows of one key are ordered by the remaining order columns. An empty table gives an empty result. Further
@@ -30,6 +31,7 @@ from tallyline.session import materialize
 
 SHARDS = 8
 PARTS = 32
+PART_BYTES = 1 << 30
 PROBES = 16
 TOLERANCE = 0.01
 KEY_END = 1 << 63
@@ -64,15 +66,14 @@ def count_below(keyed: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.nd
 
     bins = keyed.select("key", "size").mapInArrow(run, "bin bigint, bytes bigint, n bigint")
     totals = np.zeros((2, len(probes) + 1), np.int64)
-    for row in bins.groupBy("bin").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).collect():
-        totals[:, row["bin"]] = row["bytes"], row["n"]
+    found = bins.groupBy("bin").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).toArrow()
+    totals[:, found["bin"].to_numpy()] = found["bytes"].to_numpy(), found["n"].to_numpy()
     return np.cumsum(totals[0]), np.cumsum(totals[1])
 
 
-def find_splitters(keyed: DataFrame, shards: int, parts: int, tolerance: float) -> np.ndarray:
-    """The keys at which every part but the first begins, in ascending order."""
+def find_splitters(keyed: DataFrame, total: int, shards: int, parts: int, tolerance: float) -> np.ndarray:
+    """The keys at which every part but the first begins, in ascending order; ``total`` is the sum of all sizes."""
     pieces = shards * parts
-    total = int(count_below(keyed, np.zeros(0, np.int64))[0][0])
     wanted = [total * i // pieces for i in range(1, pieces)]
     slack = [tolerance * total / (shards if i % parts == 0 else pieces / 10) for i in range(1, pieces)]
     low, high = [(0, 0)] * len(wanted), [(KEY_END, total)] * len(wanted)
@@ -105,28 +106,40 @@ def candidates(low: int, high: int) -> set[int]:
     return {(first + (last - first) * k // max(count - 1, 1)) * step for k in range(count)}
 
 
+def place(rows: DataFrame, splitters: np.ndarray, first_slot: np.ndarray) -> DataFrame:
+    """Adds to rows with a ``key`` the ``part`` that they are in and the slot at which it begins."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    shared = rows.sparkSession.sparkContext.broadcast((splitters, first_slot))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, first = shared.value
+        for batch in batches:
+            part = np.searchsorted(bounds, batch.column("key").to_numpy(), "right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part), pa.array(first[part])], [*kinds, "part", "first_slot"])
+
+    return rows.mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in [*kinds.items(), ("part", "bigint"), ("first_slot", "bigint")]))
+
+
 def add_shards(
-    rows: DataFrame, keyed: DataFrame, order: list[str], shards: int = SHARDS, parts: int = PARTS, tolerance: float = TOLERANCE
+    rows: DataFrame, keyed: DataFrame, order: list[str], shards: int = SHARDS, parts: int | None = None, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """Adds ``shard`` and ``slot`` to rows that have a ``key``; ``keyed`` holds the same keys with sizes, cheap to read."""
-    splitters = find_splitters(keyed, shards, parts, tolerance)
-    upto = count_below(keyed, splitters)[1]
-    starts = [0, *(int(x) for x in upto[:-1])]
-    first_of_shard = [starts[part // parts * parts] for part in range(shards * parts)]
-    ahead = F.array(*(F.lit(a - b) for a, b in zip(starts, first_of_shard)))
-    bounds = F.array(*(F.lit(int(s)) for s in splitters)) if len(splitters) else F.array().cast("array<bigint>")
-    part = F.size(F.filter(bounds, lambda bound: bound <= F.col("key")))
-    numbered = F.row_number().over(Window.partitionBy("part").orderBy("key", *order)) - 1
-    placed = rows.withColumn("part", part).withColumn("within", numbered)
+    total = int(count_below(keyed, np.zeros(0, np.int64))[0][0])
+    parts = parts or max(PARTS, -(-total // (shards * PART_BYTES)))
+    splitters = find_splitters(keyed, total, shards, parts, tolerance)
+    starts = np.append(0, count_below(keyed, splitters)[1][:-1])
+    first_slot = starts - starts[np.arange(shards * parts) // parts * parts]
+    placed = place(rows, splitters, first_slot)
+    within = F.row_number().over(Window.partitionBy("part").orderBy("key", *order)) - 1
     shard = F.floor(F.col("part") / parts).cast("int")
-    slot = F.element_at(ahead, F.col("part") + 1) + F.col("within")
-    return placed.withColumn("shard", shard).withColumn("slot", slot.cast("long")).drop("part", "within")
+    slot = (F.col("first_slot") + within).cast("long")
+    return placed.withColumn("slot", slot).withColumn("shard", shard).drop("part", "first_slot")
 
 
 def shard_documents(
     docs: DataFrame,
     shards: int = SHARDS,
-    parts: int = PARTS,
+    parts: int | None = None,
     tolerance: float = TOLERANCE,
     id_col: str = "doc_id",
     text_col: str = "text",

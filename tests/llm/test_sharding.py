@@ -74,3 +74,20 @@ def test_candidates_lie_between(low, high):
 
 def test_empty_table(documents):
     assert sharding.shard_documents(documents.limit(0)).count() == 0
+
+
+def test_parts_grow_with_the_table(spark, monkeypatch):
+    """Far more parts than by default, and more than there are rows in some of them: the same law holds."""
+    monkeypatch.setattr(sharding, "PART_BYTES", 200)
+    asked = []
+    search = sharding.find_splitters
+    monkeypatch.setattr(sharding, "find_splitters", lambda keyed, total, shards, parts, t: asked.append(parts) or search(keyed, total, shards, parts, t))
+    rows = [(i, f"text {i} " + "x" * (i % 150)) for i in range(2000)]
+    placed = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert asked[0] > 50 and len(placed) == 2000
+    check_slots(placed)
+    sizes = [sum(r["size"] for r in held) for held in by_shard(placed).values()]
+    assert len(sizes) == 8 and max(sizes) <= 1.03 * min(sizes)
+    by_slot = sorted((r["shard"], r["slot"], r["row"]["text"]) for r in placed)
+    again = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), parts=1).collect()
+    assert max(r["slot"] for r in again) < len(by_slot) and {r["doc_id"] for r in again} == {i for i, _ in rows}
