@@ -25,7 +25,7 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.drop_leaked(docs, decontamination.find_leaks(docs, benchmark))
+    return decontamination.drop_leaked(docs, decontamination.find_leaks(docs, benchmark, shortest=1))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

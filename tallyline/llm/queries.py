@@ -87,7 +87,7 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item, one row for each item."""
-    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)
     return leaks.select("doc_id", "item_id", "n_items", "matched", "first_word", "n_words")
 
 

@@ -4,7 +4,9 @@ import itertools
 
 import pytest
 
+import corpus_pipeline
 from tallyline.llm import decontamination as dc
+from tallyline.llm import queries
 from tests.llm import brute
 
 
@@ -34,6 +36,41 @@ def test_masks_find_every_two_substitutions():
         ), wrong
 
 
+@pytest.mark.parametrize("length", range(1, dc.STRETCH + 1))
+def test_every_length_is_found_with_every_substitution_that_counts(spark, length):
+    """An item of each length, whole and with each one or two words replaced that leave 80 % of it."""
+    item = [f"i{k}" for k in range(length)]
+    wrongs = [(), *((k,) for k in range(length)), *itertools.combinations(range(length), 2)]
+    docs = [(n, " ".join(["before", *("x" if k in w else item[k] for k in range(length)), "after"])) for n, w in enumerate(wrongs)]
+    # a whole item below the span of a mask, 80 % from there on
+    want = {n for n, w in enumerate(wrongs) if (not w if length < 10 else 100 * (length - len(w)) >= 80 * length)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = dc.find_leaks(frame, items, shortest=1).collect()
+    assert {r["doc_id"] for r in found} == want
+    assert {(r["matched"], r["first_word"], r["n_words"]) for r in found if r["doc_id"] == 0} == {(length, 1, length)}
+
+
+def test_scripts_without_spaces(spark):
+    docs = [(1, "问：法国的首都是哪里？答：巴黎。"), (2, "法国的首都"), (3, "ab ประเทศไทย cd"), (4, "𠀀𠀁x")]
+    items = [(1, "法国的首都是哪里"), (2, "ประเทศ"), (3, "𠀁 x")]
+    found = dc.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), shortest=1
+    )
+    assert leaked(found) == {(1, 1), (3, 2), (4, 3)}
+
+
+def test_pipeline_and_query_drop_a_short_leak(spark, tmp_path):
+    docs = [(1, "so: What is the capital of France? Paris"), (2, "what is the capital of Spain"), (3, "yes yes no yes")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(1, "What is the capital of France?"), (2, "Yes.")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op7_benchmark_decontamination(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["item_id"], r["first_word"]) for r in got} == {(1, 1, 1), (3, 2, 3)}
+    kept = corpus_pipeline.remove_leaks(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+
+
 def test_substituted_recased_and_clean(spark):
     item = "The quick brown fox jumps over the lazy dog while seven wizards quietly brew potions under a pale moon"
     swapped = item.split()
