@@ -4,7 +4,12 @@ A page is cut into blocks of text at block-level tags. The first pass judges eac
 and the share of stop words make it good, bad, nearly good or short. The second pass decides the last two from the
 nearest decided blocks before and after them. Elements that say what they are (navigation, footers, forms,
 adverts, notices, comments, by tag, role, class or id) are left out beforehand, and where a page marks its article, only blocks
-inside it are judged and need no share of stop words there, so that lists, tables and foreign words of an article stay.
+inside it are judged and need no share of stop words there, so that lists, tables and foreign words of an article stay. Nor is
+a share needed on a page that marks no article and whose long blocks show that it is in none of the languages listed here.
+
+Elements whose end tag may be missing (paragraphs, items of lists, rows and cells of tables, the head) end where HTML ends them.
+A class or id tells what an element is as a whole name or where the rest of its parts are plain words of place and shape
+("main-nav", not "overflow-hidden" or "elementor-widget-container").
 
 Each page is one row of a map; nothing is shuffled and memory is bounded by an Arrow batch.
 
@@ -55,11 +60,38 @@ LEFT_OUT_NAMES = frozenset(
     overlay pager pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup
     social sponsor sponsored subscribe tagcloud toolbar widget widgets""".split()
 )
+#: Left out only as a whole name or as here; elsewhere it says when a thing is hidden.
+HIDDEN = "hidden"
+HIDDEN_NAMES = frozenset(["hidden", "is-hidden", "visually-hidden"])
+#: Words of place and shape that may stand beside a name that is left out.
+PLAIN_PARTS = frozenset(
+    """above area article articles bar below block body bottom box btn button buttons container desktop dialog dfp email entry form
+    global google group head header icon icons inner item items js left link links list main media mobile page panel post posts
+    primary right secondary section site slot sticky stories sub text title top unit wrap wrapper""".split()
+)
 #: Left out only outside an article, where they head the site and not the text.
 SITE_HEAD = "header"
 MAIN_TAGS = frozenset(["article", "main"])
 #: Classes of these say how the page looks, not what the element is.
 PAGE_TAGS = frozenset(["html", "body", "article", "main"])
+#: Elements whose end tag may be missing: the start tags that end them, and the elements that shield them from these.
+TABLE_PARTS = frozenset("caption thead tbody tfoot".split())
+ENDED_BY = {
+    "p": BLOCK_TAGS,
+    "li": frozenset(["li"]),
+    **dict.fromkeys(("dt", "dd"), frozenset(["dt", "dd"])),
+    **dict.fromkeys(("td", "th"), frozenset(["td", "th", "tr"]) | TABLE_PARTS),
+    "tr": frozenset(["tr"]) | TABLE_PARTS,
+    "caption": frozenset(["td", "th", "tr"]) | TABLE_PARTS,
+    **dict.fromkeys(("thead", "tbody", "tfoot"), TABLE_PARTS),
+}
+SHIELDS = {
+    **dict.fromkeys(("td", "th", "tr", *TABLE_PARTS), frozenset(["table"])),
+    **dict.fromkeys(("dt", "dd"), frozenset(["dl", "table"])),
+    "li": frozenset("ul ol menu dir table".split()),
+    "p": frozenset("table caption td th button object template".split()),
+}
+HEAD_TAGS = frozenset("base basefont bgsound link meta noscript script style template title".split())
 
 MAX_LINK_DENSITY = 0.2
 MAX_MAIN_LINK_DENSITY = 0.5
@@ -67,6 +99,8 @@ SHORT_CHARS = 70
 LONG_CHARS = 200
 STOP_LOW = 0.30
 STOP_HIGH = 0.32
+#: Below this share of stop words in its long blocks a page is in a language that is not listed.
+STOP_FOREIGN = 0.20
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)
@@ -77,6 +111,8 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 LETTERS = re.compile(r"[^\W\d_]+")
+WIDE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
+WIDE_CHARS = 3
 
 
 @dataclass
@@ -111,12 +147,35 @@ def left_out(tag: str, source: str, in_main: bool) -> bool:
         return True
     if tag in MAIN_TAGS:  # a comment may be an article of its own, but "article has-sidebar" is none
         return any("comment" in found.get(key, "").lower() for key in ("class", "id", "itemprop", "itemtype"))
-    for name in f"{found.get('class', '')} {found.get('id', '')} {found.get('itemprop', '')}".split():
-        parts = [part.lower() for part in NAME_PART.findall(name)]
-        if parts and parts[0] not in ("has", "no", "with", "without"):
-            if not LEFT_OUT_NAMES.isdisjoint(parts) or (parts[-1] == SITE_HEAD and not in_main):
-                return True
-    return False
+    names = f"{found.get('class', '')} {found.get('id', '')} {found.get('itemprop', '')}".split()
+    return any(name_left_out(name, in_main) for name in names)
+
+
+def name_left_out(name: str, in_main: bool) -> bool:
+    if name.lower() in HIDDEN_NAMES:
+        return True
+    parts = [part.lower() for part in NAME_PART.findall(name) if len(part) > 1]
+    if not parts or HIDDEN in parts or not all(part in LEFT_OUT_NAMES or part in PLAIN_PARTS for part in parts):
+        return False
+    return not LEFT_OUT_NAMES.isdisjoint(parts) or (parts[-1] == SITE_HEAD and not in_main)
+
+
+def ends_at(open_tags: list[tuple[str, bool, bool]], tag: str) -> int:
+    """The first of the open elements that a start tag ends without an end tag, or their number."""
+    if open_tags and open_tags[-1][0] == "head" and tag not in HEAD_TAGS:
+        return len(open_tags) - 1
+    if tag == "body":
+        return next((i for i, (name, _, _) in enumerate(open_tags) if name == "head"), len(open_tags))
+    cut, passed = len(open_tags), set()
+    if tag in BLOCK_TAGS:
+        for i in range(len(open_tags) - 1, -1, -1):
+            name = open_tags[i][0]
+            if tag in ENDED_BY.get(name, ()) and SHIELDS[name].isdisjoint(passed):
+                cut = i
+            if name == "table":
+                break
+            passed.add(name)
+    return cut
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -126,6 +185,7 @@ def blocks_of(page: str) -> list[Block]:
     chunks: list[str] = []
     links = 0
     in_link = 0
+    may_lack = 0  # open elements whose end tag may be missing
     heading = False
 
     def flush() -> None:
@@ -161,11 +221,25 @@ def blocks_of(page: str) -> list[Block]:
         elif tag == "br":
             chunks.append(" ")
         if closing:
-            where = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
-            if where is not None:
-                in_link -= sum(name == "a" for name, _, _ in open_tags[where:])
-                del open_tags[where:]
+            shields = SHIELDS.get(tag, ())
+            for where in range(len(open_tags) - 1, -1, -1):
+                name = open_tags[where][0]
+                if name == tag:
+                    in_link -= sum(name == "a" for name, _, _ in open_tags[where:])
+                    may_lack -= sum(name in ENDED_BY or name == "head" for name, _, _ in open_tags[where:])
+                    del open_tags[where:]
+                    break
+                if name in shields:
+                    break
             continue
+        if may_lack:
+            where = ends_at(open_tags, tag)
+            ended = open_tags[where:]
+            del open_tags[where:]
+            may_lack -= sum(name in ENDED_BY or name == "head" for name, _, _ in ended)
+            # a link goes on in the next block
+            in_link -= sum(name == "a" and out_of for name, out_of, _ in ended)
+            open_tags += [entry for entry in ended if entry[0] == "a" and not entry[1]]
         if tag in RAW_TAGS:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
@@ -179,9 +253,9 @@ def blocks_of(page: str) -> list[Block]:
         dropped, in_main = open_tags[-1][1:] if open_tags else (False, False)
         dropped = dropped or left_out(tag, token["attrs"], in_main)
         in_main = in_main or (tag in MAIN_TAGS and not dropped)
-        if tag not in ("p", "li", "tr", "td", "th", "dt", "dd") or dropped:
-            open_tags.append((tag, dropped, in_main))
-            in_link += tag == "a"
+        open_tags.append((tag, dropped, in_main))
+        in_link += tag == "a"
+        may_lack += tag in ENDED_BY or tag == "head"
     flush()
     return out
 
@@ -191,27 +265,40 @@ def stop_density(text: str) -> float:
     return sum(word in STOP_WORDS for word in words) / max(len(words), 1)
 
 
-def judge(block: Block) -> str:
-    """First pass: a block by itself."""
+def length_of(text: str) -> int:
+    """Characters, of which those that stand for a syllable or a word count for several."""
+    return len(text) + (WIDE_CHARS - 1) * len(WIDE.findall(text))
+
+
+def is_foreign(blocks: list[Block]) -> bool:
+    """Whether the long blocks of a page show none of the languages whose stop words are listed."""
+    longs = [b.text for b in blocks if length_of(b.text) >= SHORT_CHARS and b.link_density <= MAX_LINK_DENSITY]
+    return bool(longs) and stop_density(" ".join(longs)) < STOP_FOREIGN and all(stop_density(text) < STOP_LOW for text in longs)
+
+
+def judge(block: Block, foreign: bool = False) -> str:
+    """First pass: a block by itself; without stop words on a foreign page."""
     most = MAX_MAIN_LINK_DENSITY if block.main else MAX_LINK_DENSITY
     if block.link_density > most:
         return "bad"
-    if len(block.text) < SHORT_CHARS:
+    if (length_of(block.text) if foreign else len(block.text)) < SHORT_CHARS:
         return "bad" if block.link_chars and not block.main else "short"
+    if foreign:
+        return "good" if length_of(block.text) > LONG_CHARS else "near"
     density = stop_density(block.text)
     if density >= STOP_HIGH:
         return "good" if len(block.text) > LONG_CHARS or block.main else "near"
     return "near" if density >= STOP_LOW or block.main else "bad"
 
 
-def decide(blocks: list[Block]) -> None:
+def decide(blocks: list[Block], foreign: bool = False) -> None:
     """Second pass: undecided blocks take the label of the nearest decided one, the better of two equally near ones.
 
     Where nothing is decided on either side, an article's block is good and any other bad. Inside an article a block
     is bad only between bad ones.
     """
     for block in blocks:
-        block.label = judge(block)
+        block.label = judge(block, foreign)
     decided = [i for i, block in enumerate(blocks) if block.label in ("good", "bad")]
     before, following = None, 0
     for i, block in enumerate(blocks):
@@ -234,9 +321,10 @@ def decide(blocks: list[Block]) -> None:
 
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
-    if any(block.main for block in blocks):
-        blocks = [block for block in blocks if block.main]
-    decide(blocks)
+    main = [block for block in blocks if block.main]
+    if main:
+        blocks = main
+    decide(blocks, foreign=not main and is_foreign(blocks))
     return "\n\n".join(block.text for block in blocks if block.label == "good")
 
 

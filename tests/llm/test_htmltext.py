@@ -55,6 +55,56 @@ def test_pages_without_an_article_are_judged_by_their_blocks():
     assert htmltext.main_text(page) == f"Home of all the best things we have for you today\n\nThe town\n\n{LONG} {LONG}\n\nShe was the last.\n\n{LONG} {LONG}"
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p class=ad>x<p>text<p>more</article>", "text\n\nmore"),
+        ("<article><p class=ad>x<div>text</div>more</article>", "text\n\nmore"),
+        ("<article><p>a <span class=ad>x<p>text</article>", "a\n\ntext"),
+        ("<article><ul><li class=social>a<li>b<li class=share><p>c<ul><li>d</ul>e<li>f</ul>g</article>", "b\n\nf\n\ng"),
+        ("<article><dl><dt class=ad>a<dd class=ad>b<dt>c<dd>d</dl>e</article>", "c\n\nd\n\ne"),
+        ("<article><table><thead class=ad><tr><th>h<tbody><tr><td class=ad>a<td>b<tr class=ad><td>c<tr><td>d</table>e</article>", "b\n\nd\n\ne"),
+        ("<article><p class=ad>x<table><tr><td><p>y</table></article>", "y"),
+        ("<head><title>t</title><meta charset=utf-8><article><p>text", "text"),
+        ("<html><head><noscript><p>n<body><article><p>text", "text"),
+        ("<div class=share><ul><li>a</ul><p>b</div><article>c</article>", "c"),
+    ],
+)
+def test_missing_end_tags(page, want):
+    assert htmltext.main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    "name", ["overflow-hidden", "md:hidden", "elementor-widget-container", "content-with-sidebar", "hidden-xs", "layout-sidebar", "no-ads", "nav-tabs-content"]
+)
+def test_classes_of_layout_do_not_empty_a_page(name):
+    assert htmltext.main_text(f"<div class='{name} x'><article><p>text</p></article></div>") == "text"
+
+
+@pytest.mark.parametrize(
+    "name", ["hidden", "ad", "main-nav", "siteFooter", "cookie-banner", "share-buttons", "comment-list", "widget-area", "site-header", "l-sidebar", "visually-hidden"]
+)
+def test_classes_that_are_left_out(name):
+    assert htmltext.main_text(f"<main><p>text</p></main><div class='x {name}'><main>no</main></div>") == "text"
+
+
+@pytest.mark.parametrize(
+    "sentence",
+    [
+        "Ta opowieść mówi o mieście, którego nie było na żadnej mapie, i o ludziach, którzy musieli tam mieszkać przez wiele lat. ",
+        "Это рассказ о городе, которого не было ни на одной карте, и о людях, которым пришлось там жить много лет подряд. ",
+        "Il gatto dorme sopra una sedia mentre fuori piove forte e nessuno osa aprire quella vecchia porta verde. ",
+        "这是一个关于一座不在任何地图上的城市的故事，也是关于那些不得不在那里生活多年的人们的故事。",
+    ],
+)
+def test_pages_in_other_languages(sentence):
+    long = (sentence * 3).strip()
+    page = f"<div><a href=/a>menu one two</a> <a href=/b>three</a></div><h1>T</h1><p>{long}</p><p>{long}</p><div><a href=/c>x</a></div>"
+    assert htmltext.main_text(page) == f"T\n\n{long}\n\n{long}"
+    listed = f"<p>{LONG} {LONG}</p><p>{long}</p>"  # a page in a listed language is judged by its stop words
+    assert htmltext.main_text(listed) == f"{LONG} {LONG}"
+
+
 def test_short_block_follows_the_nearest_decided_one():
     links = "<p><a href=/>one two three</a></p>"
     good = f"<p>{LONG} {LONG}</p>"
