@@ -133,13 +133,15 @@ def _keys_matrix(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def belonging_pairs(keys: np.ndarray, blocks: np.ndarray, counts: np.ndarray, key: int, percent: int) -> np.ndarray:
+def belonging_pairs(
+    keys: np.ndarray, blocks: np.ndarray, counts: np.ndarray, key: int, one_block: bool, percent: int
+) -> np.ndarray:
     """Which pairs of a group's texts belong to it, as an upper triangle: first meeting here, from the blocks that the
-    group stands for, and near enough in size."""
+    group stands for (one of which may be empty), and near enough in size."""
     size = len(counts)
     tree = int(np.flatnonzero(keys[0] == key)[0])
     pairs = np.triu(np.ones((size, size), bool), 1)
-    if blocks.min() != blocks.max():
+    if not one_block:
         pairs &= blocks[:, None] != blocks[None, :]
     for earlier in range(tree):
         pairs &= keys[:, None, earlier] != keys[None, :, earlier]
@@ -164,10 +166,11 @@ def candidate_groups(texts: DataFrame, percent: int) -> DataFrame:
         for table, starts in whole_runs(batches, ["bucket", "one", "two"]):
             keys, counts = _keys_matrix(table.column("keys")), table.column("n_shingles").to_numpy()
             blocks, bucket = table.column("block").to_numpy(), table.column("bucket").to_numpy()
+            one_block = table.column("one").to_numpy() == table.column("two").to_numpy()
             kept = np.zeros(table.num_rows, bool)
             for low, high in zip(starts[:-1], starts[1:]):
                 if high - low > 1:
-                    pairs = belonging_pairs(keys[low:high], blocks[low:high], counts[low:high], bucket[low], percent)
+                    pairs = belonging_pairs(keys[low:high], blocks[low:high], counts[low:high], bucket[low], one_block[low], percent)
                     kept[low:high] = pairs.any(0) | pairs.any(1)
             yield from table.filter(pa.array(kept)).combine_chunks().to_batches()
 
@@ -217,6 +220,7 @@ def verified_links(groups: DataFrame, n: int, percent: int) -> DataFrame:
         for table, starts in whole_runs(batches, ["bucket", "one", "two"]):
             keys, counts = _keys_matrix(table.column("keys")), table.column("n_shingles").to_numpy()
             blocks, bucket = table.column("block").to_numpy(), table.column("bucket").to_numpy()
+            one_block = table.column("one").to_numpy() == table.column("two").to_numpy()
             copies, names = table.column("copies").to_numpy(), table.column("text_key").combine_chunks()
             column = table.column("text").combine_chunks()
             rows, root, texts, docs = [], [], [], []
@@ -226,7 +230,7 @@ def verified_links(groups: DataFrame, n: int, percent: int) -> DataFrame:
                 made = [shingles(piece, n) for piece in pieces(pa.chunked_array([column.slice(low, high - low)]))]
                 value = np.concatenate([v for v, _ in made])
                 offsets = running(np.concatenate([np.diff(o) for _, o in made]))
-                pairs = belonging_pairs(keys[low:high], blocks[low:high], counts[low:high], bucket[low], percent)
+                pairs = belonging_pairs(keys[low:high], blocks[low:high], counts[low:high], bucket[low], one_block[low], percent)
                 common = intersections(value, offsets)
                 sizes = np.diff(offsets)
                 either = sizes[:, None] + sizes[None, :] - common
