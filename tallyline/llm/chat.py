@@ -14,8 +14,9 @@ self-contained, as a model sees nothing else: if a tree goes on in the next pack
 there once more, with ``repeated`` set. Within a pack nothing is written twice.
 
 Scale. One shuffle gathers conversations, one orders them. Conversations that share all turns are ordered by id, so a first turn or a
-whole conversation that a third of all rows have is dealt over many tasks. A conversation is the unit of a row: tasks
-hold one at a time besides the open path.
+whole conversation that a third of all rows have is dealt over many tasks. Work is in proportion to the turns: the intervals of
+the open path are kept, not made anew for each turn, and packs are written and read a few rows at a time. A conversation is still
+one value when it is gathered and ordered, so all its turns have to fit a task.
 
 Defined results: null roles and texts are empty; a null conversation id is a conversation of its own. Turns are ordered by
 turn, null first, then role, then text, and repeated turns are turns. An empty table gives no rows. Extra columns are not read.
@@ -32,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.groups import whole_runs
-
 OPEN, CLOSE = "<s>", "</s>"
 CONTROL = (OPEN, CLOSE, "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ASSISTANT = "assistant"
 PACK_CHARS = 1 << 20
+HELD_ROWS, HELD_CHARS = 1 << 13, 1 << 20
 
 _CONTROL = re.compile("|".join(map(re.escape, CONTROL)))
 _SEGMENT = re.compile(r"<s>((?:[^\\\n]|\\.)*)\n(.*)</s>", re.S)
@@ -133,43 +133,61 @@ class Turn:
     position: int
     seq: int = -1
     start: int = -1
+    spans: int = 0  # how many intervals the open path takes down to this turn
+
+    @property
+    def end(self) -> int:
+        return self.start + len(self.segment)
 
 
 @dataclass
 class Pack:
-    """Rows of one pack and the open path of its tree."""
+    """Rows of one pack that are not written yet, the open path of its tree and the intervals that path takes."""
 
     name: str
     rows: list[tuple] = field(default_factory=list)
     seq: int = 0
     size: int = 0
     path: list[Turn] = field(default_factory=list)
+    spans: list[tuple[int, int]] = field(default_factory=list)
+    held: int = 0
 
     def put_turn(self, turn: Turn, repeated: bool) -> None:
-        attends: list[list[int]] = []
-        for above in self.path:
-            start, end = above.start, above.start + len(above.segment)
-            if attends and attends[-1][1] == start:
-                attends[-1][1] = end
-            else:
-                attends.append([start, end])
+        above = self.path[-1] if self.path else None
+        del self.spans[above.spans if above else 0 :]
+        if above:  # a turn that the path has left may have made the last interval longer
+            self.spans[-1] = (self.spans[-1][0], above.end)
         turn.seq, turn.start = self.seq, self.size
         loss = (turn.start + turn.body[0], turn.start + turn.body[1]) if turn.role == ASSISTANT else (None, None)
-        end = turn.start + len(turn.segment)
-        parent = self.path[-1].seq if self.path else None
-        seen = [{"start": a, "end": b} for a, b in attends]
+        end = turn.end
+        parent = above.seq if above else None
+        seen = [{"start": a, "end": b} for a, b in self.spans]
         self.rows.append(
             (self.name, turn.seq, "turn", None, len(self.path), parent, turn.segment, repeated, turn.start, end, turn.position, seen, *loss)
         )
+        if self.spans and self.spans[-1][1] == turn.start:
+            self.spans[-1] = (self.spans[-1][0], end)
+        else:
+            self.spans.append((turn.start, end))
+        turn.spans = len(self.spans)
         self.path.append(turn)
         self.seq += 1
         self.size = end
+        self.held += len(turn.segment) + len(seen)
 
     def put_end(self, conv_id: int | None) -> None:
         parent = self.path[-1].seq if self.path else None
         self.rows.append((self.name, self.seq, "end", conv_id, len(self.path), parent, None, False, None, None, None, None, None, None))
         self.seq += 1
 
+    def full(self) -> bool:
+        return len(self.rows) >= HELD_ROWS or self.held >= HELD_CHARS
+
+    def written(self) -> pa.RecordBatch:
+        """The rows so far, which are not held any longer."""
+        rows, self.rows, self.held = self.rows, [], 0
+        return record_batch(rows, PACKED)
+
 
 def format_tree(conversations: DataFrame, pack_chars: int = PACK_CHARS) -> DataFrame:
     """The packs of all conversations (``conv_id, turn, role, text``), rows as in ``PACKED``."""
@@ -188,19 +206,23 @@ def format_tree(conversations: DataFrame, pack_chars: int = PACK_CHARS) -> DataF
                     shared += 1
                 if pack is None or pack.size >= pack_chars:
                     if pack:
-                        yield record_batch(pack.rows, PACKED)
+                        yield pack.written()
                     pack = Pack(hashlib.sha256(path + str(conv_id).encode()).hexdigest()[:32])
                     for turn in before[:shared]:
                         pack.put_turn(turn, repeated=True)
+                        if pack.full():
+                            yield pack.written()
                 del pack.path[shared:]
                 for role, text in zip(roles[shared:], texts[shared:]):
                     segment, *body = format_turn(role, text)
                     above = pack.path[-1] if pack.path else None
                     position = above.position + len(above.segment) if above else 0
                     pack.put_turn(Turn(role, text, segment, tuple(body), position), repeated=False)
+                    if pack.full():
+                        yield pack.written()
                 pack.put_end(conv_id)
         if pack:
-            yield record_batch(pack.rows, PACKED)
+            yield pack.written()
 
     return ordered.mapInArrow(run, ddl(PACKED))
 
@@ -219,25 +241,26 @@ def read_conversations(packs: DataFrame) -> DataFrame:
     """Each conversation's digests, read from segments and loss intervals along its path; rows as in ``READ``."""
     columns = ["pack", "seq", "kind", "conv_id", "depth", "segment", "start", "loss_start", "loss_end"]
     rows = packs.select(*columns).repartition("pack").sortWithinPartitions("pack", "seq")
+    held = [columns.index(name) for name in columns if name != "seq"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_runs(batches, ["pack"]):
+        pack, path = None, []
+        for batch in batches:
             out = []
-            for low, high in zip(starts[:-1], starts[1:]):
-                path = [Seen(hashlib.sha256(), hashlib.sha256(), 0, 0)]
-                values = (table.column(name).slice(low, high - low).to_pylist() for name in columns[2:])
-                for kind, conv_id, depth, segment, start, loss_start, loss_end in zip(*values):
-                    del path[depth + 1 :]
-                    last = path[-1]
-                    if kind == "end":
-                        out.append((conv_id, depth, last.turns.hexdigest(), last.loss_chars, last.loss.hexdigest(), last.chars))
-                        continue
-                    role, text = parse_turn(segment)
-                    turns, loss = last.turns.copy(), last.loss.copy()
-                    turns.update(f"{role}\n{text}\n".encode())
-                    masked = "" if loss_start is None else unescape(segment[loss_start - start : loss_end - start])
-                    loss.update(masked.encode())
-                    path.append(Seen(turns, loss, last.loss_chars + len(masked), last.chars + len(segment)))
+            for name, kind, conv_id, depth, segment, start, loss_start, loss_end in zip(*(batch.column(c).to_pylist() for c in held)):
+                if name != pack or not path:
+                    pack, path = name, [Seen(hashlib.sha256(), hashlib.sha256(), 0, 0)]
+                del path[depth + 1 :]
+                last = path[-1]
+                if kind == "end":
+                    out.append((conv_id, depth, last.turns.hexdigest(), last.loss_chars, last.loss.hexdigest(), last.chars))
+                    continue
+                role, text = parse_turn(segment)
+                turns, loss = last.turns.copy(), last.loss.copy()
+                turns.update(f"{role}\n{text}\n".encode())
+                masked = "" if loss_start is None else unescape(segment[loss_start - start : loss_end - start])
+                loss.update(masked.encode())
+                path.append(Seen(turns, loss, last.loss_chars + len(masked), last.chars + len(segment)))
             yield record_batch(out, READ)
 
     return rows.mapInArrow(run, ddl(READ))

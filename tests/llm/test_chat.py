@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from hypothesis import given
@@ -88,6 +89,46 @@ def test_shared_turns_are_written_once_in_a_pack(spark, limit):
         assert written - 60 * 0 <= 60 and sum(r["repeated"] for r in rows) == 0
 
 
+class Unwalked(list):
+    """An open path that no turn may walk along."""
+
+    def __iter__(self):
+        raise AssertionError("the whole path was walked")
+
+
+def test_a_turn_costs_no_walk_along_the_path():
+    rng, pack, made = random.Random(5), chat.Pack("p"), []
+    pack.path = Unwalked()
+    for i in range(400):
+        depth = rng.randrange(max(0, len(pack.path) - 3), len(pack.path) + 1)
+        del pack.path[depth:], made[depth:]
+        segment, *body = chat.format_turn("user", "x" * rng.randrange(4))
+        pack.put_turn(chat.Turn("user", "x", segment, tuple(body), 0), repeated=False)
+        want = []
+        for start, end in made:
+            if want and want[-1][1] == start:
+                want[-1] = (want[-1][0], end)
+            else:
+                want.append((start, end))
+        got = dict(zip([name for name, _, _ in chat.PACKED], pack.rows[-1]))
+        assert [(a["start"], a["end"]) for a in got["attends"]] == want
+        made.append((got["start"], got["end"]))
+
+
+def test_rows_of_a_pack_are_written_and_read_in_pieces(spark, monkeypatch):
+    turns = shared_turns(spark)
+    whole = sorted(chat.format_tree(turns.coalesce(1)).collect())
+    monkeypatch.setattr(chat, "HELD_ROWS", 3)
+    assert sorted(chat.format_tree(turns.coalesce(1)).collect()) == whole
+
+
+def test_a_conversation_of_very_many_turns(spark):
+    turns = spark.range(60_000).selectExpr(
+        "CAST(NULL AS LONG) AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text"
+    )
+    assert read_back(chat.format_tree(turns)) == grouped(turns.collect())
+
+
 def test_odd_rows(spark):
     rows = [
         (None, 0, "user", None, "x"), (1, 0, "a\nb", "x\\</s>", "x"), (1, 0, "a\nb", "x\\</s>", "x"), (1, None, None, "", None),
