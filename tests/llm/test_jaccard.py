@@ -40,9 +40,8 @@ def test_crowded_group_of_near_copies_in_blocks(spark, monkeypatch):
 
 def test_few_long_near_copies_that_leave_blocks_empty(spark, monkeypatch):
     """A prefix cut by weight into more blocks than it has texts: the groups with an empty block have no pairs."""
-    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 30)
-    base = [f"w{i}" for i in range(120)]
-    texts = [" ".join([*base[:-1], f"x{i}"]) for i in range(3)]
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 120)
+    texts = [" ".join([*(f"w{i}.{k}" for k in range(119)), f"x{j}"]) for i in range(8) for j in range(3)]
     rows = jaccard.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     check_against_brute_force(rows, list(range(len(texts))), texts)
     assert {r["n_linked_texts"] for r in rows} == {2}
