@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyline.llm import secrets
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -106,9 +108,100 @@ URL_FILTER = rf"""WITH
     v AS (SELECT page_id, count(*) AS n, min(kind || ':' || entry) AS entry, min(since) AS since FROM met GROUP BY page_id)
     SELECT page_id, url, fetched_at, coalesce(n, 0) AS n_active, entry, since, coalesce(n, 0) > 0 AS blocked FROM p LEFT JOIN v USING (page_id)"""
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches_sql(name: str, pattern: str) -> str:
+    """Matches of a pattern with their positions, from the lengths of what is between them."""
+    p = _quoted(pattern)
+    return f"""{name} AS (SELECT rid, k, m[k] AS hit, coalesce(list_sum(list_transform(g[:k], lambda x: length(x))), 0)
+                + coalesce(list_sum(list_transform(m[:k - 1], lambda x: length(x))), 0) AS start, v[k] AS value
+            FROM (SELECT rid, m, v, string_split_regex(body, {p}) AS g, unnest(range(1, len(m) + 1)) AS k
+                FROM (SELECT rid, body, regexp_extract_all(body, {p}) AS m,
+                    regexp_extract_all(body, {p}, {2 if name == "assign" else 0}) AS v FROM d)))"""
+
+
+def secrets_sql(docs: str = "documents") -> str:
+    """Common table expressions up to ``spans``: spans of all kinds by row, the random ones by the same battery and limits."""
+    cases = " ".join(
+        f"WHEN regexp_full_match(hit, {_quoted(pattern)}) THEN {number if alphabet else 'NULL'}"
+        for number, (_, pattern, alphabet) in enumerate(secrets.ENCODINGS)
+    )
+    alphabets = ", ".join(_quoted(alphabet or "") for _, _, alphabet in secrets.ENCODINGS)
+    classes = " + ".join(f"CAST(length(hit) >= {least} AS INTEGER)" for least in secrets.LENGTHS[1:])
+    series = "0.0"
+    for factor in reversed(secrets.ERFC):
+        series = f"(({series} + {factor}) * t)"
+    above = ", ".join(f"count(*) FILTER (p >= {t}) AS above_{k}" for k, t in enumerate(secrets.LIMITS))
+    choices = ", ".join(
+        f"CASE WHEN greatest(above_{k} - upper - upper * (0.5 - {t}) / 0.5, 0) + 1 <= {secrets.FALSE_SHARE} * above_{k} THEN {t} END"
+        for k, t in enumerate(secrets.LIMITS)
+    )
+    return rf"""
+        d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM {docs}),
+        {_matches_sql("assign", secrets.ASSIGN)},
+        {_matches_sql("access", secrets.ACCESS)},
+        {_matches_sql("hex", secrets.HEX)},
+        {_matches_sql("token", secrets.TOKEN)},
+        base AS (SELECT rid, start, 0 AS place, start + length(hit) AS stop FROM assign WHERE length(value) >= {secrets.LEAST_VALUE}
+            UNION ALL SELECT rid, start, 1, start + length(hit) FROM access UNION ALL SELECT rid, start, 2, start + length(hit) FROM hex),
+        e AS (SELECT *, CASE {cases} END AS enc FROM token),
+        u AS (SELECT DISTINCT hit, enc, [{alphabets}][enc + 1] AS alphabet, enc * {len(secrets.LENGTHS)} + {classes} AS stratum
+            FROM e WHERE enc IS NOT NULL),
+        c AS (SELECT hit, stratum, CAST(length(alphabet) AS DOUBLE) AS a, CAST(length(hit) AS DOUBLE) AS n,
+                list_transform(range(1, length(hit) + 1), lambda i:
+                    instr(alphabet, substr(CASE WHEN enc = {secrets._number("letters")} THEN lower(hit) ELSE hit END, i, 1))) AS x FROM u),
+        s AS (SELECT *, list_sum(list_transform(range(1, CAST(a AS BIGINT) + 1), lambda v: len(list_filter(x, lambda w: w = v)) ** 2)) AS squares,
+                2.0 * len(list_filter(x, lambda v: 2 * v > a)) * (n - len(list_filter(x, lambda v: 2 * v > a))) AS product,
+                len(list_filter(range(2, len(x) + 1), lambda i: (2 * x[i] > a) <> (2 * x[i - 1] > a))) AS changes,
+                list_sum(list_transform(range(2, len(x) + 1), lambda i: (2 * x[i] - a - 1) * (2 * x[i - 1] - a - 1))) AS away FROM c),
+        z AS (SELECT *, product * (product - n) / (n * n * (n - 1)) AS spread,
+                abs(((a * squares / n - n) - (a - 1)) / sqrt(2.0 * (a - 1) * (n - 1) / n)) AS chi,
+                abs(away * 3.0 / (a * a - 1.0) / sqrt(n - 1)) AS serial FROM s),
+        f AS (SELECT *, greatest(chi, CASE WHEN spread > 0 THEN abs((changes - product / n) / sqrt(spread)) END, serial) / sqrt(2) AS far FROM z),
+        q AS (SELECT hit, stratum, CASE WHEN spread > 0 THEN 1 - (1 - {series} * exp(-far * far)) ** 3 ELSE 0 END AS p
+            FROM (SELECT *, 1 / (1 + {secrets.ERFC_SCALE} * far) AS t FROM f)),
+        counted AS (SELECT stratum, count(*) FILTER (p >= 0.5) AS upper, {above} FROM q GROUP BY stratum),
+        lim AS (SELECT stratum, coalesce({choices}) AS lowest FROM counted),
+        random AS (SELECT rid, start, 3 AS place, start + length(hit) AS stop FROM token JOIN q USING (hit) JOIN lim USING (stratum) WHERE p >= lowest
+            AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = token.rid AND b.start < token.start + length(hit) AND token.start < b.stop)),
+        spans AS (SELECT *, ['assign', 'access', 'hex', 'random'][place + 1] || ':' || start || ':' || stop AS name FROM (FROM base UNION ALL FROM random))"""
+
+
+TERMS = (
+    r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+def search_sql(docs: str = "documents", items: str = "benchmark", top: int = 10) -> str:
+    """Common table expressions up to ``ranked``: every document scored for every item."""
+    return f"""
+        t AS (SELECT rid, doc_id, unnest({TERMS}) AS term FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM {docs})),
+        c AS (SELECT rid, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM t GROUP BY rid, term),
+        n AS (SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM c GROUP BY rid),
+        z AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+        df AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+        q AS (SELECT DISTINCT qid, item_id, unnest({TERMS}) AS term FROM (SELECT row_number() OVER () AS qid, item_id, text FROM {items})),
+        w AS (SELECT qid, item_id, term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM q JOIN df USING (term), z),
+        s AS (SELECT qid, any_value(item_id) AS item_id, rid, any_value(c.doc_id) AS doc_id,
+                CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) AS BIGINT) AS score
+            FROM w JOIN c USING (term) JOIN n USING (rid), z GROUP BY qid, rid),
+        ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+                doc_id, score FROM s WHERE score > 0 QUALIFY rank <= {top})"""
+
+
 SQL: dict[str, str] = {
     "op3_temporal_url_filter": URL_FILTER,
     "op6_source_mixing": f"WITH {mixing_sql()} SELECT doc_id, size, source_size, target, taken FROM mixed",
     "op9_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
+    "op11_secret_scan": f"""WITH {secrets_sql()}
+        SELECT any_value(d.doc_id) AS doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+            count(*) FILTER (place = 2) AS n_hex,
+            sha256(coalesce(string_agg(name, ',' ORDER BY start, place) FILTER (place < 3), '')) AS base_sha256,
+            coalesce(string_agg(name, ',' ORDER BY start, place), '') AS spans
+        FROM d LEFT JOIN spans USING (rid) GROUP BY rid""",
+    "op12_ranked_search": f"WITH {search_sql()} SELECT item_id, rank, doc_id, score FROM ranked",
 }

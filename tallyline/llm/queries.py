@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontamination, htmltext, jaccard, lm, mixing, quality, sharding, urlfilter, warc
+from tallyline.llm import (
+    balltree,
+    chat,
+    decontamination,
+    htmltext,
+    jaccard,
+    lm,
+    mixing,
+    quality,
+    runs,
+    secrets,
+    sharding,
+    urlfilter,
+    warc,
+)
 from tallyline.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +133,61 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_spans(spans: Column) -> Column:
+    """Spans as text: ``kind:start:stop``, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document: those of fixed patterns, counted, and those that random tokens add."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]
+    ]
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *counts, F.sha2(named_spans(base), 256).alias("base_sha256"), named_spans(F.col("spans")).alias("spans"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    found = balltree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def plant_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents, drawn by the id, the words from some place on repeat a first stretch of theirs."""
+    check = F.crc32(F.col("doc_id").cast("string"))
+    drawn_words = F.when(check % 10 == 0, F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0)))
+    drawn = docs.select("doc_id", "text", F.floor(check / 10).alias("g"), drawn_words.alias("words"))
+    # Not merged with the next projection, which uses the words several times.
+    drawn = drawn.select("doc_id", "text", "g", F.explode(F.array(F.struct(F.col("words"), F.size("words").alias("n")))).alias("m"))
+    words, n, g = F.col("m.words"), F.col("m.n"), F.col("g")
+    head = (g % n).cast("int")
+    period = (1 + F.floor((n - head) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - head) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, head + 1, period), times)), F.lit(1), n - head)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), head), tail), " ")
+    return drawn.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of them planted, and the text without the repetitions."""
+    found = runs.find_runs(plant_periods(table(spark, sf_dir, "documents")))
+    by_length = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"), r.alias("run")))
+    longest = F.array_max(by_length)["run"]
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest["start"].alias("start"),
+        longest["length"].alias("length"),
+        longest["period"].alias("period"),
+        F.floor(F.lit(1000) * longest["length"] / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_lm_scores": op2_lm_scores,
@@ -130,4 +199,7 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_histogram_shards": op10_histogram_shards,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }

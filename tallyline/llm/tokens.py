@@ -21,8 +21,8 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = np.uint64(0xD1B54A32D192ED03)
 CHUNK_BYTES = 2 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -63,8 +63,9 @@ class Texts:
         """How many bytes of each text are flagged."""
         return np.diff(running(flags)[self.offsets])
 
-    def words(self) -> Words:
-        inside = ~_SPACE[self.data]
+    def words(self, space: np.ndarray = SPACE) -> Words:
+        """The maximal runs of bytes that ``space`` does not flag."""
+        inside = ~space[self.data]
         first, last = inside.copy(), inside.copy()
         if len(inside):
             first[1:] &= ~inside[:-1]
