@@ -141,11 +141,12 @@ def named_spans(spans: Column) -> Column:
 def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document: those of fixed patterns, counted, and those that random tokens add."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"] != "random")
-    return found.select("doc_id", *counts, F.sha2(named_spans(base), 256).alias("base_sha256"), named_spans(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(count, secrets.KINDS[:3]), F.sha2(named_spans(base), 256).alias("base_sha256"), named_spans(F.col("spans")).alias("spans"))
 
 
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
