@@ -46,7 +46,7 @@ def quality_sql(docs: str = "documents") -> str:
                 NOT (n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words
                     OR 100 * coalesce(n_dup_lines, 0) > 30 * coalesce(n_lines, 0)
                     OR 100 * coalesce(dup_line_chars, 0) > 20 * coalesce(line_chars, 0)
-                    OR 100 * n_symbols > 10 * n_words OR {over}) AS kept
+                    OR {over}) AS kept
             FROM m LEFT JOIN ls USING (rid) LEFT JOIN r USING (rid) {joins})"""
 
 

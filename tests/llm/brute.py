@@ -75,7 +75,6 @@ def kept(text: str | None) -> bool:
         or 100 * m["n_repeat_words"] > 30 * m["n_words"]
         or 100 * m["n_dup_lines"] > 30 * m["n_lines"]
         or 100 * m["dup_line_chars"] > 20 * m["line_chars"]
-        or 100 * m["n_symbols"] > 10 * m["n_words"]
         or any(100 * m[f"dup_chars_{n}"] > p * m["word_chars"] for n, p in limits.items())
     )
 

@@ -43,3 +43,18 @@ def test_equal_words_of_neighbouring_texts_are_no_repeats():
     line = "one two three four five six seven eight nine ten"
     found = quality.measures(texts_of(pa.array([line, line, line])), [5, 10])
     assert not np.any(found["dup_chars_5"]) and not np.any(found["n_dup_lines"])
+
+
+CLEAN = {
+    "list": "\n".join(f"* {a} {b}" for a, b in zip("pears plums figs dates limes beans peas leeks kale mint".split(), "ripe dry new old big raw hot sweet green cold".split())),
+    "table": "\n".join(f"| row {i} | {a} | {i * 37 % 101} |" for i, a in enumerate("ash oak elm fir yew bay box may haw sloe pine larch".split())),
+    "code": "\n".join(f"if (a[{i}] & {1 << i}) > {w}[{i}] && !{w} {{ x += y[{i * 3}] | {i * 7}; }}" for i, w in enumerate("sum cut low top end mid key".split())),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CLEAN))
+def test_marks_alone_do_not_reject(spark, name):
+    docs = spark.createDataFrame([(1, CLEAN[name])], "doc_id long, text string")
+    row = quality.quality_rules(docs).first()
+    assert 100 * row["n_symbols"] > 10 * row["n_words"] and not row["base_failed"]
+    assert row["kept"] and brute.kept(CLEAN[name])
