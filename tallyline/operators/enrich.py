@@ -6,45 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.time import at
+from tallyline.session import materialize
 from tallyline.sources.lookup import Lookup
 
 SNAPSHOT_HOURS = 10
 
 
-# In a shuffled join, a key with more than one row in HEAVY_PART is dealt over SALTS tasks. There are fewer than
-# HEAVY_PART such keys, whatever the lookup's size, and only their lookup rows are copied.
-HEAVY_PART = 100
-SALTS = 32
-
-
-def heavy_keys(rows: DataFrame, on: list[str]) -> DataFrame:
-    """Hashes of the keys that hold a large part of the rows, from one sketch of fixed size. No result depends on it."""
-    top = F.expr(f"approx_top_k(_key, {HEAVY_PART}, {100 * HEAVY_PART})").alias("top")
-    tops = rows.select(F.xxhash64(*on).alias("_key")).agg(top, F.count("*").alias("n"))
-    items = tops.select("n", F.explode("top").alias("e"))
-    return items.where(F.col("e.count") * HEAVY_PART > F.col("n")).select(F.col("e.item").alias("_key"))
-
-
 def join_lookup(rows: DataFrame, lookup: Lookup, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join with a lookup: replicated if its measured size allows, else a sort-merge join through a shuffle.
 
-    Rows of a heavy key are dealt out by their place in their partition, so equal rows part as well, and meet a copy
-    of the lookup row each. The place comes out the same when a lost task is run again. What is still uneven is left
-    to the adaptive skew join.
+    The rows of a heavy key are parted by the adaptive skew join, by the tasks they come from, so equal rows part as well. Where a row goes is
+    decided by its key alone, hence a task that is run again sends its rows to where they went before.
     """
     if lookup.fits_broadcast:
         return rows.join(F.broadcast(lookup.rows), on, how)
-    heavy = F.broadcast(heavy_keys(rows, on).withColumn("_heavy", F.lit(True)))  # fewer than HEAVY_PART rows
-
-    def flagged(side: DataFrame) -> DataFrame:
-        return side.withColumn("_key", F.xxhash64(*on)).join(heavy, "_key", "left")
-
-    place = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    salted = flagged(rows.withColumn("_place", place)).withColumn("_salt", F.when(F.col("_heavy"), F.col("_place")).otherwise(0))
-    copies = F.explode(F.sequence(F.lit(0), F.when(F.col("_heavy"), SALTS - 1).otherwise(0)))
-    copied = flagged(lookup.rows).withColumn("_salt", copies).drop("_key", "_heavy")
-    joined = salted.drop("_key", "_heavy", "_place").hint("merge").join(copied, [*on, "_salt"], how)
-    return joined.drop("_salt")
+    return rows.hint("merge").join(lookup.rows, on, how)
 
 
 def unassigned(movements: DataFrame) -> DataFrame:
@@ -83,6 +59,31 @@ def snapshot_window(ts: Column | str) -> Column:
     return F.window(ts, f"{SNAPSHOT_HOURS} hours")["start"]
 
 
+def snapshot_as_of(wanted: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """For each distinct ``branch, window`` that is asked for, the company of the branch's newest snapshot at or before it.
+
+    One as-of merge: both sides in one column of windows per branch, and the last company that is not null. A branch has at most two rows
+    per ten hours, 1,754 a year, whatever its number of movements.
+    """
+    asked = wanted.select("branch", "window").distinct().withColumn("company", F.lit(None).cast("string"))
+    sides = asked.withColumn("asked", F.lit(True)).unionByName(
+        snapshots.select("branch", "window", "company").withColumn("asked", F.lit(False))
+    )
+    upto = Window.partitionBy("branch").orderBy("window").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = sides.withColumn("company", F.last("company", ignorenulls=True).over(upto))
+    return found.where("asked AND company IS NOT NULL").select("branch", "window", "company")
+
+
+def enrich_as_of(movements: DataFrame, snapshots: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """Look the company up in the newest snapshot of the movement's own branch at or before its window, each branch for itself.
+
+    Snapshots are rows ``branch, window, company``, unique per branch and window; those without a company are left out.
+    """
+    rows = unassigned(movements).drop("company").withColumn("window", snapshot_window(ts))
+    resolved = Lookup.measure(materialize(snapshot_as_of(rows, snapshots), "as-of"), keys=["branch", "window"])
+    return join_lookup(rows, resolved, ["branch", "window"]).select(*movements.columns)
+
+
 def _covered_windows(snapshots: DataFrame) -> DataFrame:
     """Each window between the first and the last snapshot, with the newest snapshot at or before it.
 

@@ -34,6 +34,31 @@ def experiment_partials(events: DataFrame, *by: str) -> DataFrame:
     return events.select(*by, minute_floor("timestamp").alias("minute"), "experiment_id").distinct()
 
 
+def experiment_bitmaps(events: DataFrame, *by: str) -> DataFrame:
+    """The experiments of each minute as bitmaps of 32,768 numbers: one row per minute and bucket of numbers, however many events.
+
+    An event without an experiment leaves an empty bitmap. ``by`` keeps batches apart.
+    """
+    number = F.col("experiment_id").cast("bigint")
+    placed = events.select(
+        *by,
+        minute_floor("timestamp").alias("minute"),
+        F.bitmap_bucket_number(number).alias("bucket"),
+        F.bitmap_bit_position(number).alias("bit"),
+    )
+    return placed.groupBy(*by, "minute", "bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def merge_experiments(partials: DataFrame) -> DataFrame:
+    """Fold bitmaps to one row per minute and bucket. The union of bitmaps is exact."""
+    return partials.groupBy("minute", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def experiment_counts(bitmaps: DataFrame) -> DataFrame:
+    """Exact number of experiments of each minute, from folded bitmaps."""
+    return bitmaps.groupBy("minute").agg(F.sum(F.bitmap_count("bitmap")).alias("metric"))
+
+
 def _on_axis(axis: DataFrame, metric: DataFrame) -> DataFrame:
     """Every minute of the axis, with zero where the metric has no row."""
     return axis.join(metric.withColumnRenamed("minute", "timestamp"), "timestamp", "left").select(
@@ -51,10 +76,9 @@ def users_report(axis: DataFrame, minutes: DataFrame) -> DataFrame:
     return _on_axis(axis, minutes.select("minute", F.hll_sketch_estimate("users").alias("metric")))
 
 
-def experiments_report(axis: DataFrame, experiments: DataFrame) -> DataFrame:
-    """Exact number of live experiments per minute, from distinct (minute, experiment) rows."""
-    live = experiments.where(F.col("experiment_id").isNotNull()).groupBy("minute")
-    return _on_axis(axis, live.agg(F.count("*").alias("metric")))
+def experiments_report(axis: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Exact number of live experiments per minute, from folded bitmaps."""
+    return _on_axis(axis, experiment_counts(bitmaps))
 
 
 def trailing_report(per_minute: DataFrame, minutes: int) -> DataFrame:

@@ -8,7 +8,7 @@ are the feature, so their number is that of the variants squared.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.keys import is_variant_key, overlap_key, set_key, variant_name
@@ -117,6 +117,69 @@ def combination_overlap(combinations: DataFrame) -> DataFrame:
     )
 
 
+def overlap_delta(new: DataFrame, earlier: DataFrame) -> DataFrame:
+    """What the set rows ``new`` change, as ``dim_a, dim_b, users``: common users of each pair of variants, and a variant with itself
+    for the size of its set.
+
+    A member's earlier combination of variants is taken back and its present one added. Members without a new variant change nothing.
+    Of the ``earlier`` rows only those of members in ``new`` are shuffled.
+    """
+    new, earlier = (sets.where(is_variant_key(F.col("set_key"))) for sets in (new, earlier))
+    known = earlier.join(new.select("member").distinct(), "member", "left_semi")
+    both = new.select("set_key", "member", F.lit(True).alias("now")).unionByName(
+        known.select("set_key", "member", F.lit(False).alias("now"))
+    )
+    per_member = both.groupBy("member").agg(
+        F.sort_array(F.collect_set(F.when(~F.col("now"), F.col("set_key")))).alias("before"),
+        F.sort_array(F.collect_set("set_key")).alias("after"),
+    )
+    changed = per_member.where(F.size("after") > F.size("before"))
+    sides = [F.struct(F.col(c).alias("keys"), F.lit(n).alias("n")) for c, n in (("before", -1), ("after", 1))]
+    sides = F.explode(F.array(*sides))
+    combinations = changed.select(sides.alias("side")).groupBy("side.keys").agg(F.sum("side.n").alias("users")).where("users <> 0")
+    own = combinations.select(F.explode("keys").alias("key"), "users").withColumn("name", variant_name(F.col("key")))
+    own = own.select(F.col("name").alias("dim_a"), F.col("name").alias("dim_b"), "users")
+    return merge_overlap(_pairs_within(combinations, "users").unionByName(own))
+
+
+def merge_overlap(partials: DataFrame) -> DataFrame:
+    """Fold what batches changed: at most a row per pair of variants."""
+    return partials.groupBy("dim_a", "dim_b").agg(F.sum("users").alias("users"))
+
+
+def folded_overlap(folded: DataFrame) -> DataFrame:
+    """Number of common users for every pair of variants, zero included, from folded changes and without the sets."""
+    names = folded.where(F.col("dim_a") == F.col("dim_b")).select(F.col("dim_a").alias("variant"))
+    none = variant_pairs(names).withColumn("users", F.lit(0).cast("bigint"))
+    common = folded.where(F.col("dim_a") < F.col("dim_b")).select("dim_a", "dim_b", "users")
+    pairs = common.unionByName(none).groupBy("dim_a", "dim_b")
+    return pairs.agg(F.sum("users").cast("double").alias("metric"))
+
+
+# Size of a set sketch, as a power of two: sets up to that many members are counted exactly.
+THETA_BITS = 14
+
+
+def set_sketches(sets: DataFrame, *by: str) -> DataFrame:
+    """One mergeable sketch per variant, of a bounded size whatever its members; ``by`` keeps batches apart."""
+    named = sets.where(is_variant_key(F.col("set_key")))
+    sketch = F.theta_sketch_agg("member", THETA_BITS).alias("sketch")
+    return named.groupBy(*by, variant_name(F.col("set_key")).alias("variant")).agg(sketch)
+
+
+def merge_sketches(partials: DataFrame) -> DataFrame:
+    """Fold sketches to one per variant."""
+    return partials.groupBy("variant").agg(F.theta_union_agg("sketch", THETA_BITS).alias("sketch"))
+
+
+def sketch_overlap(sketches: DataFrame) -> DataFrame:
+    """Approximate number of common users for every pair of variants, from one sketch per variant and without the sets."""
+    first = sketches.select(F.col("variant").alias("dim_a"), F.col("sketch").alias("one"))
+    second = sketches.select(F.col("variant").alias("dim_b"), F.col("sketch").alias("two"))
+    both = variant_pairs(sketches.select("variant")).join(first, "dim_a").join(second, "dim_b")
+    return both.select("dim_a", "dim_b", F.theta_sketch_estimate(F.theta_intersection("one", "two")).alias("approximate"))
+
+
 def overlap_members(sets: DataFrame) -> DataFrame:
     """Members of the intersection of every pair of variants."""
     pairs = _pairs_within(_combinations(sets), "member")
@@ -160,6 +223,26 @@ def with_dimensions(overlap: DataFrame) -> DataFrame:
     return overlap.select(F.array("dim_a", "dim_b").alias("dimensions"), "metric").distinct()
 
 
+def ordered_conversion(events: DataFrame, goal: str) -> DataFrame:
+    """Users of each variant of an experiment, and how many had a ``goal`` event of the experiment after their first event of the variant.
+
+    Rows ``experiment_id, variant, users, converted, rate``. A goal before the exposure, or at the same time, does not count. Events without
+    a user are nobody's. A user's events are reduced to one row per variant before the goal is matched, so no user is a heavy group.
+    """
+    known = events.where(F.col("uid").isNotNull() & F.col("variant").isNotNull())
+    per_variant = known.groupBy("experiment_id", "uid", "variant").agg(
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
+    )
+    of_user = Window.partitionBy("experiment_id", "uid")
+    reached = F.max(F.when(F.col("variant") == goal, F.col("last"))).over(of_user)
+    exposed = per_variant.withColumn("reached", reached).where(F.col("variant") != goal)
+    return (
+        exposed.groupBy("experiment_id", "variant")
+        .agg(F.count("*").alias("users"), F.count_if(F.col("reached") > F.col("first")).alias("converted"))
+        .withColumn("rate", F.try_divide("converted", "users"))
+    )
+
+
 def experiment_conversion(events: DataFrame, goal: str) -> DataFrame:
     """Share of an experiment's users with at least one ``goal`` event.
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions import keys, time
 from tallyline.operators import counters, enrich, minute, overlap, parse, route
 from tallyline.plans import inputs, reports
 from tallyline.session import materialize, scratch_dir
-from tallyline.sources import lookup, messages, store
-from tallyline.streaming import stock, web
+from tallyline.sources import lookup, messages, points, store
+from tallyline.streaming import late, state, stock, web
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +111,14 @@ def enrich_company_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich(_movements(spark, sf_dir), large)
 
 
+@query
+def enrich_company_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup too large to replicate, stored in buckets of its key: only the movements are shuffled."""
+    large = lookup.Lookup.measure(_branches(spark, sf_dir), broadcast_limit=0)
+    stored = lookup.store_bucketed(large, f"branches_{uuid.uuid4().hex}")
+    return enrich.enrich(_movements(spark, sf_dir), stored)
+
+
 @query
 def lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.lookup_misses(_movements(spark, sf_dir), _lookup(spark, sf_dir))
@@ -153,6 +163,15 @@ def enrich_previous_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_snapshots(spark, sf_dir, every=False)
 
 
+@query
+def enrich_branch_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From snapshots that lack single branches, in which each branch uses its own newest one."""
+    movements = inputs.branch_movements(inputs.table(spark, sf_dir, "events"))
+    number = (F.unix_seconds(time.utc_instant("window")) / 36000).cast("bigint")
+    taken = _snapshots(movements, every=True).rows.where((F.col("branch").cast("bigint") + number) % 5 < 3)
+    return enrich.enrich_as_of(movements, taken).select("event_id", "branch", "company")
+
+
 # Counters
 
 
@@ -188,10 +207,20 @@ def counter_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     enriched = enrich.enrich(batches, _lookup(spark, sf_dir)).where("company = '1'")
     totals = store.PartialStore(spark, scratch_dir(spark, "counters"), store.STOCK_FAMILIES)
-    totals.backfill("counters", counters.count_by_key(enriched, "batch_id"), "lines")
+    totals.write("counters", counters.count_by_key(enriched, "batch_id").drop("batch_id"), "lines", 0)
     return totals.read("counters")
 
 
+@query
+def counter_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point reads from the stored counters: those of the hundred smallest keys that the lines would have if all were of company 1."""
+    path = scratch_dir(spark, "counters")
+    points.store_sorted(stock_movement(spark, sf_dir), path)
+    line = F.concat(F.col("l_suppkey").cast("string"), F.lit("|1|"), F.col("l_partkey").cast("string")).alias("counter_key")
+    asked = inputs.table(spark, sf_dir, "lineitem").select(line).distinct().orderBy("counter_key").limit(100)
+    return points.read_keys(spark, path, [row["counter_key"] for row in asked.collect()])
+
+
 # Minutes
 
 
@@ -241,6 +270,14 @@ def experiments_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minute.trailing_report(live.agg(F.count("experiment_id").alias("metric")), REPORT_MINUTES)
 
 
+@query
+def experiments_bitmap_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from bitmaps of four batches, folded."""
+    batches = _events(spark, sf_dir).withColumn("batch_id", F.pmod(F.xxhash64("uid", "timestamp"), F.lit(4)))
+    partials = minute.experiment_bitmaps(batches, "batch_id")
+    return minute.trailing_report(minute.experiment_counts(minute.merge_experiments(partials)), REPORT_MINUTES)
+
+
 @query
 def users_per_day_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir).withColumn("day", time.day_floor("timestamp"))
@@ -266,10 +303,10 @@ def metric_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     batches = events.withColumn("batch_id", F.pmod(F.xxhash64("uid", "timestamp"), F.lit(4)))
     saved = store.PartialStore(spark, scratch_dir(spark, "minutes"), store.WEB_FAMILIES)
-    saved.backfill("minutes", minute.minute_partials(batches, "batch_id"), "quarters")
-    saved.backfill("experiments", minute.experiment_partials(batches, "batch_id"), "quarters")
+    saved.write("minutes", minute.minute_partials(batches, "batch_id").drop("batch_id"), "quarters", 0)
+    saved.write("experiments", minute.experiment_bitmaps(batches, "batch_id").drop("batch_id"), "quarters", 0)
     minutes = saved.read("minutes").withColumn("users", F.hll_sketch_estimate("users"))
-    experiments = saved.read("experiments").groupBy("minute").agg(F.count("experiment_id").alias("n"))
+    experiments = minute.experiment_counts(saved.read("experiments")).withColumnRenamed("metric", "n")
     return minutes.unpivot("minute", ["visits", "users"], "family", "n").unionByName(
         experiments.withColumn("family", F.lit("experiments"))
     )
@@ -277,12 +314,12 @@ def metric_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits per minute from four batches of mixed days, with two folds in between."""
+    """Visits per minute from four batches of mixed days, with two compactions in between."""
     events = _events(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("timestamp"), F.lit(4)))
     saved = store.PartialStore(spark, scratch_dir(spark, "folds"), store.WEB_FAMILIES)
     for number in range(4):
         if number in (2, 3):
-            saved.fold("quarters", number)
+            saved.compact("quarters", number)
         part = events.where(F.col("part") == number)
         saved.write("minutes", minute.minute_partials(part), "quarters", number)
     return saved.read("minutes").select("minute", "visits")
@@ -348,6 +385,22 @@ def overlap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_matrix(overlap.variant_overlap(sets), shown)
 
 
+@query
+def variant_overlap_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps from one set sketch per variant, folded from those of three batches, against the exact ones."""
+    batches = _sets(spark, sf_dir).withColumn("batch_id", F.pmod(F.xxhash64("member"), F.lit(3)))
+    found = overlap.sketch_overlap(overlap.merge_sketches(overlap.set_sketches(batches, "batch_id")))
+    exact = overlap.variant_overlap(_sets(spark, sf_dir))
+    near = F.abs(F.col("approximate") - F.col("metric")) <= F.col("metric") * 0.05
+    return exact.join(found, ["dim_a", "dim_b"]).select("dim_a", "dim_b", "metric", near.alias("within_5pct"))
+
+
+@query
+def conversion_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of each variant with a goal after their first event of the variant."""
+    return overlap.ordered_conversion(_events(spark, sf_dir), GOAL)
+
+
 @query
 def experiment_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.experiment_conversion(_events(spark, sf_dir), GOAL)
@@ -401,6 +454,72 @@ def stream_variant_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.variants_overlap(_web_store(spark, sf_dir))
 
 
+@query
+def stream_overlap_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of the orders' sets from what four batches change, folded; the report reads no set."""
+    saved = store.PartialStore(spark, scratch_dir(spark, "overlap-store"), store.WEB_FAMILIES)
+    batches = _sets(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("set_key", "member"), F.lit(4)))
+    for number in range(4):
+        sets = overlap.merge_sets(batches.where(F.col("part") == number))
+        saved.write("overlap", overlap.overlap_delta(sets, saved.partials("variant_users")), "parts", number)
+        saved.write("variant_users", sets, "parts", number)
+    return reports.variants_overlap(saved)
+
+
+def _message_files(spark: SparkSession, rows: DataFrame, part: Column, root: str, order: list[int]) -> None:
+    """One file of messages for each entry of ``order``, in this order of age."""
+    stored = materialize(rows.withColumn("part", part), "stream-input")
+    for number in order:
+        stored.where(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(root)
+
+
+@query
+def stream_counters_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with its running sums in the stream's own state: three batches, with a new start before the last."""
+    root = scratch_dir(spark, "state-stream")
+    kept = store.PartialStore(spark, f"{root}/store", state.STATE_FAMILIES)
+    state.use_state_store(spark)
+    lines = inputs.table(spark, sf_dir, "lineitem").select("l_linenumber", inputs.cdc_message().alias("value"))
+    for order in ([0, 1], [2]):
+        _message_files(spark, lines, F.col("l_linenumber") % 3, f"{root}/in", order)
+        changes = messages.stream_table(spark, f"{root}/in", max_files=1)
+        state.start_counter_stream(
+            changes, kept, _lookup(spark, sf_dir), f"{root}/checkpoint", trigger=AVAILABLE_NOW
+        ).awaitTermination()
+    return state.totals(kept)
+
+
+@query
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship over a bus that delivers every message twice, the second time up to two minutes after."""
+    root = scratch_dir(spark, "redelivery-stream")
+    totals = store.PartialStore(spark, f"{root}/store", store.STOCK_FAMILIES)
+    part = F.col("l_orderkey") % 3
+    published = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=part.cast("int"), secs=F.col("l_linenumber"))
+    sent = inputs.table(spark, sf_dir, "lineitem").select(
+        F.sha2(F.to_json(F.struct("*")), 256).alias("message_id"), published.alias("published_at"), "l_orderkey", inputs.cdc_message().alias("value")
+    )
+    _message_files(spark, sent, part, f"{root}/in", [0, 1, 0, 2, 1, 2])
+    stream = messages.stream_table(spark, f"{root}/in", max_files=1)
+    once = messages.drop_redelivered(stream, "message_id", "published_at", "10 minutes").select("value")
+    branches = lookup.RefreshingLookup(lambda: _branches(spark, sf_dir))
+    stock.start_stock_stream(once, totals, branches, f"{root}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+    return totals.read("counters")
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three batches, of which a tenth come with the last: how many of each minute were on time, and how many late."""
+    root = scratch_dir(spark, "late-stream")
+    saved = store.PartialStore(spark, f"{root}/store", late.LATE_FAMILIES)
+    events = inputs.table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("timestamp"))
+    part = F.when(F.col("event_id") % 10 == 3, 2).when(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"), 0).otherwise(1)
+    _message_files(spark, events, part, f"{root}/in", [0, 1, 2])
+    stream = messages.stream_table(spark, f"{root}/in", max_files=1)
+    late.start_late_stream(stream, saved, f"{root}/checkpoint", timedelta(hours=1), trigger=AVAILABLE_NOW).awaitTermination()
+    return late.visits_on_time_and_late(saved)
+
+
 @query
 def stream_visits_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visits report with the place of each point in it."""

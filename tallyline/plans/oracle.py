@@ -115,6 +115,7 @@ SQL = {
     """,
     "enrich_company": ENRICHED,
     "enrich_company_shuffled": ENRICHED,
+    "enrich_company_bucketed": ENRICHED,
     "lookup_misses": f"""
         SELECT branch, sku, value, ts_ms FROM ({MOVEMENTS}) m
         WHERE NOT EXISTS (SELECT 1 FROM ({BRANCHES}) b WHERE b.branch = m.branch)
@@ -132,12 +133,22 @@ SQL = {
         SELECT m.event_id, m.branch, s.company
         FROM moves m JOIN resolved r ON m.w = r.w JOIN snapshots s ON m.branch = s.branch AND s.w = r.taken
     """,
+    "enrich_branch_asof": f"""
+        {_snapshots("(CAST(branch AS BIGINT) + n) % 5 < 3")}
+        SELECT m.event_id, m.branch, s.company FROM moves m ASOF JOIN snapshots s ON m.branch = s.branch AND m.w >= s.w
+    """,
     "route_by_company": f"""
         SELECT CASE WHEN company = '1' THEN 0 ELSE 1 END AS route, count(*) AS n FROM ({ENRICHED}) GROUP BY 1
     """,
     "stock_movement": COUNTERS,
     "stock_movement_shuffled": COUNTERS,
     "counter_merge": COUNTERS,
+    "counter_lookup": f"""
+        SELECT CAST(place AS INTEGER) AS place, k AS counter_key, coalesce(total, 0) AS total
+        FROM (SELECT row_number() OVER (ORDER BY k) - 1 AS place, k
+              FROM (SELECT DISTINCT l_suppkey || '|1|' || l_partkey AS k FROM lineitem) ORDER BY k LIMIT 100)
+        LEFT JOIN ({COUNTERS}) ON counter_key = k
+    """,
     "minute_keys": """
         SELECT event_id, date_trunc('minute', ts) AS minute, strftime(ts, 'visitCounter_%Y_%m_%dT%H_%M') AS visits_key,
                strftime(ts, 'hll_dthr_%Y_%m_%dT%H_%M') AS users_key,
@@ -151,6 +162,7 @@ SQL = {
     "visits_per_minute": _report("count(*)"),
     "users_per_minute": _report("count(DISTINCT uid)"),
     "experiments_per_minute": _report("count(DISTINCT experiment_id)"),
+    "experiments_bitmap_per_minute": _report("count(DISTINCT experiment_id)"),
     "users_per_day_approx": """
         SELECT date_trunc('day', ts) AS day, count(DISTINCT user_id) AS exact, true AS within_3pct
         FROM events GROUP BY 1
@@ -174,6 +186,16 @@ SQL = {
     """,
     "overlap_dimensions": f"SELECT dim_a AS dimension FROM ({OVERLAP}) UNION SELECT dim_b FROM ({OVERLAP})",
     "overlap_matrix": f"SELECT dim_a AS variant, {MATRIX_COLUMNS} FROM ({OVERLAP}) GROUP BY 1",
+    "variant_overlap_sketch": f"SELECT *, true AS within_5pct FROM ({OVERLAP})",
+    "conversion_ordered": f"""
+        WITH f AS (SELECT experiment_id, uid, variant, min(timestamp) AS first, max(timestamp) AS last FROM ({EVENTS})
+                   WHERE uid IS NOT NULL AND variant IS NOT NULL GROUP BY ALL),
+        g AS (SELECT experiment_id, uid, last FROM f WHERE variant = 'purchase')
+        SELECT f.experiment_id, variant, count(*) AS users, count(*) FILTER (g.last > f.first) AS converted,
+               count(*) FILTER (g.last > f.first) / count(*) AS rate
+        FROM f LEFT JOIN g ON f.experiment_id IS NOT DISTINCT FROM g.experiment_id AND f.uid = g.uid
+        WHERE variant <> 'purchase' GROUP BY 1, 2
+    """,
     "experiment_conversion": f"""
         SELECT experiment_id, count(DISTINCT uid) AS users,
                count(DISTINCT CASE WHEN variant = 'purchase' THEN uid END) AS converted,
@@ -185,6 +207,16 @@ SQL = {
     "stream_users_per_minute": _report("count(DISTINCT uid)"),
     "stream_experiments_per_minute": _report("count(DISTINCT experiment_id)"),
     "stream_variant_overlap": _overlap(EVENT_PAIRS, EVENT_MEMBERS),
+    "stream_overlap_incremental": OVERLAP,
+    "stream_counters_stateful": COUNTERS,
+    "stream_redelivered": COUNTERS,
+    "stream_late_rows": """
+        WITH e AS (SELECT ts, date_trunc('minute', ts) AS minute,
+                   CASE WHEN event_id % 10 = 3 THEN 2 WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS part FROM events),
+        before AS (SELECT p.part, max(ts) AS newest FROM (SELECT DISTINCT part FROM e) p LEFT JOIN e ON e.part < p.part GROUP BY 1),
+        told AS (SELECT minute, coalesce(minute + INTERVAL 1 MINUTE <= newest - INTERVAL 1 HOUR, false) AS late FROM e JOIN before USING (part))
+        SELECT minute, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS late FROM told GROUP BY 1
+    """,
     "users_approx_large": """
         SELECT l_linestatus AS status, count(DISTINCT l_orderkey) AS exact, true AS within_3pct FROM lineitem GROUP BY 1
     """,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,17 +15,16 @@ from tallyline.functions.time import (
     within_trailing,
 )
 from tallyline.operators.minute import experiments_report, users_report, visits_report
-from tallyline.operators.overlap import variant_overlap
+from tallyline.operators.overlap import folded_overlap
 from tallyline.sources.store import PartialStore
 
 
 def _axis_and_metric(
     store: PartialStore, table: str, minutes: int, asof: datetime | None
 ) -> tuple[DataFrame, DataFrame]:
-    """The axis, and the stored metric read from the folders of the days the axis touches."""
+    """The axis, and the stored metric within it; the range reaches the scan of files that are sorted by minute."""
     asof = asof or current_minute()
-    start = asof - timedelta(minutes=max(minutes, 0))
-    metric = within_trailing(store.read(table, start.date(), asof.date()), minutes, asof, "minute")
+    metric = within_trailing(store.read(table), minutes, asof, "minute")
     return trailing_minutes(store.spark, minutes, asof), metric
 
 
@@ -58,4 +57,5 @@ def closed_minutes(store: PartialStore, minutes: int) -> DataFrame:
 
 
 def variants_overlap(store: PartialStore) -> DataFrame:
-    return variant_overlap(store.partials("variant_users"))
+    """Common users of every pair of variants, from the folded changes: at most a row per pair and stored batch is read, no set."""
+    return folded_overlap(store.read("overlap"))

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.session import materialize
+from tallyline.session import materialize, scratch_dir
 
 # Largest lookup that is replicated to every executor, counted on its rows and not guessed from files.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -83,6 +83,20 @@ class Lookup:
         return cls(rows, n_rows, (totals["width"] or 0) + ROW_OVERHEAD_BYTES * n_rows, broadcast_limit)
 
 
+def store_bucketed(lookup: Lookup, table: str, buckets: int | None = None) -> Lookup:
+    """Write the lookup as a table bucketed and sorted by branch, for joins that shuffle only the movements.
+
+    As many buckets as shuffles have partitions, unless told otherwise: with fewer, Spark would deal the lookup out anew for
+    more tasks. The table stays until it is dropped, and serves every batch until the lookup changes.
+    """
+    spark = lookup.rows.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, table)
+    dealt = lookup.rows.repartition(buckets, "branch")  # a file per bucket, and not one per bucket and task
+    dealt.write.bucketBy(buckets, "branch").sortBy("branch").option("path", path).mode("overwrite").saveAsTable(table)
+    return Lookup(spark.table(table), lookup.n_rows, lookup.n_bytes, lookup.broadcast_limit)
+
+
 class RefreshingLookup:
     """Re-reads the lookup once it is older than ``ttl`` seconds.
 

@@ -33,6 +33,17 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
+def drop_redelivered(messages: DataFrame, message_id: str, published_at: str, within: str) -> DataFrame:
+    """Each message of an at-least-once bus once: the first delivery of an id, if later ones follow within ``within``.
+
+    ``published_at`` is the bus's own time of the message, the same for all its deliveries. Ids are forgotten once the newest time is
+    ``within`` past theirs, so state is bounded by the messages of that span; a message delivered for the first time later than that is
+    dropped too. ``within`` is therefore the longest time for which the bus goes on delivering.
+    """
+    timed = messages.withColumn("_published", F.col(published_at).cast("timestamp")).withWatermark("_published", within)
+    return timed.dropDuplicatesWithinWatermark([message_id]).drop("_published")
+
+
 def stream_table(
     spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:

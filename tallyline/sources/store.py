@@ -1,63 +1,40 @@
-"""Mergeable partial metrics in Parquet folders.
+"""Mergeable partial metrics in plain Parquet folders.
 
-Each micro-batch writes what it adds to the metrics into folders of this attempt at it. When all tables are written, one small
-file says that the attempt is finished: from then on, and all at once, it counts in place of any earlier attempt at the batch.
-So a replay never counts twice, and a reader never meets a batch half written. Readers fold all partials. Every so often a fold
-merges the closed batches into a new generation; its list of folders, written last, makes the new generation
-current, so a crash in between changes nothing.
+Each micro-batch writes what it adds to the metrics to a folder of its own, named by its number. A batch that is run again overwrites its
+folder, so a replay never counts twice. Readers merge all folders. Every so often, small folders are merged by an ordinary
+job into one for a range of batches:
 
-    <root>/<table>/generation=<g>/folded/[day=<d>/]part-*.parquet
-    <root>/<table>/generation=<g>/batches/attempt=<a>/run=<run>/batch_id=<n>/part-*.parquet
-    <root>/finished/generation=<g>/     table, run, batch_id, attempt, at
-    <root>/current/generation=<g>/      table, day, folded_in
+    <root>/<table>/run=<run>/first=<a>/last=<b>/part-*.parquet
 
-A fold costs what the batches touch. Of a table by day, the days of the batches are merged with their earlier state,
-and other days stay listed where they are. Of the other tables, the merged batches are one more level beside the
-earlier ones; ``fold(full=True)`` merges all levels into one.
+A folder counts once it is finished (Spark's ``_SUCCESS``), unless a finished folder of the same run with a wider range has it merged. So
+a compaction takes effect at once, and one that fails changes nothing. What a compaction has merged stays until the next one,
+for readers that have begun on it.
 
-Only the folded state is laid out by day: a micro-batch is small and would fall apart into tiny files. Within
-a batch the time range is pruned by the statistics of the Parquet files.
-
-One writer at a time. Generations before the current one are not read any more; ``expire`` removes them. An age
-rule of the storage must not, as it cannot know which generation is current.
+Tables are written one after the other, each complete in itself: while a batch is being replayed, a reader may miss its part in
+one of them. ``streaming.state`` keeps counters in Spark's own state store instead, for totals that are visible with every batch.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.counters import merge_counters
-from tallyline.operators.minute import merge_minutes
-from tallyline.operators.overlap import merge_sets
+from tallyline.operators.minute import merge_experiments, merge_minutes
+from tallyline.operators.overlap import merge_overlap, merge_sets
 from tallyline.session import remove
 
-FOLDED_RUN = "folded"
-FOLDED_BATCH = -1
-BATCH_COLUMNS = "run STRING, batch_id BIGINT"
-NO_DAY = date(1970, 1, 1)  # folder of rows without a minute
-LAYOUT = "table STRING, day DATE, folded_in INT"
-FINISHED = "table STRING, run STRING, batch_id BIGINT, attempt STRING, at BIGINT"
-
 
 @dataclass(frozen=True)
 class Family:
-    """A kind of metric: its columns, how partials fold, and whether it is laid out by day."""
+    """A kind of metric: its columns, how partials merge, and the column whose ranges reports read."""
 
     schema: str
     merge: Callable[[DataFrame], DataFrame]
-    by_day: bool = False
-
-
-def _merge_experiments(partials: DataFrame) -> DataFrame:
-    return partials.select("minute", "experiment_id").distinct()
+    sorted_by: str | None = None
 
 
 def _merge_tally(key: str) -> Callable[[DataFrame], DataFrame]:
@@ -71,169 +48,96 @@ STOCK_FAMILIES = {
 }
 
 WEB_FAMILIES = {
-    "minutes": Family("minute TIMESTAMP_NTZ, visits BIGINT, users BINARY", merge_minutes, by_day=True),
-    "experiments": Family("minute TIMESTAMP_NTZ, experiment_id INT", _merge_experiments, by_day=True),
+    "minutes": Family("minute TIMESTAMP_NTZ, visits BIGINT, users BINARY", merge_minutes, "minute"),
+    "experiments": Family("minute TIMESTAMP_NTZ, bucket BIGINT, bitmap BINARY", merge_experiments, "minute"),
     "variant_users": Family("set_key STRING, member STRING", merge_sets),
+    "overlap": Family("dim_a STRING, dim_b STRING, users BIGINT", merge_overlap),
     "rejects": STOCK_FAMILIES["rejects"],
 }
 
 
+@dataclass(frozen=True)
+class Part:
+    """A finished folder."""
+
+    run: str
+    first: int
+    last: int
+    path: str
+
+    def has(self, other: Part) -> bool:
+        return self != other and self.run == other.run and self.first <= other.first and other.last <= self.last
+
+
 @dataclass
 class PartialStore:
-    """The partial tables of one pipeline below a root folder."""
+    """The partial tables of one pipeline below a root folder. One writer at a time."""
 
     spark: SparkSession
     root: str
     families: dict[str, Family] = field(default_factory=dict)
 
-    def __post_init__(self) -> None:
-        self._mark_current(0, mode="ignore")
-
-    def _mark_current(self, generation: int, layout: list[tuple] = (), mode: str = "overwrite") -> None:
-        """Store where the folded state of this generation is; a row without a table is the generation's own mark."""
-        rows = self.spark.createDataFrame([("", None, generation), *layout], LAYOUT).coalesce(1)
-        rows.write.mode(mode).parquet(f"{self.root}/current/generation={generation}")
-
-    def layout(self, table: str, generation: int) -> list[tuple[date | None, int]]:
-        """Day (None for a table that is not by day) and generation of the folders of folded state."""
-        rows = self.spark.read.schema(LAYOUT).parquet(f"{self.root}/current/generation={generation}")
-        return sorted((r["day"], r["folded_in"]) for r in rows.where(F.col("table") == table).collect())
-
-    def generation(self) -> int:
-        """The newest complete generation."""
-        return self.spark.read.parquet(f"{self.root}/current").agg(F.max("generation")).first()[0]
-
-    def _folder(self, table: str, generation: int) -> str:
-        return f"{self.root}/{table}/generation={generation}"
-
-    def _write(self, rows: DataFrame, folder: str, by: str | None = None) -> None:
-        if by:
-            # One task per folder instead of a file of every task in every folder; a folder too large for
-            # one task is split by the adaptive execution.
-            rows = rows.hint("rebalance", F.col(by))
+    def _write(self, rows: DataFrame, folder: str) -> None:
         # Static, so that nothing of an earlier attempt survives whatever the session prefers.
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(by) if by else writer).parquet(folder)
-
-    def _read(self, schema: str, *folders: str, base: str | None = None) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
-        try:
-            return (reader.option("basePath", base) if base else reader).parquet(*folders)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def write(self, table: str, partials: DataFrame, run: str, batch_id: int, generation: int | None = None) -> None:
-        """As ``write_batch`` for a batch of one table."""
-        self.write_batch({table: partials}, run, batch_id, generation)
-
-    def write_batch(self, tables: dict[str, DataFrame], run: str, batch_id: int, generation: int | None = None) -> None:
-        """Store the partials of one batch; they take the place of any earlier attempt at it when all are written."""
-        generation = self.generation() if generation is None else generation
-        attempt = f"a{uuid.uuid4().hex}"
-        for table, partials in tables.items():
-            self._write(partials, f"{self._attempt(table, generation, attempt)}/run={run}/batch_id={batch_id}")
-        self._finish(list(tables), run, batch_id, generation, attempt)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
-    def _attempt(self, table: str, generation: int, attempt: str) -> str:
-        return f"{self._folder(table, generation)}/batches/attempt={attempt}"
+    def _folder(self, table: str, run: str, first: int, last: int) -> str:
+        return f"{self.root}/{table}/run={run}/first={first}/last={last}"
 
-    def _finish(self, tables: list[str], run: str, batch_id: int | None, generation: int, attempt: str) -> None:
-        """One file for all tables, so that they count at once. ``batch_id`` is null for an attempt of many batches."""
-        marks = [(table, run, batch_id, attempt, time.time_ns()) for table in tables]
-        self.spark.createDataFrame(marks, FINISHED).coalesce(1).write.mode("append").parquet(self._finished(generation))
-
-    def _finished(self, generation: int) -> str:
-        return f"{self.root}/finished/generation={generation}"
+    def write(self, table: str, partials: DataFrame, run: str, batch_id: int) -> None:
+        """Store what one batch adds to a table, in place of an earlier attempt at it. There may be several rows of a key."""
+        self._write(partials, self._folder(table, run, batch_id, batch_id))
 
     def keep_rejected(self, messages: DataFrame, run: str, batch_id: int, folder: str | None = None) -> None:
-        """Store the unusable messages of one batch in full. They are kept as they came and never folded."""
+        """Store the unusable messages of one batch in full. They are kept as they came and never merged."""
         self._write(messages, f"{folder or self.root + '/rejected_messages'}/run={run}/batch_id={batch_id}")
 
     def rejected_messages(self) -> DataFrame:
         """All unusable messages with their reason."""
-        return self._read("reason STRING, message STRING", f"{self.root}/rejected_messages").select("reason", "message")
-
-    def backfill(self, table: str, partials: DataFrame, run: str) -> None:
-        """Store the partials of many batches, told apart by ``batch_id``, in one job.
-
-        They take the place of an earlier backfill of this run as a whole; batches written one by one need another run.
-        """
-        generation, attempt = self.generation(), f"a{uuid.uuid4().hex}"
-        self._write(partials, f"{self._attempt(table, generation, attempt)}/run={run}", by="batch_id")
-        self._finish([table], run, None, generation, attempt)
+        return self.spark.read.schema("reason STRING, message STRING").parquet(f"{self.root}/rejected_messages")[["reason", "message"]]
+
+    def parts(self, table: str) -> list[Part]:
+        """All finished folders of a table."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/run=*/first=*/last=*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+        out = []
+        for status in found or []:
+            path = status.getPath().getParent().toString()
+            run, first, last = (piece.split("=", 1)[1] for piece in path.rsplit("/", 3)[1:])
+            out.append(Part(run, int(first), int(last), path))
+        return sorted(out, key=lambda p: (p.run, p.first, p.last))
+
+    def live(self, table: str) -> list[Part]:
+        """The folders that count: as many as there are batches between two compactions, and one per compaction."""
+        parts = self.parts(table)
+        return [p for p in parts if not any(q.has(p) for q in parts)]
+
+    def partials(self, table: str, parts: list[Part] | None = None) -> DataFrame:
+        """All partials that count."""
+        parts = self.live(table) if parts is None else parts
+        schema = self.families[table].schema
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(p.path for p in parts))
 
-    def partials(
-        self, table: str, generation: int | None = None, start: date | None = None, end: date | None = None
-    ) -> DataFrame:
-        """All partials that count, with the run and batch they came from.
+    def read(self, table: str) -> DataFrame:
+        """The metric itself: partials merged. A range of minutes that a report asks for reaches the scan."""
+        return self.families[table].merge(self.partials(table))
 
-        ``start`` and ``end`` leave out folded days beyond them.
-        """
-        family = self.families[table]
-        generation = self.generation() if generation is None else generation
-        within = [(d, g) for d, g in self.layout(table, generation) if d is None or not (start and end) or start <= d <= end]
-        folded = self._folded(table, within)
-        folded = folded.withColumns({"run": F.lit(FOLDED_RUN), "batch_id": F.lit(FOLDED_BATCH).cast("bigint")})
-        return folded.unionByName(self._batches(table, generation))
-
-    def _folded(self, table: str, layout: list[tuple[date | None, int]]) -> DataFrame:
-        folders = [f"{self._folder(table, g)}/folded" + (f"/day={d}" if d else "") for d, g in layout]
-        return self._read(self.families[table].schema, *folders)
-
-    def _batches(self, table: str, generation: int) -> DataFrame:
-        """The newest finished attempt at every batch. A generation has as many batches as there are between two folds."""
-        marks = self._read(FINISHED, self._finished(generation)).where(F.col("table") == table)
-        newest = marks.groupBy("run", "batch_id").agg(F.max_by("attempt", "at").alias("attempt"))
-        folders = [self._attempt(table, generation, row["attempt"]) for row in newest.collect()]
-        schema = f"{self.families[table].schema}, {BATCH_COLUMNS}"
-        return self._read(schema, *folders, base=f"{self._folder(table, generation)}/batches").drop("attempt")
-
-    def read(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
-        """The metric itself: partials folded."""
-        return self.families[table].merge(self.partials(table, start=start, end=end))
-
-    def expire(self) -> None:
-        """Remove what the current generation does not list: folded state, batches and marks of those before it."""
-        current = self.generation()
-        for table in self.families:
-            live = {generation for _, generation in self.layout(table, current)}
-            for generation in range(current):
-                remove(self.spark, f"{self._folder(table, generation)}/batches")
-                if generation not in live:
-                    remove(self.spark, self._folder(table, generation))
-        for generation in range(current):
-            remove(self.spark, f"{self.root}/current/generation={generation}")
-            remove(self.spark, self._finished(generation))
-
-    def fold(self, run: str, before: int, full: bool = False) -> int:
-        """Merge everything but batches of ``run`` from number ``before`` on into a new generation.
+    def compact(self, run: str, before: int, full: bool = False) -> None:
+        """Merge the batches of a run below ``before`` into one folder per table; with ``full`` also what was merged before.
 
         Called at the start of batch ``before``: the batches before it are closed and will not come again.
-        What a failed attempt at that batch left behind stays out. ``full`` merges all earlier state too.
         """
-        current = self.generation()
-        layout: list[tuple] = []
         for table, family in self.families.items():
-            closed = self._batches(table, current).where(~((F.col("run") == run) & (F.col("batch_id") >= before)))
-            closed = closed.drop("run", "batch_id")
-            earlier = self.layout(table, current)
-            if family.by_day:
-                closed = closed.withColumn("day", F.coalesce(F.to_date("minute"), F.lit(NO_DAY)))
-                days = {row["day"] for row in closed.select("day").distinct().collect()}
-                days |= {d for d, _ in earlier} if full else set()
-                merged = self._folded(table, [(d, g) for d, g in earlier if d in days])
-                state = family.merge(closed.drop("day").unionByName(merged))
-                state = state.withColumn("day", F.coalesce(F.to_date("minute"), F.lit(NO_DAY)))
-                kept, new = [(d, g) for d, g in earlier if d not in days], [(d, current + 1) for d in days]
-            else:
-                state = family.merge(closed.unionByName(self._folded(table, earlier)) if full else closed)
-                kept, new = ([] if full else earlier), [(None, current + 1)]
-            if new:
-                self._write(state, f"{self._folder(table, current + 1)}/folded", by="day" if family.by_day else None)
-            layout += [(table, day, generation) for day, generation in [*kept, *new]]
-        self._mark_current(current + 1, layout)
-        return current + 1
+            every, live = self.parts(table), self.live(table)
+            for part in every:
+                if part not in live:
+                    remove(self.spark, part.path)
+            closed = [p for p in live if p.run == run and p.last < before and (full or p.first == p.last)]
+            if len(closed) < 2:
+                continue
+            merged = family.merge(self.partials(table, closed))
+            if family.sorted_by:
+                merged = merged.repartitionByRange(family.sorted_by).sortWithinPartitions(family.sorted_by)
+            self._write(merged, self._folder(table, run, closed[0].first, closed[-1].last))

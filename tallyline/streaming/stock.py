@@ -15,7 +15,8 @@ from tallyline.operators.parse import accepted, only_rejected_text, parse_cdc, r
 from tallyline.sources.lookup import RefreshingLookup
 from tallyline.sources.store import PartialStore
 
-FOLD_EVERY = 500
+COMPACT_EVERY = 500
+FULL_EVERY = 20 * COMPACT_EVERY
 
 
 def stock_batch(
@@ -23,7 +24,7 @@ def stock_batch(
     lookup: RefreshingLookup,
     run: str,
     company: str = "1",
-    fold_every: int = FOLD_EVERY,
+    compact_every: int = COMPACT_EVERY,
     dead_letters: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """What to do with each micro-batch of parsed messages: one parse, several outputs.
@@ -32,20 +33,16 @@ def stock_batch(
     """
 
     def process(parsed: DataFrame, batch_id: int) -> None:
-        if batch_id and batch_id % fold_every == 0:
-            store.fold(run, batch_id)
-        generation = store.generation()
+        if batch_id and batch_id % compact_every == 0:
+            store.compact(run, batch_id, full=batch_id % FULL_EVERY == 0)
         branches = lookup.get()
         parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             movements = accepted(parsed)
             store.keep_rejected(rejected(parsed), run, batch_id, dead_letters)
-            tables = {
-                "counters": stock_movement(movements, branches, company),
-                "misses": branch_misses(movements, branches),
-                "rejects": reject_counts(parsed),
-            }
-            store.write_batch(tables, run, batch_id, generation)
+            store.write("counters", stock_movement(movements, branches, company), run, batch_id)
+            store.write("misses", branch_misses(movements, branches), run, batch_id)
+            store.write("rejects", reject_counts(parsed), run, batch_id)
         finally:
             parsed.unpersist()
 

@@ -10,32 +10,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.time import NTZ
-from tallyline.operators.minute import experiment_partials, minute_partials
-from tallyline.operators.overlap import variant_users
+from tallyline.operators.minute import experiment_bitmaps, minute_partials
+from tallyline.operators.overlap import overlap_delta, variant_users
 from tallyline.operators.parse import accepted, only_rejected_text, parse_web, reject_counts, rejected
 from tallyline.sources.store import PartialStore
 
-FOLD_EVERY = 500
+COMPACT_EVERY = 500
+FULL_EVERY = 20 * COMPACT_EVERY
 
 
-def web_batch(store: PartialStore, run: str, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
-    """What to do with each micro-batch of parsed messages: one parse, all metric families."""
+def web_batch(store: PartialStore, run: str, compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+    """What to do with each micro-batch of parsed messages: one parse, all metric families.
+
+    What a batch changes in the overlaps follows from the sets of the batches before it, whose rows of the batch's users are looked up
+    by a semi-join. A replay finds the same sets, as it leaves out its own batch and later ones.
+    """
 
     def process(parsed: DataFrame, batch_id: int) -> None:
-        if batch_id and batch_id % fold_every == 0:
-            store.fold(run, batch_id)
-        generation = store.generation()
+        if batch_id and batch_id % compact_every == 0:
+            store.compact(run, batch_id, full=batch_id % FULL_EVERY == 0)
         parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = accepted(parsed)
             store.keep_rejected(rejected(parsed), run, batch_id)
-            tables = {
-                "minutes": minute_partials(events),
-                "experiments": experiment_partials(events),
-                "variant_users": variant_users(events),
-                "rejects": reject_counts(parsed),
-            }
-            store.write_batch(tables, run, batch_id, generation)
+            store.write("minutes", minute_partials(events), run, batch_id)
+            store.write("experiments", experiment_bitmaps(events), run, batch_id)
+            store.write("rejects", reject_counts(parsed), run, batch_id)
+            sets = variant_users(events)
+            earlier = [p for p in store.live("variant_users") if p.run != run or p.last < batch_id]
+            store.write("overlap", overlap_delta(sets, store.partials("variant_users", earlier)), run, batch_id)
+            store.write("variant_users", sets, run, batch_id)
         finally:
             parsed.unpersist()
 
@@ -48,7 +52,7 @@ def start_web_stream(
     checkpoint: str,
     run: str = "web",
     trigger: dict | None = None,
-    fold_every: int = FOLD_EVERY,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Run until stopped, or over what is there with ``trigger={"availableNow": True}``.
 
@@ -59,7 +63,7 @@ def start_web_stream(
     )
     return (
         parsed.writeStream.queryName(run)
-        .foreachBatch(web_batch(store, run, fold_every))
+        .foreachBatch(web_batch(store, run, compact_every))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()

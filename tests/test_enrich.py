@@ -1,15 +1,15 @@
 from __future__ import annotations
 
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.operators.counters import count_by_key, merge_counters, stock_movement
-from tallyline.operators.enrich import branch_misses, enrich, enrich_from_snapshot, heavy_keys, lookup_misses
+from tallyline.operators.enrich import branch_misses, enrich, enrich_as_of, enrich_from_snapshot, lookup_misses, snapshot_as_of
 from tallyline.operators.route import by_company, route, split
-from tallyline.sources.lookup import Lookup
+from tallyline.sources.lookup import Lookup, store_bucketed
 
 MOVEMENT = "branch STRING, company STRING, sku STRING, value STRING"
 LOOKUP = "branch STRING, company STRING"
@@ -43,27 +43,63 @@ def test_enrich(spark, limit):
     assert rows(lookup_misses(moves, branches)) == [("b9", "s", "3")]
 
 
-@pytest.mark.parametrize("sku", ["CAST(id AS STRING)", "'same'"])
-def test_a_hot_branch_is_spread(spark, sku):
-    """One branch has a third of the rows, which may all be equal; without the skew join its task would have them all."""
+def test_a_hot_branch_is_spread(spark, tmp_path):
+    """One branch has a third of the rows; the skew join parts them by the tasks they come from."""
     moves = spark.range(0, 60_000, 1, 24).selectExpr(
-        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS branch", "'' AS company", f"{sku} AS sku", "'1' AS value"
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS branch", "'' AS company", "MD5(CAST(id AS STRING)) AS sku", "'1' AS value"
     )
+    moves.selectExpr("branch", "'1' AS company").distinct().write.parquet(f"{tmp_path}/branches")
+    branches = Lookup.measure(spark.read.parquet(f"{tmp_path}/branches"), broadcast_limit=0)
+    small = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        dealt = enrich(moves, branches).select("branch", "sku", F.spark_partition_id().alias("p")).collect()
+        assert len(dealt) == 60_000
+        hot = Counter(r["p"] for r in dealt if r["branch"] == "hot")
+        assert len(hot) > 4 and max(hot.values()) < 10_000
+        assert stock_movement(moves, branches).agg(F.sum("total")).first()[0] == 60_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_where_a_row_goes_depends_on_its_key_alone(spark):
+    """The order in which a task meets its rows, which changes when a lost one is run again, changes no row's partition."""
+    moves = spark.range(3_000).selectExpr("CAST(id % 40 AS STRING) AS branch", "'' AS company", "CAST(id AS STRING) AS sku", "'1' AS value")
     branches = Lookup.measure(moves.selectExpr("branch", "'1' AS company").distinct(), broadcast_limit=0)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    found = enrich(moves, branches)
-    assert found.count() == 60_000
-    dealt = found.select("branch", F.spark_partition_id().alias("p")).collect()
-    hot = Counter(r["p"] for r in dealt if r["branch"] == "hot")
-    assert len(hot) > 4 and max(hot.values()) < 10_000
-    assert stock_movement(moves, branches).agg(F.sum("total")).first()[0] == 60_000
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
+    def places(frame):
+        return {r["sku"]: r["p"] for r in enrich(frame, branches).select("sku", F.spark_partition_id().alias("p")).collect()}
 
-def test_only_heavy_keys_are_dealt_out(spark):
-    moves = spark.range(3000).selectExpr("IF(id < 1000, 'hot', CAST(id AS STRING)) AS branch", "'' AS company", "'s' AS sku", "'1' AS value")
-    assert [r[0] for r in heavy_keys(moves, ["branch"]).collect()] == [moves.select(F.xxhash64(F.lit("hot"))).first()[0]]
-    assert heavy_keys(moves.limit(0), ["branch"]).count() == 0
+    assert places(moves.repartition(4, "sku")) == places(moves.orderBy(F.desc("sku")).repartition(4))
+
+
+def test_messages_are_parsed_once_for_a_shuffled_join(spark):
+    from tallyline.operators.parse import accepted, parse_cdc
+
+    messages = spark.createDataFrame([("{}",)], "value STRING")
+    text = plan(enrich(accepted(parse_cdc(messages)), lookup(spark, [("b1", "1")], 0)))
+    physical = text[text.index("== Physical Plan") :]
+    assert physical.count("from_json") == 1
+
+
+def test_bucketed_lookup_is_not_shuffled(spark):
+    moves = spark.range(500).selectExpr("CAST(id % 50 AS STRING) AS branch", "'' AS company", "CAST(id AS STRING) AS sku", "'1' AS value")
+    small = lookup(spark, [(str(i), str(i % 3)) for i in range(40)], 0)
+    stored = store_bucketed(small, "test_bucketed_branches")
+    assert rows(enrich(moves, stored)) == rows(enrich(moves, small))
+    text = plan(enrich(moves, stored))
+    physical = text[text.index("== Physical Plan") :]
+    assert "SortMergeJoin" in physical and physical.count("Exchange hashpartitioning") == 1
+    assert plan(enrich(moves, small)).split("== Physical Plan")[1].count("Exchange hashpartitioning") == 2
+    spark.sql("DROP TABLE test_bucketed_branches")
 
 
 def test_large_lookup_is_joined_through_a_shuffle(spark):
@@ -169,3 +205,31 @@ def test_no_snapshots(spark):
     )
     assert enrich_from_snapshot(moves, none, previous=True).count() == 0
     assert enrich_from_snapshot(moves, none).count() == 0
+
+
+def test_each_branch_has_its_own_newest_snapshot(spark, limit):
+    window = lambda n: datetime(2024, 1, 1, 8) + n * timedelta(hours=10)
+    moves = spark.createDataFrame(
+        [(b, "", f"{b}{n}", "1", window(n) + timedelta(minutes=5)) for b in ("a", "b", "c", None) for n in range(4)]
+        + [("a", "7", "assigned", "1", window(3))],
+        "branch STRING, company STRING, sku STRING, value STRING, timestamp TIMESTAMP_NTZ",
+    )
+    snapshots = spark.createDataFrame(
+        [("a", window(0), "1"), ("a", window(2), "2"), ("b", window(1), "3"), ("b", window(3), None), ("d", window(0), "4")],
+        "branch STRING, window TIMESTAMP_NTZ, company STRING",
+    )
+    found = {r["sku"]: r["company"] for r in enrich_as_of(moves, snapshots).collect()}
+    assert found == {"a0": "1", "a1": "1", "a2": "2", "a3": "2", "b1": "3", "b2": "3", "b3": "3"}
+    assert enrich_as_of(moves, snapshots.limit(0)).count() == 0
+    assert enrich_as_of(moves.limit(0), snapshots).count() == 0
+
+
+def test_as_of_merge_sees_a_branch_once_per_window(spark):
+    """A branch with a third of all movements is one row per window before it meets its snapshots."""
+    moves = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("branch"),
+        F.lit("2024-01-01 08:00:00").cast("timestamp_ntz").alias("window"),
+    )
+    snapshots = moves.select("branch", "window", F.lit("1").alias("company")).distinct()
+    resolved = snapshot_as_of(moves, snapshots)
+    assert resolved.where("branch = 'hot'").count() == 1 and resolved.count() == 6_001

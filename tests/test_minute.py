@@ -108,7 +108,7 @@ def test_reports_are_dense(spark):
     parts = minute.minute_partials(got)
     assert series(minute.visits_report(axis, parts)) == {first: 0.0, second: 3.0, third: 1.0}
     assert series(minute.users_report(axis, parts)) == {first: 0.0, second: 2.0, third: 1.0}
-    live = minute.experiments_report(axis, minute.experiment_partials(got))
+    live = minute.experiments_report(axis, minute.experiment_bitmaps(got))
     assert series(live) == {first: 0.0, second: 2.0, third: 0.0}
 
 
@@ -119,7 +119,7 @@ def test_reports_without_events(spark, minutes):
     parts = minute.minute_partials(none)
     assert list(series(minute.visits_report(axis, parts)).values()) == [0.0] * minutes
     assert list(series(minute.users_report(axis, parts)).values()) == [0.0] * minutes
-    assert list(series(minute.experiments_report(axis, minute.experiment_partials(none))).values()) == [0.0] * minutes
+    assert list(series(minute.experiments_report(axis, minute.experiment_bitmaps(none))).values()) == [0.0] * minutes
 
 
 def test_sketch_error_of_one_and_of_merged_partials(spark):

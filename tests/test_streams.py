@@ -14,7 +14,7 @@ from tallyline.operators import minute, overlap, parse
 from tallyline.operators.counters import count_by_key, stock_movement
 from tallyline.plans import inputs, reports
 from tallyline.plans.catalog import QUERIES
-from tallyline.session import scratch_dir
+from tallyline.session import remove, scratch_dir
 from tallyline.sources.lookup import Lookup, RefreshingLookup
 from tallyline.sources.messages import read_messages, stream_messages, stream_table
 from tallyline.sources.store import STOCK_FAMILIES, WEB_FAMILIES, PartialStore
@@ -69,7 +69,7 @@ def test_stock_stream_equals_batch(spark, tmp_path, branches, order):
     store = PartialStore(spark, f"{root}/store", STOCK_FAMILIES)
     query = start_stock_stream(
         stream_messages(spark, str(tmp_path / "in"), max_files=1), store, branches, f"{root}/checkpoint",
-        trigger=NOW, dead_letters=f"{root}/dead", fold_every=2,
+        trigger=NOW, dead_letters=f"{root}/dead", compact_every=2,
     )
     query.awaitTermination()
     batch = parse.parse_cdc(read_messages(spark, str(tmp_path / "in")))
@@ -79,7 +79,7 @@ def test_stock_stream_equals_batch(spark, tmp_path, branches, order):
     assert rows(store.read("misses")) == [("b9", 1)]
     dead = spark.read.parquet(f"{root}/dead").select("reason", "message")
     assert rows(dead) == rows(parse.rejected(batch))
-    assert store.generation() == 1
+    assert [(p.first, p.last) for p in store.live("counters")] == [(0, 1), (2, 2)]
     progress = [p["observedMetrics"]["messages"] for p in query.recentProgress if p["observedMetrics"]]
     assert (sum(m["read"] for m in progress), sum(m["unusable"] for m in progress)) == (10, 3)
 
@@ -93,12 +93,12 @@ def test_table_stream_in_small_batches(spark, sf_dir, tmp_path, branches):
     suppliers = inputs.branch_lookup(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
     query = start_stock_stream(
         inputs.cdc_messages(stream_table(spark, path, max_bytes=1)), store, RefreshingLookup(lambda: suppliers),
-        f"{root}/checkpoint", trigger=NOW, fold_every=3,
+        f"{root}/checkpoint", trigger=NOW, compact_every=3,
     )
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
     assert rows(store.read("counters")) == rows(QUERIES["stock_movement"](spark, sf_dir))
-    assert store.generation() == 1
+    assert [(p.first, p.last) for p in store.live("counters")] == [(0, 2), (3, 3)]
 
 
 def test_stream_goes_on_after_a_stop(spark, tmp_path, branches):
@@ -114,7 +114,7 @@ def test_stream_goes_on_after_a_stop(spark, tmp_path, branches):
 
 def test_replay_does_not_count_twice(spark, branches):
     store = PartialStore(spark, scratch_dir(spark, "test-replay"), STOCK_FAMILIES)
-    process = stock_batch(store, branches, "run", fold_every=2)
+    process = stock_batch(store, branches, "run", compact_every=2)
     texts = [spark.createDataFrame([(t,) for t in part], "value STRING") for part in CHANGES]
     for number in (0, 0, 1, 1, 2, 2, 2):
         process(parse.parse_cdc(texts[number]), number)
@@ -122,30 +122,34 @@ def test_replay_does_not_count_twice(spark, branches):
     assert rows(store.read("rejects")) == [("bad_value", 1), ("malformed", 1), ("missing_field", 1)]
 
 
-def test_fold_keeps_totals_and_survives_a_crash(spark, monkeypatch):
-    store = PartialStore(spark, scratch_dir(spark, "test-fold"), STOCK_FAMILIES)
-    add = lambda n, total: store.write(
-        "counters", spark.createDataFrame([("k", total)], "counter_key STRING, total BIGINT"), "run", n
+def test_compaction_keeps_totals_and_survives_a_crash(spark, monkeypatch):
+    store = PartialStore(spark, scratch_dir(spark, "test-compact"), STOCK_FAMILIES)
+    add = lambda n, total, run="run": store.write(
+        "counters", spark.createDataFrame([("k", total)], "counter_key STRING, total BIGINT"), run, n
     )
+    live = lambda: [(p.run, p.first, p.last) for p in store.live("counters")]
     add(0, 1)
     add(1, 2)
     add(2, 100)  # left behind by a failed attempt at batch 2
-    with monkeypatch.context() as crash:
-        crash.setattr(store, "_mark_current", lambda *_: (_ for _ in ()).throw(OSError("crash")))
-        with pytest.raises(OSError):
-            store.fold("run", 2)
-    assert store.generation() == 0
-    assert store.fold("run", 2) == 1
-    assert rows(store.read("counters")) == [("k", 3)]
+    half = f"{store.root}/counters/run=run/first=0/last=1"
+    spark.createDataFrame([("k", 3)], "counter_key STRING, total BIGINT").write.parquet(half)
+    remove(spark, f"{half}/_SUCCESS")  # a compaction that never finished
+    assert live() == [("run", 0, 0), ("run", 1, 1), ("run", 2, 2)]
+    store.compact("run", 2)
+    assert live() == [("run", 0, 1), ("run", 2, 2)]
+    assert rows(store.read("counters")) == [("k", 103)]
     add(2, 4)
     assert rows(store.read("counters")) == [("k", 7)]
-    # Another run counts on its own, and its batches are closed for this fold.
-    store.write("counters", spark.createDataFrame([("k", 10)], "counter_key STRING, total BIGINT"), "other", 2)
-    assert store.fold("run", 3) == 2
-    assert rows(store.read("counters")) == [("k", 17)]
-    assert store.partials("counters").count() == 2, "one level for each fold"
-    assert store.fold("run", 3, full=True) == 3
-    assert rows(store.partials("counters").select("counter_key", "total")) == [("k", 17)]
+    # Another run counts on its own, and is compacted on its own.
+    add(2, 10, "other")
+    add(3, 1)
+    store.compact("run", 4)
+    assert live() == [("other", 2, 2), ("run", 0, 1), ("run", 2, 3)]
+    assert {(p.first, p.last) for p in store.parts("counters") if p.run == "run"} == {(0, 1), (2, 2), (3, 3), (2, 3)}, "for readers"
+    store.compact("run", 4, full=True)
+    assert live() == [("other", 2, 2), ("run", 0, 3)]
+    assert rows(store.read("counters")) == [("k", 18)]
+    assert rows(store.partials("counters", [p for p in store.live("counters") if p.run == "run"])) == [("k", 8)]
 
 
 def test_replaced_batch_leaves_no_old_day(spark):
@@ -153,9 +157,10 @@ def test_replaced_batch_leaves_no_old_day(spark):
     try:
         store = PartialStore(spark, scratch_dir(spark, "test-days"), WEB_FAMILIES)
         for moment in (datetime(2024, 1, 1, 5), datetime(2024, 1, 2, 5)):
-            frame = spark.createDataFrame([(moment, 1)], "minute TIMESTAMP_NTZ, experiment_id INT")
-            store.write("experiments", frame, "run", 0)
-        assert rows(store.read("experiments")) == [(datetime(2024, 1, 2, 5), 1)]
+            frame = spark.createDataFrame([(moment, 1)], "minute TIMESTAMP_NTZ, visits BIGINT")
+            frame = frame.withColumn("users", F.lit(None).cast("binary"))
+            store.write("minutes", frame, "run", 0)
+        assert rows(store.read("minutes").select("minute", "visits")) == [(datetime(2024, 1, 2, 5), 1)]
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
@@ -210,7 +215,7 @@ def check_web(spark, store, events):
     parts = minute.minute_partials(events)
     assert rows(reports.visits(store, 5, ASOF)) == rows(minute.visits_report(axis, parts))
     assert rows(reports.users(store, 5, ASOF)) == rows(minute.users_report(axis, parts))
-    live = minute.experiments_report(axis, minute.experiment_partials(events))
+    live = minute.experiments_report(axis, minute.experiment_bitmaps(events))
     assert rows(reports.experiments(store, 5, ASOF)) == rows(live)
     common = overlap.variant_overlap(overlap.variant_users(events))
     assert rows(reports.variants_overlap(store)) == rows(common)
@@ -223,7 +228,7 @@ def test_web_stream_equals_batch(spark, tmp_path, order):
     root = scratch_dir(spark, "test-web")
     store = PartialStore(spark, f"{root}/store", WEB_FAMILIES)
     start_web_stream(
-        stream_messages(spark, str(tmp_path / "in"), max_files=1), store, f"{root}/checkpoint", trigger=NOW, fold_every=2
+        stream_messages(spark, str(tmp_path / "in"), max_files=1), store, f"{root}/checkpoint", trigger=NOW, compact_every=2
     ).awaitTermination()
     events = parse.accepted(parse.parse_web(read_messages(spark, str(tmp_path / "in"))))
     check_web(spark, store, events)
@@ -241,50 +246,22 @@ def test_web_replay(spark):
     check_web(spark, store, parse.accepted(parse.parse_web(texts[0].unionAll(texts[1]).unionAll(texts[2]))))
 
 
-def test_report_reads_the_days_it_needs(spark):
+def test_report_reads_the_minutes_it_needs(spark):
     store = PartialStore(spark, scratch_dir(spark, "test-prune"), WEB_FAMILIES)
     events = spark.range(10).select(
         F.col("id").alias("uid"), F.lit(1).alias("experiment_id"),
         (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))).alias("timestamp"),
     )
-    store.write("minutes", minute.minute_partials(events), "run", 0)
-    assert store.fold("run", 1) == 1
-    store.write("minutes", minute.minute_partials(events), "run", 1)
-    report = reports.visits(store, 10, datetime(2024, 1, 3, 0, 5))
-    assert rows(report.where("metric > 0")) == [(datetime(2024, 1, 3), 2.0)]
-    days = {f.split("/day=")[1].split("/")[0] for f in report.inputFiles() if "/folded/" in f}
-    assert days == {"2024-01-02", "2024-01-03"}, "folded days"
-    assert "GreaterThanOrEqual(minute,2024-01-02" in plan(report), "within the batches"
-
-
-def test_fold_leaves_other_days_where_they_are(spark):
-    """A late day is merged with its own earlier state; no file of another day is written again."""
-    store = PartialStore(spark, scratch_dir(spark, "test-fold-days"), WEB_FAMILIES)
-
-    def batch(number, *days):
-        events = spark.createDataFrame([(1, 1, "1", datetime(2024, 1, d, 0, m)) for d in days for m in (0, 0, 5)], "uid BIGINT, experiment_id INT, variant STRING, timestamp TIMESTAMP_NTZ")
+    for number in range(3):
         store.write("minutes", minute.minute_partials(events), "run", number)
-        store.write("variant_users", overlap.variant_users(events), "run", number)
-        return events
-
-    def files(day):
-        return sorted(f for f in store.partials("minutes").inputFiles() if f"/day=2024-01-0{day}/" in f)
-
-    seen = batch(0, 1, 2, 3)
-    store.fold("run", 1)
-    before = {day: files(day) for day in (1, 2, 3)}
-    seen = seen.unionAll(batch(1, 2))
-    store.fold("run", 2)
-    assert files(1) == before[1] and files(3) == before[3] and files(2) != before[2] and files(2)
-    for full in (False, True):
-        found = store.read("minutes").select("minute", "visits")
-        assert rows(found) == rows(minute.minute_partials(seen).select("minute", "visits"))
-        assert rows(store.read("variant_users")) == rows(overlap.variant_users(seen))
-        assert len(store.layout("variant_users", store.generation())) == (1 if full else 2)
-        if not full:
-            store.fold("run", 3, full=True)
-            store.expire()
-    assert {g for _, g in store.layout("minutes", 3)} == {3}
+    store.compact("run", 2)
+    report = reports.visits(store, 10, datetime(2024, 1, 3, 0, 5))
+    assert rows(report.where("metric > 0")) == [(datetime(2024, 1, 3), 3.0)]
+    assert "GreaterThanOrEqual(minute,2024-01-02" in plan(report)
+    merged = spark.read.parquet(f"{store.root}/minutes/run=run/first=0/last=1")
+    spans = merged.groupBy(F.input_file_name().alias("file")).agg(F.min("minute").alias("low"), F.max("minute").alias("high"))
+    spans = spans.orderBy("low").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(spans, spans[1:])), "files hold ranges of minutes"
 
 
 def test_unfinished_batch_files_are_not_read(spark):
@@ -292,29 +269,11 @@ def test_unfinished_batch_files_are_not_read(spark):
     store = PartialStore(spark, scratch_dir(spark, "test-unfinished"), STOCK_FAMILIES)
     moves = spark.createDataFrame([("b", "1", "s", "2")], "branch STRING, company STRING, sku STRING, value STRING")
     store.write("counters", count_by_key(moves), "run", 0)
-    half = f"{store.root}/counters/generation=0/batches/run=run/batch_id=1/_temporary/0/task_0"
+    half = f"{store.root}/counters/run=run/first=1/last=1/_temporary/0/task_0"
     count_by_key(moves).write.parquet(half)
     assert rows(store.read("counters")) == [("b|1|s", 2)]
 
 
-def test_attempts_count_when_all_tables_are_written(spark):
-    """Until its last table is written, a replay changes nothing; then all its tables take the place of the earlier ones."""
-    store = PartialStore(spark, scratch_dir(spark, "test-attempts"), STOCK_FAMILIES)
-    counters = lambda total: spark.createDataFrame([("k", total)], "counter_key STRING, total BIGINT")
-    misses = lambda n: spark.createDataFrame([("b", n)], "branch STRING, n BIGINT")
-    broken = spark.range(1).select(F.lit("b").alias("branch"), F.raise_error(F.lit("lost")).cast("bigint").alias("n"))
-    store.write_batch({"counters": counters(1), "misses": misses(1)}, "run", 0)
-    with pytest.raises(Exception, match="lost"):
-        store.write_batch({"counters": counters(5), "misses": broken}, "run", 0)
-    assert rows(store.read("counters")) == [("k", 1)] and rows(store.read("misses")) == [("b", 1)]
-    report = store.read("counters")
-    store.write_batch({"counters": counters(7), "misses": misses(2)}, "run", 0)
-    assert rows(store.read("counters")) == [("k", 7)] and rows(store.read("misses")) == [("b", 2)]
-    assert rows(report) == [("k", 1)], "a report that began before the replay keeps its files"
-    assert store.fold("run", 1) == 1
-    assert rows(store.read("counters")) == [("k", 7)] and rows(store.read("misses")) == [("b", 2)]
-
-
 def test_closed_minutes_drop_what_is_too_late(spark, tmp_path):
     root = scratch_dir(spark, "test-closed")
     seen = [["00:00:10", "00:02:00"], ["00:01:40"], ["00:00:20"]]
@@ -346,7 +305,7 @@ def test_closed_minutes_of_the_store_do_not_depend_on_batches(spark, tmp_path, c
     root = scratch_dir(spark, "test-closed-store")
     store = PartialStore(spark, f"{root}/store", WEB_FAMILIES)
     start_web_stream(
-        stream_messages(spark, str(tmp_path / "in"), max_files=1), store, f"{root}/checkpoint", trigger=NOW, fold_every=2
+        stream_messages(spark, str(tmp_path / "in"), max_files=1), store, f"{root}/checkpoint", trigger=NOW, compact_every=2
     ).awaitTermination()
     want = [(datetime(2024, 1, 1, 0, m), 1) for m in range(0, 57, 3)]
     assert rows(reports.closed_minutes(store, minutes=60)) == want
@@ -363,27 +322,13 @@ def test_rejects_are_kept_by_default(spark, tmp_path, branches):
     assert len(rows(web.rejected_messages())) == 5 and ("malformed", "not json") in rows(web.rejected_messages())
 
 
-def test_expire_keeps_the_live_generation(spark):
-    store = PartialStore(spark, scratch_dir(spark, "test-expire"), STOCK_FAMILIES)
-    moves = spark.createDataFrame([("b", "1", "s", "2")], "branch STRING, company STRING, sku STRING, value STRING")
-    for number in range(3):
-        store.write("counters", count_by_key(moves), "run", number)
-        store.fold("run", number + 1)
-    before = rows(store.read("counters"))
-    store.expire()
-    again = PartialStore(spark, store.root, STOCK_FAMILIES)
-    assert again.generation() == 3 and rows(again.read("counters")) == before == [("b|1|s", 6)]
-    store.write("counters", count_by_key(moves), "run", 3)
-    assert rows(store.read("counters")) == [("b|1|s", 8)]
-
-
-def test_counters_of_many_batches_in_one_job(spark):
-    store = PartialStore(spark, scratch_dir(spark, "test-backfill"), STOCK_FAMILIES)
+def test_several_partials_of_a_key_in_one_batch(spark):
+    store = PartialStore(spark, scratch_dir(spark, "test-many"), STOCK_FAMILIES)
     moves = spark.range(100).selectExpr(
         "CAST(id % 3 AS STRING) AS branch", "'1' AS company", "'s' AS sku", "'2' AS value", "id % 4 AS batch_id"
     )
     for _ in range(2):
-        store.backfill("counters", count_by_key(moves, "batch_id"), "history")
+        store.write("counters", count_by_key(moves, "batch_id").drop("batch_id"), "history", 0)
     assert rows(store.read("counters")) == rows(count_by_key(moves))
 
 
