@@ -2,18 +2,20 @@
 
 A source's words lie on a line in a seeded order of its documents, cut into equal blocks of ``block_words``. The words
 of the mix are as many blocks, and every block is a seat that goes to the source with the highest quotient
-target / (2 * seats so far + 1). Seats fall in a fixed order, so those of shard h are the next ones after shard h - 1 and
-each shard gets whole quotas that follow the targets too. A source gives its
-quota of neighbouring blocks from a seeded start, as often round the line as they reach.
+target / (2 * seats so far + 1). Seats fall in a fixed order, so those of shard h of the mix are the next ones after shard h - 1 and
+each shard gets whole quotas that follow the targets too. A shard takes its quota of a source's blocks where the shard before it has
+stopped, the first one from a seeded start, and as often round the line as they reach: no block is taken again before all others
+have been. ``shard_words`` tells what each shard takes of a document.
 
 Scale. Words are counted in one narrow scan; after that only (source, id, size) is shuffled. A source's line is put
 together from up to ``parts`` stretches of the seeded order, so a source with a third of all rows is spread
-over as many groups. Per-source tables have one row per source; they are summed on the map side first and joined, not
+over as many groups; so are the texts of one repeated id, and equal rows are one row with a count until they have their places.
+Per-source tables have one row per source; they are summed on the map side first and joined, not
 collected. Which part of a document a mix takes follows from its place on the line by arithmetic: there is no table
 of blocks or seats.
 
 Defined results: a null text has size 0 and nothing is taken of it. A null source is a source of its own and comes last.
-Equal seeded places (repeated ids) are ordered by size and text digest; rows equal in all three are interchangeable
+Equal seeded places are ordered by size, id and text digest; rows equal in all of them are interchangeable
 and still take their places one after the other. An empty table gives an empty result.
 """
 
@@ -106,7 +108,9 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """What the mix takes of each document: ``doc_id, digest, source, size, source_size, target, quota, taken``.
+    """What the mix takes of each document: ``doc_id, digest, source, size, source_size, target, quota, taken, shard_words``.
+
+    ``quota`` is the source's blocks in all shards, ``shard_words`` an array with the words that each shard takes, which add up to ``taken``.
 
     ``parts``: stretches of a source's line that are put in order separately; by default one for every
     ``ROWS_PER_PART`` rows of the table, up to a million.
@@ -115,38 +119,54 @@ def mix_sources(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col).cast("string")).alias("size"),
-        seeded(seed, F.col(id_col)).alias("place"),
         F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("digest"),
     )
-    sizes = materialize(sizes, "mix-sizes")
+    sizes = materialize(sizes.withColumn("place", seeded(seed, F.col("doc_id"), F.col("digest"))), "mix-sizes")
     if parts is None:
         parts = max(1, min(1 << 20, sizes.count() // ROWS_PER_PART))
     targets = source_targets(sizes, cap, weights)
-    quotas = shard_quotas(targets, shards, block_words).groupBy("source").agg(F.sum("quota").alias("quota"))
+    quotas = shard_quotas(targets, shards, block_words).groupBy("source")
+    quotas = quotas.agg(F.sum("quota").alias("quota"), F.array_sort(F.collect_list(F.struct("shard", "quota"))).alias("of_shard"))
     same = F.col("t.source").eqNullSafe(F.col("n.source"))
-    quotas = targets.alias("t").join(quotas.alias("n"), same).select("t.source", "source_size", "target", "quota")
+    quotas = targets.alias("t").join(quotas.alias("n"), same).select("t.source", "source_size", "target", "quota", "of_shard")
+
+    # Where each shard stops on the way round the line, in words; 0 first.
+    def stop(shard: Column) -> Column:
+        blocks = F.aggregate(F.slice("of_shard", F.lit(1), shard), F.lit(0).cast("long"), lambda s, q: s + q["quota"])
+        return F.least(blocks * block_words, F.col("source_size") * cap)
+
+    quotas = quotas.withColumn("stops", F.transform(F.sequence(F.lit(0), F.lit(shards)), stop)).drop("of_shard")
 
     # the seeded order, one stretch of it per group
     sizes = sizes.withColumn("part", F.floor(F.col("place") * parts / F.lit(1 << 28)).cast("int"))
+    once = sizes.groupBy("source", "part", "place", "size", "doc_id", "digest").agg(F.count("*").alias("copies"))
     stretch = sizes.groupBy("source", "part").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     stretch = stretch.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
     same = F.col("s.source").eqNullSafe(F.col("q.source"))
-    plan = stretch.alias("s").join(quotas.alias("q"), same).select("s.source", "part", "ahead", "source_size", "target", "quota")
+    plan = stretch.alias("s").join(quotas.alias("q"), same).select("s.source", "part", "ahead", "source_size", "target", "quota", "stops")
 
     inside = Window.partitionBy("source", "part").orderBy("place", "size", "doc_id", "digest")
-    placed = sizes.withColumn("end", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    words = F.col("size") * F.col("copies")
+    placed = once.withColumn("end", F.sum(words).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = placed.withColumn("behind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    placed = placed.withColumn("end", F.col("end") - F.col("behind") * F.col("size")).drop("behind", "copies")
     same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.part") == F.col("p.part"))
-    rows = placed.alias("d").join(plan.alias("p"), same).select("d.*", "ahead", "source_size", "target", "quota")
-    return rows.select("doc_id", "digest", "source", "size", "source_size", "target", "quota", _taken(seed, block_words, cap).alias("taken"))
+    rows = placed.alias("d").join(plan.alias("p"), same).select("d.*", "ahead", "source_size", "target", "quota", "stops")
+    taken = _taken_upto(seed, F.get("stops", F.lit(shards)))
+    of_shards = F.transform(
+        F.sequence(F.lit(0), F.lit(shards - 1)),
+        lambda h: _taken_upto(seed, F.get("stops", h + 1)) - _taken_upto(seed, F.get("stops", h)),
+    )
+    names = ["doc_id", "digest", "source", "size", "source_size", "target", "quota"]
+    return rows.select(*names, taken.alias("taken"), of_shards.alias("shard_words"))
 
 
-def _taken(seed: int, block_words: int, cap: int) -> Column:
-    """Words taken of a document that lies at [ahead + end - size, ahead + end) of its source's line."""
+def _taken_upto(seed: int, wanted: Column) -> Column:
+    """Of the first ``wanted`` words from the source's start on, round its line, those of a document at [ahead + end - size, ahead + end)."""
     high = F.col("ahead") + F.col("end")
     low = high - F.col("size")
     length = F.nullif(F.col("source_size"), F.lit(0))
-    wanted = F.least(F.col("quota") * block_words, F.col("source_size") * cap)
     more = wanted % length
     start = seeded(seed, F.lit("start"), F.col("source")) % length
 

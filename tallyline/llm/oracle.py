@@ -54,11 +54,14 @@ def place_sql(value: str) -> str:
     return f"CAST(('0x' || substr(md5('7:' || {value}), 1, 7)) AS BIGINT)"
 
 
+MIX_SHARDS = 8
+
+
 def mixing_sql(docs: str = "documents") -> str:
     """Common table expressions up to ``mixed``: what the mix takes of each document."""
     return rf"""
-        z AS (SELECT *, CAST(len({WORDS}) AS BIGINT) AS size, {place_sql("coalesce(CAST(doc_id AS VARCHAR), '-')")} AS place,
-            md5(coalesce(text, '')) AS digest FROM {docs}),
+        z AS (SELECT *, CAST(len({WORDS}) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest,
+            {place_sql("coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))")} AS place FROM {docs}),
         s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY source),
         s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM s0),
         s2 AS (SELECT *, CAST(rk % 3 + 1 AS DOUBLE) AS weight, 3 * source_size AS most FROM s1),
@@ -68,22 +71,26 @@ def mixing_sql(docs: str = "documents") -> str:
         s4 AS (SELECT *, max(own_level) FILTER (most >= own_level * weight) OVER () AS lvl FROM s3),
         t AS (SELECT source, source_size, rk, least(CAST(most AS DOUBLE), lvl * weight) AS target FROM s4),
         n AS (SELECT CAST(round(sum(target) / 16) AS BIGINT) AS seats, sum(target) AS total FROM t),
-        q1 AS (SELECT source, rk, target, unnest(range(0, CAST(ceil(target / total * seats * 1.5) AS BIGINT) + 8)) AS j, seats
+        q1 AS (SELECT source, rk, target, unnest(range(0, CAST(ceil(target / total * seats * 1.5) AS BIGINT) + 8)) AS j, seats, total
             FROM t, n WHERE total > 0),
-        q2 AS (SELECT source, row_number() OVER (ORDER BY target / (2 * j + 1) DESC, rk, j) AS seat, seats FROM q1),
-        q AS (SELECT t.source, source_size, target, least(16 * coalesce(q, 0), 3 * source_size) AS wanted FROM t
-            LEFT JOIN (SELECT source, count(*) AS q FROM q2 WHERE seat <= seats GROUP BY source) c
-            ON t.source IS NOT DISTINCT FROM c.source),
-        e AS (SELECT z.*, source_size, target, wanted,
+        q2 AS (SELECT source, row_number() OVER (ORDER BY target / (2 * j + 1) DESC, rk, j) AS seat, seats, total FROM q1),
+        cuts AS (SELECT h, unnest(range(0, {MIX_SHARDS} + 1)) AS cut FROM (SELECT 0 AS h)),
+        q3 AS (SELECT source, cut, count(*) FILTER (seat <= CAST(round(total * cut / {MIX_SHARDS} / 16) AS BIGINT)) AS upto
+            FROM q2, cuts GROUP BY source, cut),
+        q AS (SELECT t.source, any_value(source_size) AS source_size, any_value(target) AS target,
+                list(least(16 * coalesce(upto, 0), 3 * source_size) ORDER BY cuts.cut) AS stops FROM t, cuts
+            LEFT JOIN q3 ON t.source IS NOT DISTINCT FROM q3.source AND q3.cut = cuts.cut GROUP BY t.source),
+        e AS (SELECT z.*, source_size, target, stops,
                 sum(size) OVER (PARTITION BY z.source ORDER BY place, size, doc_id NULLS FIRST, digest
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high,
                 {place_sql("'start:' || coalesce(z.source, '-')")} % nullif(source_size, 0) AS start
             FROM z JOIN q ON z.source IS NOT DISTINCT FROM q.source),
-        mixed AS (SELECT * EXCLUDE (place, high, start, wanted, digest), CAST(CASE WHEN size = 0 THEN 0 ELSE
-                wanted // source_size * size
-                + greatest(least(high, start + wanted % source_size) - greatest(high - size, start), 0)
-                + greatest(least(high, start + wanted % source_size - source_size) - (high - size), 0) END AS BIGINT) AS taken
-            FROM e)"""
+        g AS (SELECT *, list_transform(stops, lambda s: CAST(CASE WHEN size = 0 THEN 0 ELSE
+                s // source_size * size
+                + greatest(least(high, start + s % source_size) - greatest(high - size, start), 0)
+                + greatest(least(high, start + s % source_size - source_size) - (high - size), 0) END AS BIGINT)) AS upto FROM e),
+        mixed AS (SELECT doc_id, size, source_size, target, upto[{MIX_SHARDS + 1}] AS taken,
+            array_to_string([upto[h + 1] - upto[h] for h in range(1, {MIX_SHARDS} + 1)], ',') AS shard_words FROM g)"""
 
 
 def drawn_sql(*values: str) -> str:
@@ -194,7 +201,7 @@ def search_sql(docs: str = "documents", items: str = "benchmark", top: int = 10)
 
 SQL: dict[str, str] = {
     "op3_temporal_url_filter": URL_FILTER,
-    "op6_source_mixing": f"WITH {mixing_sql()} SELECT doc_id, size, source_size, target, taken FROM mixed",
+    "op6_source_mixing": f"WITH {mixing_sql()} SELECT doc_id, size, source_size, target, taken, shard_words FROM mixed",
     "op9_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
     "op11_secret_scan": f"""WITH {secrets_sql()}

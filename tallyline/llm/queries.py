@@ -94,9 +94,9 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that a mix of all sources takes of each document."""
+    """Words that a mix of all sources takes of each document, and those of each shard of the mix."""
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", F.array_join("shard_words", ",").alias("shard_words"))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

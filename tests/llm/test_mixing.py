@@ -54,6 +54,32 @@ def test_sources_come_near_targets_and_reruns_agree(documents):
     assert all(abs(r["taken"] - r["target"]) <= 16 for r in by_source.collect())
 
 
+def test_shards_take_their_quotas(documents):
+    """What a shard takes of a source is its quota, the last block of a line apart; shards together take the same for any number."""
+    for shards in (1, 3, 8):
+        mix = mixing.mix_sources(documents, shards=shards)
+        rows = mix.collect()
+        assert all(sum(r["shard_words"]) == r["taken"] and min(r["shard_words"]) >= 0 for r in rows)
+        quotas = mixing.shard_quotas(mixing.source_targets(mix.select("doc_id", "source", "size")), shards, 16).collect()
+        for quota in quotas:
+            words = sum(r["shard_words"][quota["shard"]] for r in rows if r["source"] == quota["source"])
+            cap = 3 * sum(r["size"] for r in rows if r["source"] == quota["source"])
+            assert abs(words - 16 * quota["quota"]) <= 16 or words == cap
+    held = {tuple(bool(w) for w in r["shard_words"]) for r in rows}
+    assert len(held) > 8, "shards take different documents"
+
+
+def test_one_repeated_id_is_spread(spark):
+    """A third of all rows with one id, in part equal: equal rows are counted first, others have places of their own."""
+    rows = [(i if i % 3 else 0, f"text {i if i % 2 else 'same'} " * 9, "s") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.mix_sources(docs, parts=50)
+    assert mix.count() == 3_000 and mix.agg(F.sum("taken")).first()[0] == mix.agg(F.sum("size")).first()[0]
+    places = docs.select(mixing.seeded(7, F.col("doc_id"), F.md5("text")).alias("p")).where("p is not null")
+    largest = places.groupBy(F.floor(F.col("p") * 50 / F.lit(1 << 28))).agg(F.countDistinct("p").alias("n")).agg(F.max("n")).first()[0]
+    assert largest < 120
+
+
 def test_hot_source_in_many_parts_gives_the_same_mix(documents):
     hot = documents.withColumn("source", F.when(F.col("doc_id") % 3 > 0, F.lit("hot")).otherwise(F.col("source")))
     assert sorted(mixing.mix_sources(hot, parts=1).collect()) == sorted(mixing.mix_sources(hot, parts=64).collect())
