@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import html
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -118,6 +120,40 @@ def test_a_page_that_nests_deeply_or_is_cut_ends_somewhere():
     assert htmltext.main_text("<article><p>" + "word " * 200_000) == ("word " * 200_000).strip()
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "</x>" * 100_000,
+        "<div>" * 60_000 + "</p></li></td>" * 20_000 + "<article>x",
+        "<li><ul>" + "<div>" * 90_000 + "</li>" * 90_000,
+        "<li>" + "<div>" * 90_000 + "<p>x" * 60_000,
+        "<ul><li>" * 60_000 + "<p>" * 60_000 + "</ul>" * 60_000,
+        "<table><tr><td>" * 40_000 + "<tr>" * 60_000,
+        "<a href=1><b>" * 60_000 + "</b>" * 60_000,
+        "<article>" + "<a '" * 100_000,
+        "<!" * 300_000,
+    ],
+)
+def test_a_page_of_nested_or_foreign_tags_takes_linear_time(page):
+    start = time.process_time()
+    htmltext.main_text(page)
+    assert time.process_time() - start < 4
+
+
+def test_rules_alone_find_the_articles_of_the_table(spark, sf_dir):
+    """Without article tags, the two passes keep nearly all blocks of the articles and add hardly any."""
+    kept = lost = added = 0
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        want = Counter(htmltext.main_text(row["html"]).split("\n\n"))
+        got = Counter(htmltext.main_text(re.sub(r"<(/?)(article|main)\b", r"<\1div", row["html"])).split("\n\n"))
+        kept, lost, added = kept + (want & got).total(), lost + (want - got).total(), added + (got - want).total()
+    assert kept >= 0.95 * (kept + lost) and added <= 0.02 * kept
+
+
+def test_a_page_without_a_long_block_has_its_short_ones():
+    assert htmltext.main_text("<div><a href=/>menu</a></div><p>Only this.<p>And that.") == "Only this.\n\nAnd that."
+
+
 def test_odd_tables(spark):
     rows = [(None, None, None, 1, "t"), (1, "u", "", 2, "t"), (1, "u", "<article>a</article>", 3, None), (1, "u", "<article>a</article>", 3, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long, text string")
