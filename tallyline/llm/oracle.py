@@ -199,7 +199,36 @@ def search_sql(docs: str = "documents", items: str = "benchmark", top: int = 10)
                 doc_id, score FROM s WHERE score > 0 QUALIFY rank <= {top})"""
 
 
+WARC = """WITH
+    d AS (SELECT page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM d),
+    t AS (SELECT *, payload_bytes >= 1000 AND response IS NOT NULL AND page_id IS DISTINCT FROM response AS again FROM r)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN again THEN response END AS refers_to, url FROM t"""
+
+
+def _escapes(text: str) -> str:
+    """Characters that escaping adds to a text."""
+    controls = r"<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
+    return f"length({text}) - length(replace({text}, chr(92), '')) + len(regexp_extract_all({text}, '{controls}'))"
+
+
+CHAT = f"""WITH
+    said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+    sized AS (SELECT *, 8 + length(role) + {_escapes("role")} + length(role) - length(replace(role, chr(10), ''))
+        + length(text) + {_escapes("text")} AS chars FROM said)
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(chars) AS BIGINT) AS formatted_chars
+    FROM sized GROUP BY conv_id"""
+
+
 SQL: dict[str, str] = {
+    "op1_warc_round_trip": WARC,
+    "op4_chat_prefix_tree": CHAT,
     "op3_temporal_url_filter": URL_FILTER,
     "op6_source_mixing": f"WITH {mixing_sql()} SELECT doc_id, size, source_size, target, taken, shard_words FROM mixed",
     "op9_quality_rules": f"""WITH {quality_sql()}

@@ -76,11 +76,13 @@ def filter_captures(
     def period_of(time: Column) -> Column:
         return F.floor(time / period)
 
-    named = rows.withColumn("capture", F.xxhash64("page_id", "url", "fetched_at")).withColumn("host", url_host(F.col("url")))
+    # A capture is told by its page, its time and a hash of its URL, which is long.
+    capture = ["page_id", "fetched_at", "url_hash"]
+    named = rows.withColumn("url_hash", F.xxhash64("url")).withColumn("host", url_host(F.col("url")))
     domains = F.coalesce(F.transform(host_domains(F.col("host")), lambda d: _candidate("domain", d)), F.array())
     proposed = F.concat(domains, F.array(_candidate("url", bare_url(F.col("url")))))
-    proposed = named.where("url is not null and fetched_at is not null").select("capture", "fetched_at", F.explode(proposed).alias("c"))
-    proposed = proposed.distinct().select("capture", "fetched_at", "c.*", period_of(F.col("fetched_at")).alias("period"))
+    proposed = named.where("url is not null and fetched_at is not null").select(*capture, F.explode(proposed).alias("c"))
+    proposed = proposed.distinct().select(*capture, "c.*", period_of(F.col("fetched_at")).alias("period"))
 
     spans = validity(entries, period).where((F.col("since") <= high) & (F.coalesce("until", F.lit(high + 1)) > low))
     first = period_of(F.greatest("since", F.lit(low)))
@@ -88,12 +90,13 @@ def filter_captures(
     spans = spans.withColumn("period", F.explode(F.sequence(first, last)))
     met = proposed.join(spans, ["kind", "entry", "period"])
     met = met.where((F.col("since") <= F.col("fetched_at")) & (F.col("until").isNull() | (F.col("fetched_at") < F.col("until"))))
-    verdict = met.groupBy("capture").agg(
+    verdict = met.groupBy(*capture).agg(
         F.count("*").alias("n_active"),
         F.min(F.concat_ws(":", "kind", "entry")).alias("entry"),
         F.min("since").alias("since"),
-    )
-    out = named.join(verdict, "capture", "left").withColumn("n_active", F.coalesce("n_active", F.lit(0)).cast("long"))
+    ).withColumnsRenamed({name: f"_{name}" for name in capture})
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in capture]
+    out = named.join(verdict, same, "left").withColumn("n_active", F.coalesce("n_active", F.lit(0)).cast("long"))
     return out.select("page_id", "url", "fetched_at", "n_active", "entry", "since", (F.col("n_active") > 0).alias("blocked"))
 
 

@@ -107,7 +107,9 @@ def choose_responses(pages: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
     """``page_id, digest, size, refers_to`` of every page; ``refers_to`` is null for responses."""
     shared = pages.where(F.col("size") >= least).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
     shared = shared.where("n > 1").select("digest", "response")
-    large = F.when(F.col("size") >= least, F.col("digest"))
+    # Small payloads are looked up under names that no digest has, which parts them; nulls would all meet in one task.
+    alone = F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.col("digest")))
+    large = F.when(F.col("size") >= least, F.col("digest")).otherwise(alone)
     rows = pages.withColumn("large", large).join(shared.withColumnRenamed("digest", "large"), "large", "left")
     revisit = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     return rows.select("page_id", "url", "digest", "size", F.when(revisit, F.col("response")).alias("refers_to"))
