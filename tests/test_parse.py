@@ -38,6 +38,11 @@ GOOD = {
     ),
     "nested sku": ('{"after":{"branch_id_no":true,"sku_no":{"a":1},"value":5}}', ("true", '{"a":1}', "5", 0)),
     "fraction branch": ('{"after":{"branch_id_no":5.0,"sku_no":"s","value":5}}', ("5.0", "s", "5", 0)),
+    "minus zero": (after("-0"), ("1", "s", "0", 0)),
+    "large branch": ('{"after":{"branch_id_no":99999999999999999999,"sku_no":"s","value":5}}', ("99999999999999999999", "s", "5", 0)),
+    "plus": (after('"+5"'), ("1", "s", "+5", 0)),
+    "source null": ('{"source":null,"op":null,"after":{%s,"value":5}}' % ROW, ("1", "s", "5", 0)),
+    "text with marks": ('{"after":{"branch_id_no":"a\\u00e9\\"","sku_no":"[1]","value":5}}', ('aé"', "[1]", "5", 0)),
     "empty branch": ('{"after":{"branch_id_no":"","sku_no":"s","value":5}}', ("", "s", "5", 0)),
     "last duplicate wins": ('{"after":{%s,"value":1,"value":6}}' % ROW, ("1", "s", "6", 0)),
     "repeated field": ('{"op":"c","op":"u","after":{%s,"value":6}}' % ROW, ("1", "s", "6", 0)),
