@@ -1,9 +1,10 @@
-"""N-gram Jaccard join: a MinHash LSH forest proposes pairs of texts, and their word n-gram sets are compared exactly.
+"""N-gram Jaccard join: MinHash prefixes propose pairs of texts, and their word n-gram sets are compared exactly.
 
-Method. Every distinct text has ``TREES`` MinHash signatures. In each tree, texts lie sorted by signature, so that
-texts with a common prefix are neighbours, as in a prefix trie. A pair is proposed where its signatures share a prefix. The
-prefix is shortened from the full signature until a pair at the threshold meets in at least one tree with the target
-probability (``prefix_length``); more similar pairs meet more surely. Proposed pairs are verified on whole sets.
+Method. Every distinct text has ``TREES`` MinHash signatures, of which a prefix counts: the longest at which a pair at the threshold
+still meets in at least one tree with the target probability (``prefix_length``); more similar pairs meet more surely. A pair is proposed
+where its prefixes are equal in some tree, and verified on whole sets. This is an LSH forest read at one depth, that is banding: the depth
+follows from threshold, trees and recall before any data is seen. A forest that stops higher up where deep matches already
+satisfy an average recall loses links of texts near the threshold, which a join has to find.
 
 A pair may meet in several trees; it belongs to the first of them and is compared there only, so links are counted
 exactly once.

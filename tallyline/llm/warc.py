@@ -12,7 +12,7 @@ Reading. Wanted records come as index rows. They are dealt by stretch of archive
 
 Scale. Only (page id, digest, length) is grouped to find equal payloads: a payload that a third of all pages share is one
 sum per map task, then a join of narrow rows that adaptive joins split. Payloads are joined to their
-record by page id, and a task holds one record at a time while writing and one range while reading.
+record by page id, and a task holds one Arrow batch of pages while writing and one range while reading.
 
 Defined results: a null payload is an empty one. A null URL gives a record without target; control characters and spaces in a
 URL are percent-encoded in the header. Rows without a page id are never preferred; if all copies lack one they are all
