@@ -92,3 +92,24 @@ def test_parts_grow_with_the_table(spark, monkeypatch):
     order = lambda placed: [r["doc_id"] for r in sorted(placed, key=lambda r: (r["shard"], r["slot"]))]
     one = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), parts=1).collect()
     assert order(placed) == order(one)
+
+
+def test_null_texts_as_a_hot_group(spark):
+    """A third of all rows without a text: one byte each, in as many shards as the law of equal bytes asks for."""
+    rows = [(i, None if i % 3 == 0 else f"text {i} " * 5) for i in range(3_000)]
+    placed = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), carry=False).collect()
+    check_slots(placed)
+    assert len(placed) == 3_000 and {(r["size"], r["text_crc32"]) for r in placed if r["doc_id"] % 3 == 0} == {(1, 0)}
+    sizes = [sum(r["size"] for r in held) for held in by_shard(placed).values()]
+    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in placed) + sum(sizes) // 8 // 100
+
+
+@pytest.mark.parametrize("copies, cuts", [(20, (7, 8, 9)), (2_000, (40,))])
+def test_a_group_is_divided_only_beyond_a_hundredth_of_a_shard(spark, copies, cuts):
+    """20 copies are less than a hundredth of an eighth of all bytes; 2,000 are more than a fortieth of them."""
+    rows = [(i, f"text {i} " * 12) for i in range(20_000)] + [(100_000 + i, "one text here " * 6) for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards in cuts:
+        placed = sharding.shard_documents(docs, shards, carry=False).where("doc_id >= 100000").collect()
+        held = len({r["shard"] for r in placed})
+        assert held == 1 if copies == 20 else held >= 3

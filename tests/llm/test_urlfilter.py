@@ -57,3 +57,14 @@ def test_hot_entry_is_dealt_by_period(spark):
     rows = spark.createDataFrame(entries, "kind string, entry string, at long, listed boolean")
     spans = [sorted((r["since"], r["until"] or -1) for r in urlfilter.validity(rows, p).collect()) for p in (10, 7777, 10**9)]
     assert spans[0] == spans[1] == spans[2] and len(spans[0]) == 333
+
+
+def test_long_urls_and_hosts_of_many_labels(spark):
+    host = ".".join(f"l{i}" for i in range(300)) + ".com"
+    entries = [("domain", "l299.com", 0, True), ("domain", host, 5, True), ("url", f"http://{host}/" + "x" * 200_000, 7, True)]
+    captures = [(1, f"http://{host}/" + "x" * 200_000 + "#y", 10), (1, f"http://{host}/" + "x" * 199_999, 10), (1, f"http://{host}/", 3)]
+    found = urlfilter.filter_captures(
+        spark.createDataFrame(captures, "page_id long, url string, fetched_at long"),
+        spark.createDataFrame(entries, "kind string, entry string, at long, listed boolean"),
+    )
+    assert {(len(r["url"]), r["n_active"]) for r in found.collect()} == {(len(c[1]), n) for c, n in zip(captures, (3, 2, 1))}
