@@ -14,7 +14,8 @@ whatever the bounds do. The best scores so far are carried from one tree of a ta
 
 Scale. Queries come in blocks of at most ``BLOCK_QUERIES`` queries and ``BLOCK_TERMS`` terms (or one query of more terms), so what travels to
 tasks and what the driver holds is bounded whatever the number of queries. Each block reads the texts once,
-to write the documents' term counts of the block's terms to the shared folder; statistics and trees use those. Documents are never shuffled.
+to write the documents' term counts of the block's terms to the shared folder; statistics and trees use those. Texts are never shuffled.
+Those counts are small for the work they are, so they, and not the texts, are dealt out evenly before the search.
 A task gives k rows per query, which are cut down in two steps, so no query's candidates meet in one task at once.
 
 Defined results: a null text has no terms, and a document without terms is not counted and never ranked. A query without terms, or whose
@@ -47,6 +48,9 @@ LEAF_DOCS = 8
 CLUSTERS = 8
 BANDS = 8
 SALTS = 64
+#: Most documents of one task, and tasks per core where there are fewer documents.
+TASK_DOCS = 1 << 16
+TASKS_PER_CORE = 4
 
 # Fixed values of the score: its scale, and the share of a document's length in its damping.
 IMPACT_SCALE = 1_000_000_000
@@ -314,7 +318,7 @@ def search_block(counts: DataFrame, block: Block, documents: int, all_terms: int
                 [pa.array(query, pa.int32()), pa.array(names, arrow_type), pa.array(score, pa.int64())], ["query", "id", "score"]
             )
 
-    return counts.where(F.size("terms") > 0).mapInArrow(run, f"query int, id {id_type}, score bigint")
+    return counts.mapInArrow(run, f"query int, id {id_type}, score bigint")
 
 
 def ranked_search(
@@ -340,14 +344,18 @@ def ranked_search(
     names = spark.createDataFrame([], f"block int, query int, name {query_kind.simpleString()}")
     for number, block in enumerate(query_blocks(asked, max_queries, max_terms)):
         counts = materialize(term_counts(rows, block.vocabulary), "search-counts")
-        totals = counts.agg(F.count_if(F.col("n_terms") > 0).alias("documents"), F.sum("n_terms").alias("terms")).first()
+        totals = counts.agg(
+            F.count_if(F.col("n_terms") > 0).alias("documents"), F.sum("n_terms").alias("terms"), F.count_if(F.size("terms") > 0).alias("rows")
+        ).first()
         holding = np.zeros(len(block.vocabulary), np.int64)
         for row in counts.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator():
             holding[row["term"]] = row["count"]
         if not holding.any():
             continue
         weights = np.array([term_weight(totals["documents"], int(h)) for h in holding], np.int64)
-        best = search_block(counts, block, totals["documents"], totals["terms"], weights, top)
+        fewest = min(totals["rows"] // TREE_DOCS, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+        dealt = counts.where(F.size("terms") > 0).repartition(max(1, fewest, totals["rows"] // TASK_DOCS))
+        best = search_block(dealt, block, totals["documents"], totals["terms"], weights, top)
         found = found.union(materialize(best.select(F.lit(number).alias("block"), "query", "id", "score"), "search-best"))
         own = [(number, query, name) for query, name in enumerate(block.ids)]
         names = names.union(spark.createDataFrame(own, names.schema))
