@@ -65,10 +65,62 @@ def test_empty_table(documents):
     assert jaccard.jaccard_join(documents.limit(0)).count() == 0
 
 
-def test_prefix_is_shortened_until_the_target():
-    assert jaccard.prefix_length(80, 18, 8, 0.9999) == 4
-    assert jaccard.prefix_length(80, 18, 8, 0.5) == 8
-    assert jaccard.prefix_length(80, 1, 8, 0.9999) == 1
+def test_shorter_prefixes_reach_the_target_in_fewer_trees():
+    plan = jaccard.prefix_trees(80, 0.9999)
+    assert plan == {6: 34, 5: 26, 4: 20}
+    for length, trees in plan.items():
+        assert (1 - 0.8**length) ** trees <= 0.0001 / 3 < (1 - 0.8**length) ** (trees - 1)
+    assert jaccard.first_places(plan) == {6: 0, 5: 34, 4: 60}
+    assert jaccard.prefix_trees(50, 0.9999) == {2: 36, 1: 15}
+    assert jaccard.prefix_trees(100, 0.9999) == {16: 1, 15: 1, 14: 1}
+
+
+def test_recall_of_each_length_at_the_threshold():
+    """3,000 pairs of sets with a similarity of exactly 0.8: every length finds them by itself."""
+    pairs, plan = 3000, jaccard.prefix_trees(80, 0.9999)
+    rng = np.random.default_rng(5)
+    sets = rng.integers(0, 1 << 63, (pairs, 100), np.uint64)
+    value = np.concatenate([np.stack([sets[:, :90], sets[:, 10:]], 1).reshape(-1)])
+    offsets = np.arange(2 * pairs + 1) * 90
+    for length, trees in plan.items():
+        keys = jaccard.tree_keys(value, offsets, plan, [length]).reshape(pairs, 2, trees)
+        assert (keys[:, 0] == keys[:, 1]).any(1).mean() >= 0.999
+
+
+def texts_with_a_common_passage(n: int, rng: random.Random) -> list[str]:
+    """Different texts of which about half is one passage, so that they are less alike than the threshold."""
+    passage = [f"p{i}" for i in range(60)]
+    return [" ".join([*passage, *(f"w{i}.{rng.randrange(10**6)}" for _ in range(30))]) for i in range(n)]
+
+
+def test_the_length_depends_on_whom_a_text_meets(spark, monkeypatch):
+    """Texts in a crowd that are not alike take long prefixes, a lone pair and the near copies of a cluster short ones."""
+    monkeypatch.setattr(jaccard, "CROWD", 20)
+    rng = random.Random(11)
+    texts = texts_with_a_common_passage(60, rng)
+    texts += [texts[0] + " more", " ".join(f"a{i}" for i in range(90)), " ".join(f"a{i}" for i in range(91))]
+    docs = spark.createDataFrame([(i, str(i), t) for i, t in enumerate(texts)], "doc_id long, text_key string, text string")
+    plan = jaccard.prefix_trees(80, 0.9999)
+    nodes = jaccard.shared_nodes(jaccard.signatures(docs, 5, plan, list(plan)))
+    taken = {int(r["text_key"]): r["length"] for r in jaccard.chosen_lengths(nodes, plan).collect()}
+    assert taken[61] == taken[62] == 4
+    assert sum(taken.get(i) == 6 for i in range(60)) > 40
+    rows = jaccard.jaccard_join(docs).collect()
+    check_against_brute_force(rows, list(range(len(texts))), texts)
+    asked = jaccard.forest_nodes(jaccard.signatures(docs, 5, plan, [4]), docs.select("doc_id", "text_key", "text"), 5, plan)
+    lengths = {r["n"] for r in asked.select(jaccard.length_of("bucket", plan).alias("n")).distinct().collect()}
+    assert 4 in lengths and 6 in lengths
+
+
+@pytest.mark.parametrize("crowd", [0, 200])
+def test_links_do_not_depend_on_what_a_crowd_is(spark, documents, monkeypatch, crowd):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    docs = documents.where("doc_id % 2 = 0").orderBy("doc_id").collect()
+    rng = random.Random(4)
+    texts = [d["text"] for d in docs] + texts_with_a_common_passage(40, rng)
+    texts += [t.replace("p7 ", "q ") for t in texts[-10:]]
+    rows = jaccard.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    check_against_brute_force(rows, list(range(len(texts))), texts)
 
 
 @pytest.mark.parametrize("shape", ["path", "star", "ring", "pairs"])
