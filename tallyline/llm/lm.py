@@ -12,10 +12,14 @@ vocabulary. A block asks for the corpus counts of its distinct words and word pa
 into slices by range, packed. All slices of a range meet in one group, which adds up the counts and answers
 every block in the order it asked, so answers need no keys. Blocks and their answers are joined once and written.
 
+A block's request is cut into ``FAN`` messages at most. Where the keys need more ranges than that, requests go through
+relays: ``FAN`` blocks that ask about the same range are merged to one asker, which asks about ``FAN`` narrower ranges in turn
+and passes the answers back. So a message holds a ``FAN``-th of its sender's keys whatever the corpus, and messages grow in
+proportion to it, with a factor for the number of stages (two up to 65,536 ranges).
+
 Scale. What moves is one entry per distinct pair of a block, not per occurrence, and no group gets more than about
 ``GROUP_KEYS`` entries: ranges are as many as the keys need and hashes fill them evenly, so "the" is one entry per block
-like any other word. The number of slices is at most the number of keys. Both sizes are parameters, to be raised with
-executor memory: fewer, larger slices.
+like any other word. A relay merges as many keys as a block has, on average. The sizes are parameters, to be raised with executor memory.
 
 The EM input is a histogram of all held-out events over (bucket, bigram estimate, unigram estimate), estimates to a quarter
 of a power of two. It has a fixed number of possible cells whatever the corpus; only its sums come to the driver.
@@ -42,6 +46,7 @@ from tallyline.session import drop_shuffles, materialize, materialize_at, remove
 TEST, DEV, FOLDS = 1, 0, 5
 BLOCK_TOKENS = 1_000_000
 GROUP_KEYS = 1_000_000
+FAN = 256
 BUCKETS = 40
 STEPS = 4
 CELLS = 200
@@ -154,6 +159,22 @@ SLICE = "slice bigint, block string, n bigint, keys binary, train binary, dev bi
 ANSWER = "block string, kind string, slice bigint, n bigint, train binary, dev binary, known bigint, total bigint, dev_total bigint"
 
 
+def cut_by_range(asker: str, keys: np.ndarray, train: np.ndarray, dev: np.ndarray, ranges: int) -> pa.Table:
+    """One asker's sorted keys with their counts as messages, one per range that has any; see ``SLICE``."""
+    part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(first[1:], len(keys))
+    train, dev = train.astype(np.uint64), dev.astype(np.uint64)
+    packed = [(pack_sorted(keys[a:b]), pack(train[a:b]), pack(dev[a:b])) for a, b in zip(first, ends)]
+    columns = [
+        pa.array(part[first]),
+        pa.array([asker] * len(first), pa.string()),
+        pa.array(ends - first),
+        *(pa.array(column, pa.binary()) for column in (zip(*packed) if packed else ([], [], []))),
+    ]
+    return pa.table(columns, [c.split()[0] for c in SLICE.split(", ")])
+
+
 def requests(blocks: DataFrame, kind: str, slices: int) -> DataFrame:
     """Each block's distinct words or pairs with their counts in the block, cut by key range; see ``SLICE``."""
 
@@ -167,48 +188,82 @@ def requests(blocks: DataFrame, kind: str, slices: int) -> DataFrame:
                 keys = block.pair_keys(pairs)
             train, dev = counts_by_fold(of, block.fold, len(keys))
             order = np.argsort(keys)
-            keys, train, dev = keys[order], train[order], dev[order]
-            part = ((keys >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
-            first = np.flatnonzero(np.diff(part, prepend=-1))
-            ends = np.append(first[1:], len(keys))
-            packed = [(pack_sorted(keys[a:b]), pack(train[a:b]), pack(dev[a:b])) for a, b in zip(first, ends)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part[first]),
-                    pa.array([row["block"]] * len(first), pa.string()),
-                    pa.array(ends - first),
-                    *(pa.array(column, pa.binary()) for column in (zip(*packed) if packed else ([], [], []))),
-                ],
-                [c.split()[0] for c in SLICE.split(", ")],
-            )
+            yield from cut_by_range(row["block"], keys[order], train[order], dev[order], slices).to_batches()
 
     return blocks.select("block", "n_docs", "n_tokens", "n_vocab", "lengths", "fold", "tokens", "vocab").mapInArrow(run, SLICE)
 
 
+class Merged:
+    """Messages about one range: distinct keys in order, their summed counts, and where each message's keys are among them."""
+
+    def __init__(self, rows: list[dict]):
+        every = [unpack_sorted(row["keys"], row["n"]) for row in rows]
+        self.keys, of = np.unique(np.concatenate(every), return_inverse=True)
+        self.places = np.split(of, running(np.array([len(k) for k in every]))[1:-1])
+        self.train, self.dev = (
+            np.bincount(of, np.concatenate([unpack(row[c], row["n"], np.uint64) for row in rows]), len(self.keys)).astype(np.uint64)
+            for c in ("train", "dev")
+        )
+
+
+def answer_table(rows: list[dict], places: list[np.ndarray], kind: str, train: np.ndarray, dev: np.ndarray, totals: tuple[int, int, int]) -> pa.Table:
+    """An answer per message, see ``ANSWER``; the totals in the first one."""
+    out = [
+        (row["block"], kind, row["slice"], row["n"], pack(train[mine]), pack(dev[mine]), *(totals if i == 0 else (0, 0, 0)))
+        for i, (row, mine) in enumerate(zip(rows, places))
+    ]
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields = [c.split() for c in ANSWER.split(", ")]
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*out), fields)], [n for n, _ in fields])
+
+
 def answers(asked: DataFrame, kind: str) -> DataFrame:
     """Corpus counts for every slice in the order of its keys; ``known``, ``total`` and ``dev_total`` in one row per range."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys = np.concatenate([unpack_sorted(row["keys"], row["n"]) for row in rows])
-        train = np.concatenate([unpack(row["train"], row["n"], np.uint32) for row in rows])
-        dev = np.concatenate([unpack(row["dev"], row["n"], np.uint32) for row in rows])
-        value, of = np.unique(keys, return_inverse=True)
-        all_train = np.bincount(of, train, len(value)).astype(np.uint64)
-        all_dev = np.bincount(of, dev, len(value)).astype(np.uint64)
-        out, at = [], 0
-        for i, row in enumerate(rows):
-            mine = of[at : at + row["n"]]
-            at += row["n"]
-            totals = (int((all_train > 0).sum()), int(all_train.sum()), int(all_dev.sum())) if i == 0 else (0, 0, 0)
-            out.append((row["block"], kind, row["slice"], row["n"], pack(all_train[mine]), pack(all_dev[mine]), *totals))
-        kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
-        fields = [c.split() for c in ANSWER.split(", ")]
-        return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*out), fields)], [n for n, _ in fields])
+        merged = Merged(rows)
+        totals = (int((merged.train > 0).sum()), int(merged.train.sum()), int(merged.dev.sum()))
+        return answer_table(rows, merged.places, kind, merged.train, merged.dev, totals)
 
     return asked.groupBy("slice").applyInArrow(run, ANSWER)
 
 
+def stages_of(slices: int, fan: int) -> tuple[int, int]:
+    """The fewest stages that reach so many ranges, and into how many each of them cuts a range."""
+    stages = 1
+    while fan**stages < slices:
+        stages += 1
+    factor = 1
+    while factor**stages < slices:
+        factor += 1
+    return stages, factor
+
+
+def answers_by_relay(asked: DataFrame, kind: str, askers: int, factor: int, stage: int, stages: int) -> DataFrame:
+    """``answers`` where requests are cut into ``factor ** stage`` ranges of the ``factor ** stages`` that the keys need."""
+    if stage == stages:
+        return answers(asked, kind)
+    relays = max(1, math.ceil(askers / factor))
+    relay = F.concat_ws(":", F.lit(stage), "slice", F.pmod(F.xxhash64("block"), F.lit(relays)))
+    asked = materialize(asked.withColumn("relay", relay), f"lm-asked-{stage}")
+    ranges = factor ** (stage + 1)
+
+    def forward(table: pa.Table) -> pa.Table:
+        merged = Merged(table.to_pylist())
+        return cut_by_range(table.column("relay")[0].as_py(), merged.keys, merged.train, merged.dev, ranges)
+
+    def back(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, replies = left.to_pylist(), sorted(right.to_pylist(), key=lambda r: r["slice"])
+        train, dev = (np.concatenate([unpack(r[c], r["n"], np.uint64) for r in replies]) for c in ("train", "dev"))
+        totals = tuple(sum(r[c] for r in replies) for c in ("known", "total", "dev_total"))
+        return answer_table(rows, Merged(rows).places, kind, train, dev, totals)
+
+    told = answers_by_relay(asked.groupBy("relay").applyInArrow(forward, SLICE), kind, relays, factor, stage + 1, stages)
+    told = told.withColumnRenamed("block", "relay").groupBy("relay")
+    return asked.groupBy("relay").cogroup(told).applyInArrow(back, ANSWER)
+
+
 COUNTED = "block string, n_docs bigint, n_tokens bigint, n_vocab bigint, lengths binary, fold binary, tokens binary, n_pairs bigint, word_train binary, word_dev binary, pair_train binary, pair_dev binary"
 
 
@@ -347,7 +402,12 @@ def score_blocks(counted: DataFrame, weights: np.ndarray, texts: int, tokens: in
 
 
 def score_texts(
-    docs: DataFrame, block_tokens: int = BLOCK_TOKENS, group_keys: int = GROUP_KEYS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    block_tokens: int = BLOCK_TOKENS,
+    group_keys: int = GROUP_KEYS,
+    fan: int = FAN,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
@@ -358,9 +418,11 @@ def score_texts(
     rows = docs.select(F.col(id_col).alias("doc_id"), fold.alias("fold"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     blocks, blocks_path = materialize_at(token_blocks(rows, block_tokens), "lm-blocks")
-    size = blocks.agg(F.sum("n_vocab").alias("words"), F.sum("n_tokens").alias("tokens")).first()
-    slices = {kind: max(1, math.ceil((size[name] or 0) / group_keys)) for kind, name in (("word", "words"), ("pair", "tokens"))}
-    asked = [answers(requests(blocks, kind, slices[kind]), kind) for kind in ("word", "pair")]
+    size = blocks.agg(F.count("*").alias("blocks"), F.sum("n_vocab").alias("words"), F.sum("n_tokens").alias("tokens")).first()
+    asked = []
+    for kind, name in (("word", "words"), ("pair", "tokens")):
+        stages, factor = stages_of(max(1, math.ceil((size[name] or 0) / group_keys)), fan)
+        asked.append(answers_by_relay(requests(blocks, kind, factor), kind, size["blocks"], factor, 1, stages))
     answered = materialize(asked[0].union(asked[1]), "lm-answers")
     del asked
     drop_shuffles(spark)

@@ -42,11 +42,11 @@ def plain_model(docs, weights):
     return out
 
 
-def compare(monkeypatch, docs, rows):
+def compare(monkeypatch, docs, rows, **sizes):
     found = []
     learn = lm.learn_weights
     monkeypatch.setattr(lm, "learn_weights", lambda *a: found.append(learn(*a)) or found[-1])
-    got = sorted(lm.score_texts(docs, block_tokens=5000, group_keys=3000).collect(), key=repr)
+    got = sorted(lm.score_texts(docs, **({"block_tokens": 5000, "group_keys": 3000} | sizes)).collect(), key=repr)
     want = sorted(plain_model(rows, found[0]), key=lambda r: repr(r[0]))
     got = sorted((tuple(r) for r in got), key=lambda r: (repr(r[0]), r[2]))
     want = sorted(want, key=lambda r: (repr(r[0]), r[2]))
@@ -69,6 +69,32 @@ def test_odd_rows(monkeypatch, odd_documents):
     compare(monkeypatch, odd_documents, rows)
 
 
+def test_relays_change_nothing(monkeypatch, odd_documents):
+    """Three stages of relays, with repeated texts and nulls, give what one stage gives."""
+    assert lm.stages_of(60, 4) == (3, 4) and lm.stages_of(1, 4) == (1, 1) and lm.stages_of(256, 256) == (1, 256)
+    rows = [(r["doc_id"], r["text"]) for r in odd_documents.select("doc_id", "text").collect()]
+    compare(monkeypatch, odd_documents, rows, block_tokens=1000, group_keys=700, fan=4)
+
+
+@pytest.mark.parametrize("times", [1, 10, 100])
+def test_messages_do_not_shrink_as_the_corpus_grows(spark, monkeypatch, times):
+    """Of blocks of 400 words that differ in all of them; without relays a block of 100 would send messages of 4 keys."""
+    docs = [(i, 2, " ".join(f"w{i}x{j}" for j in range(399))) for i in range(times)]
+    docs = spark.createDataFrame(docs, "doc_id long, fold byte, text string").repartitionByRange(times, "doc_id")
+    blocks = lm.materialize(lm.token_blocks(docs, 400), "test-blocks")
+    assert blocks.count() == times
+    last = []
+    monkeypatch.setattr(lm, "answers", lambda asked, kind, answers=lm.answers: last.append(asked) or answers(asked, kind))
+    stages, factor = lm.stages_of(times, 10)
+    assert stages == (2 if times > 10 else 1)
+    first = lm.requests(blocks, "pair", factor)
+    told = lm.answers_by_relay(first, "pair", times, factor, 1, stages)
+    assert {r["known"] for r in told.groupBy("kind").agg({"known": "sum"}).toDF("kind", "known").collect()} == {400 * times}
+    for sent in (first, last[0]):
+        size = sent.agg({"n": "avg"}).first()[0]
+        assert size >= 400 / 10 * 0.9
+
+
 def test_empty_table(documents):
     assert lm.score_texts(documents.limit(0)).count() == 0
 
