@@ -45,6 +45,8 @@ STRETCH = 13
 AGREE_PERCENT = 80
 SHORTEST = 5
 FILTER_BITS = 1 << 26
+#: Of some hundred bytes each in a task's memory.
+BROADCAST_LEAKS = 100_000
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
@@ -349,8 +351,15 @@ def find_leaks(
 
 
 def drop_leaked(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that leak an item, all columns and repeated rows kept."""
+    """The documents without those that leak an item, all columns and repeated rows kept.
+
+    Up to ``BROADCAST_LEAKS`` leaking documents, counted first, are sent to every task, so that no text is shuffled for their sake; more
+    are joined by a shuffle.
+    """
     text = F.md5(F.coalesce(F.col(f"d.{text_col}").cast("string"), F.lit("")))
     bad = leaks.select(F.col("doc_id").alias("leak_id"), F.col("doc").alias("leak_doc")).distinct()
+    bad = materialize(bad, "leaking-docs")
+    if bad.count() <= BROADCAST_LEAKS:
+        bad = F.broadcast(bad)
     same = F.col(f"d.{id_col}").eqNullSafe(F.col("leak_id")) & (text == F.col("leak_doc"))
     return docs.alias("d").join(bad, same, "left_anti")

@@ -89,6 +89,20 @@ def test_substituted_recased_and_clean(spark):
     assert [r["doc_id"] for r in dc.drop_leaked(docs, found).orderBy("doc_id").collect()] == [3, 4]
 
 
+def test_leaks_beyond_the_broadcast_size_are_joined_by_a_shuffle(spark, monkeypatch, odd_documents):
+    leaks = spark.createDataFrame([(3, "one two three"), (None, "one two three"), (4, "other")], "doc_id long, text string")
+    leaks = leaks.selectExpr("doc_id", "md5(text) AS doc", "1L AS item_id")
+    left = {}
+    for most in (dc.BROADCAST_LEAKS, 2):
+        monkeypatch.setattr(dc, "BROADCAST_LEAKS", most)
+        kept = dc.drop_leaked(odd_documents, leaks)
+        left[most] = sorted(map(repr, kept.collect()))
+        hinted = "strategy=broadcast" in kept._jdf.queryExecution().optimizedPlan().toString()
+        assert hinted == (most > 2)
+    first, second = left.values()
+    assert first == second and len(first) == 7
+
+
 def test_filter_size_does_not_matter(spark, sf_dir, documents):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     assert leaked(dc.find_leaks(documents, benchmark, filter_size=1 << 14)) == leaked(dc.find_leaks(documents, benchmark))
