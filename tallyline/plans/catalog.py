@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import keys, time
 from tallyline.operators import counters, enrich, minute, overlap, parse, route
 from tallyline.plans import inputs, reports
-from tallyline.session import materialize, scratch_dir
+from tallyline.session import folder_bytes, matching, materialize, materialize_at, scratch_dir
 from tallyline.sources import lookup, messages, points, store
 from tallyline.streaming import late, state, stock, web
 
@@ -466,11 +466,28 @@ def stream_overlap_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.variants_overlap(saved)
 
 
-def _message_files(spark: SparkSession, rows: DataFrame, part: Column, root: str, order: list[int]) -> None:
-    """One file of messages for each entry of ``order``, in this order of age."""
-    stored = materialize(rows.withColumn("part", part), "stream-input")
+# Bytes of a file of messages at most, about, so that no task writes or reads a whole delivery.
+MESSAGE_FILE_BYTES = 128 << 20
+
+
+def _message_parts(rows: DataFrame, part: Column) -> tuple[DataFrame, int]:
+    """The messages, stored by the deliveries they come with, and the number of files that each delivery is made in."""
+    stored, path = materialize_at(rows.withColumn("part", part), "stream-input", "part")
+    largest = max((folder_bytes(rows.sparkSession, folder) for folder in matching(rows.sparkSession, f"{path}/part=*")), default=0)
+    return stored, max(1, -(-largest // MESSAGE_FILE_BYTES))
+
+
+def _message_files(stored: DataFrame, files: int, root: str, order: list[int]) -> None:
+    """``files`` files of messages for each entry of ``order``, in this order of age: a stream that takes so many at once takes a delivery.
+
+    Files without rows make up the number for a delivery that is stored in fewer pieces.
+    """
+    spark = stored.sparkSession
     for number in order:
-        stored.where(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(root)
+        before = len(matching(spark, f"{root}/part-*"))
+        stored.where(F.col("part") == number).drop("part").coalesce(files).write.mode("append").parquet(root)
+        for _ in range(before + files - len(matching(spark, f"{root}/part-*"))):
+            spark.createDataFrame([], stored.drop("part").schema).write.mode("append").parquet(root)
 
 
 @query
@@ -480,9 +497,10 @@ def stream_counters_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = store.PartialStore(spark, f"{root}/store", state.STATE_FAMILIES)
     state.use_state_store(spark)
     lines = inputs.table(spark, sf_dir, "lineitem").select("l_linenumber", inputs.cdc_message().alias("value"))
+    stored, files = _message_parts(lines, F.col("l_linenumber") % 3)
     for order in ([0, 1], [2]):
-        _message_files(spark, lines, F.col("l_linenumber") % 3, f"{root}/in", order)
-        changes = messages.stream_table(spark, f"{root}/in", max_files=1)
+        _message_files(stored, files, f"{root}/in", order)
+        changes = messages.stream_table(spark, f"{root}/in", max_files=files)
         state.start_counter_stream(
             changes, kept, _lookup(spark, sf_dir), f"{root}/checkpoint", trigger=AVAILABLE_NOW
         ).awaitTermination()
@@ -494,13 +512,15 @@ def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship over a bus that delivers every message twice, the second time up to two minutes after."""
     root = scratch_dir(spark, "redelivery-stream")
     totals = store.PartialStore(spark, f"{root}/store", store.STOCK_FAMILIES)
+    state.use_state_store(spark)
     part = F.col("l_orderkey") % 3
     published = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=part.cast("int"), secs=F.col("l_linenumber"))
     sent = inputs.table(spark, sf_dir, "lineitem").select(
         F.sha2(F.to_json(F.struct("*")), 256).alias("message_id"), published.alias("published_at"), "l_orderkey", inputs.cdc_message().alias("value")
     )
-    _message_files(spark, sent, part, f"{root}/in", [0, 1, 0, 2, 1, 2])
-    stream = messages.stream_table(spark, f"{root}/in", max_files=1)
+    stored, files = _message_parts(sent, part)
+    _message_files(stored, files, f"{root}/in", [0, 1, 0, 2, 1, 2])
+    stream = messages.stream_table(spark, f"{root}/in", max_files=files)
     once = messages.drop_redelivered(stream, "message_id", "published_at", "10 minutes").select("value")
     branches = lookup.RefreshingLookup(lambda: _branches(spark, sf_dir))
     stock.start_stock_stream(once, totals, branches, f"{root}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
@@ -514,8 +534,9 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = store.PartialStore(spark, f"{root}/store", late.LATE_FAMILIES)
     events = inputs.table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("timestamp"))
     part = F.when(F.col("event_id") % 10 == 3, 2).when(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"), 0).otherwise(1)
-    _message_files(spark, events, part, f"{root}/in", [0, 1, 2])
-    stream = messages.stream_table(spark, f"{root}/in", max_files=1)
+    stored, files = _message_parts(events, part)
+    _message_files(stored, files, f"{root}/in", [0, 1, 2])
+    stream = messages.stream_table(spark, f"{root}/in", max_files=files)
     late.start_late_stream(stream, saved, f"{root}/checkpoint", timedelta(hours=1), trigger=AVAILABLE_NOW).awaitTermination()
     return late.visits_on_time_and_late(saved)
 

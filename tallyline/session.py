@@ -6,6 +6,7 @@ import gc
 import time
 import uuid
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,16 +33,34 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     return materialize_at(rows, name)[0]
 
 
-def materialize_at(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """As ``materialize``, with the folder, to be removed when what was made from the rows is written itself."""
+def materialize_at(rows: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, to be removed when what was made from the rows is written itself; ``by`` are its last columns, which part it."""
     path = scratch_dir(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.partitionBy(*by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
+def _located(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """A folder or pattern, and its file system."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _located(spark, path)
+    files.delete(folder, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders of a pattern."""
+    located, files = _located(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(located) or []]
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder."""
+    folder, files = _located(spark, path)
+    return files.getContentSummary(folder).getLength()
 
 
 def release(spark: SparkSession) -> None:

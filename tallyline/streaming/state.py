@@ -15,10 +15,11 @@ from tallyline.operators.route import by_company
 from tallyline.sources.lookup import Lookup
 from tallyline.sources.store import Family, PartialStore
 
-# Totals live on the executors' disks and only changes are written to the checkpoint.
+# Totals live on the executors' disks and only changes are written to the checkpoint. All stores of an executor share one bounded piece of memory.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import minute, overlap
 from tallyline.operators.counters import stock_movement
 from tallyline.operators.parse import accepted, parse_cdc
-from tallyline.plans import reports
+from tallyline.plans import catalog, inputs, reports
 from tallyline.session import scratch_dir
 from tallyline.sources import messages, points
 from tallyline.sources.lookup import Lookup
@@ -100,6 +100,40 @@ def test_redelivery_state_is_bounded(spark, tmp_path):
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 20
 
 
+def test_a_delivery_is_one_batch_of_many_files(spark, monkeypatch):
+    """Also a delivery that is stored in fewer pieces than the largest, and one without messages."""
+    sent = spark.range(0, 20_000, numPartitions=8).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), "id")
+    sent = sent.toDF("message_id", "number")
+    part = F.when(F.col("number") < 5, 1).otherwise(0)
+    monkeypatch.setattr(catalog, "MESSAGE_FILE_BYTES", 200_000)
+    stored, files = catalog._message_parts(sent, part)
+    root = scratch_dir(spark, "test-deliveries")
+    catalog._message_files(stored, files, root, [0, 1, 2, 0])
+    made = spark.read.parquet(root).groupBy(F.input_file_name().alias("file")).count().collect()
+    assert files >= 4 and len(made) == 2 * files + 1
+    assert max(row["count"] for row in made) < 19_995 / 2
+    batches = []
+    stream = messages.stream_table(spark, root, max_files=files).writeStream.trigger(**NOW)
+    stream = stream.foreachBatch(lambda rows, _: batches.append((rows.count(), rows.agg(F.sum("number")).first()[0])))
+    stream.option("checkpointLocation", scratch_dir(spark, "test-deliveries")).start().awaitTermination()
+    most = (19_995, sum(range(5, 20_000)))
+    assert batches == [most, (5, 10), (0, None), most]
+
+
+@pytest.mark.parametrize("name", ["stream_counters_stateful", "stream_redelivered", "stream_late_rows"])
+def test_large_deliveries_are_not_written_by_one_task(spark, sf_dir, monkeypatch, name):
+    """With tables and files of small pieces, the results are those of whole deliveries."""
+    want = rows(catalog.QUERIES[name](spark, sf_dir))
+    table = inputs.table
+    monkeypatch.setattr(inputs, "table", lambda *given: table(*given).repartition(8))
+    monkeypatch.setattr(catalog, "MESSAGE_FILE_BYTES", 10_000)
+    made = []
+    stream_table = messages.stream_table
+    monkeypatch.setattr(messages, "stream_table", lambda spark, path, max_files: made.append(max_files) or stream_table(spark, path, max_files))
+    assert rows(catalog.QUERIES[name](spark, sf_dir)) == want
+    assert min(made) > 1
+
+
 @pytest.mark.parametrize("replayed", [False, True])
 def test_late_rows_are_told_apart(spark, replayed):
     store = PartialStore(spark, scratch_dir(spark, "test-late"), late.LATE_FAMILIES)
