@@ -39,6 +39,14 @@ def utc_instant(ts: Column | str) -> Column:
     return F.concat(_column(ts).cast("string"), F.lit("Z")).cast("timestamp")
 
 
+def utc_millis(ts: Column | str) -> Column:
+    """``unix_millis`` of the instant of a naive UTC time, from its fields and without a text in between."""
+    ts = _column(ts)
+    days = F.unix_date(ts.cast("date")).cast("bigint")
+    millis = F.floor(F.date_part(F.lit("SECOND"), ts) * 1000).cast("bigint")
+    return ((days * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60_000 + millis
+
+
 def at(moment: datetime) -> Column:
     """A naive UTC datetime as a literal that is independent of the driver's own time zone."""
     return F.lit(moment.isoformat(sep=" ")).cast(NTZ)

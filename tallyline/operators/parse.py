@@ -34,19 +34,28 @@ def _once(messages: DataFrame, parsed: Column) -> DataFrame:
     return messages.select("value", F.explode(F.array(parsed)).alias("m"))
 
 
-def parse_cdc(messages: DataFrame) -> DataFrame:
+def _has_unknown(names: str) -> Column:
+    """Whether any top-level field of a change message is none of the known ones.
+
+    As many names as known ones among them leave no room for another. Only other messages (a repeated name is no unknown one) are compared name by name.
+    """
+    known = sum(F.array_contains(names, name).cast("int") for name in CDC_FIELDS)
+    return (F.size(names) != known) & (F.size(F.array_except(names, F.lit(CDC_FIELDS))) > 0)
+
+
+def parse_cdc(messages: DataFrame, kept: bool = False) -> DataFrame:
     """Change messages in ``value`` to movements ``branch, company, sku, value`` with ``ts_ms``.
 
     All of create, update, snapshot and delete count alike: only the row image in ``after`` is read. An empty
     message parses to nothing, and any other unreadable one keeps its text in ``_malformed``.
+
+    ``kept`` is for rows that are kept before anything filters them: no filter can repeat the parse, which then needs no generator.
     """
-    parsed = _once(
-        messages,
-        F.struct(
-            F.from_json("value", CDC_SCHEMA, JSON_OPTIONS).alias("body"),
-            F.json_object_keys("value").alias("fields"),
-        ),
+    both = F.struct(
+        F.from_json("value", CDC_SCHEMA, JSON_OPTIONS).alias("body"),
+        F.json_object_keys("value").alias("fields"),
     )
+    parsed = messages.select("value", both.alias("m")) if kept else _once(messages, both)
     body, after = F.col("m.body"), F.col("m.body.after")
     fraction = body["ts_ms"].try_cast("decimal(38,6)")
     ts_ms = F.coalesce(body["ts_ms"].try_cast("bigint"), fraction.try_cast("bigint"))
@@ -54,7 +63,7 @@ def parse_cdc(messages: DataFrame) -> DataFrame:
     whole = after["value"].rlike("^[+-]?[0-9]+$") & after["value"].try_cast("bigint").isNotNull()
     reason = (
         F.when(body.isNull() | body["_malformed"].isNotNull() | F.col("m.fields").isNull(), MALFORMED)
-        .when(F.size(F.array_except("m.fields", F.lit(CDC_FIELDS))) > 0, UNKNOWN_FIELD)
+        .when(_has_unknown("m.fields"), UNKNOWN_FIELD)
         .when((body["ts_ms"] != "") & ts_ms.isNull(), MALFORMED)
         .when(~F.coalesce(present, F.lit(False)), MISSING_FIELD)
         .when(~F.coalesce(whole, F.lit(False)), BAD_VALUE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.time import utc_instant
+from tallyline.functions.time import utc_millis
 from tallyline.operators.overlap import memberships
 from tallyline.sources.lookup import scan_lookup
 from tallyline.sources.messages import stream_table
@@ -48,7 +48,7 @@ def cdc_message(**extra: Column) -> Column:
         "after": after,
         "source": F.struct(F.lit("stock").alias("table"), F.col("l_orderkey").alias("row")),
         "op": _operation(),
-        "ts_ms": F.unix_millis(utc_instant("l_shipdate")),
+        "ts_ms": utc_millis("l_shipdate"),
         **extra,
     }
     return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))

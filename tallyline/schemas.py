@@ -5,12 +5,12 @@ from __future__ import annotations
 # The top-level fields a change message may have.
 CDC_FIELDS = ["before", "after", "source", "op", "ts_ms", "transaction"]
 
-# `before` and `transaction` accept any JSON value and are never read, so they are not materialised.
+# `before`, `op` and `transaction` accept any JSON value and are never read, so they are not materialised.
 # `after` names only the three fields that are used; the rest of the row image is skipped by the parser.
 # `ts_ms` is text because a quoted number is as good as a plain one.
 CDC_SCHEMA = (
     "after STRUCT<branch_id_no: STRING, sku_no: STRING, value: STRING>, "
-    "source STRUCT<>, op STRING, ts_ms STRING, _malformed STRING"
+    "source STRUCT<>, ts_ms STRING, _malformed STRING"
 )
 
 WEB_SCHEMA = "uid STRING, experiment_id STRING, variant STRING, timestamp STRING, _malformed STRING"

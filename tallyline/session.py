@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +70,21 @@ def release(spark: SparkSession) -> None:
     remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
+@contextmanager
+def uncompressed_cache(spark: SparkSession) -> Iterator[None]:
+    """What is persisted in the meantime is kept as it is: looking for the best encoding of a column costs more than a few reads of it save.
+
+    The setting counts at the call of ``persist``, when the rows are planned, and not when they are made.
+    """
+    setting = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def drop_shuffles(spark: SparkSession) -> None:
     """Free the disk of shuffles whose DataFrames are not referred to any more.
 

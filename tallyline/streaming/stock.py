@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyline.operators.counters import stock_movement
 from tallyline.operators.enrich import branch_misses
 from tallyline.operators.parse import accepted, only_rejected_text, parse_cdc, reject_counts, rejected
+from tallyline.session import uncompressed_cache
 from tallyline.sources.lookup import RefreshingLookup
 from tallyline.sources.store import PartialStore
 
@@ -36,7 +37,8 @@ def stock_batch(
         if batch_id and batch_id % compact_every == 0:
             store.compact(run, batch_id, full=batch_id % FULL_EVERY == 0)
         branches = lookup.get()
-        parsed = only_rejected_text(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+        with uncompressed_cache(parsed.sparkSession):
+            parsed = only_rejected_text(parsed).drop("ts_ms").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             movements = accepted(parsed)
             store.keep_rejected(rejected(parsed), run, batch_id, dead_letters)
@@ -63,7 +65,7 @@ def start_stock_stream(
     ``run`` has to change with the checkpoint, because a new checkpoint numbers its batches from 0 again.
     The counts of read and unusable messages of each batch are in the query's progress.
     """
-    parsed = parse_cdc(messages).observe(
+    parsed = parse_cdc(messages, kept=True).observe(
         "messages", F.count(F.lit(1)).alias("read"), F.count("reason").alias("unusable")
     )
     return (

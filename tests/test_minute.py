@@ -15,6 +15,7 @@ from tallyline.functions.time import (
     newest_first,
     trailing_minutes,
     utc_instant,
+    utc_millis,
     within_trailing,
 )
 from tallyline.operators import minute
@@ -73,6 +74,22 @@ def test_floor_and_key_outside_utc(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_millis_are_those_of_the_instant(spark, zone):
+    """Skipped and repeated hours, before the epoch, parts of a millisecond, far years and no time."""
+    times = ["2024-03-10 02:30:05.1239", "2024-11-03 01:59:59.999999", "1969-12-31 23:59:59.9995", "1883-11-18 12:00:01.000001",
+             "1582-10-10 00:00:00", "0001-01-01 00:00:00.0001", "9999-12-31 23:59:59.999999", "2024-02-29 00:00:00", None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in times], "t STRING").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        made = frame.select(utc_millis("t"), F.unix_millis(utc_instant("t"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r[0] for r in made] == [r[1] for r in made]
+    assert made[2][0] == -1 and made[-1][0] is None
+
+
 @pytest.mark.parametrize("minutes", [0, 1, 3])
 def test_trailing_report_in_one_pass(spark, minutes):
     seen = [(datetime(2024, 1, 1, 0, 5), 4), (datetime(2024, 1, 1, 0, 3), 2), (datetime(2024, 1, 1, 0, 1), 9), (None, 7)]

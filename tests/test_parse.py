@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.operators.parse import accepted, parse_cdc, parse_web, reject_counts, rejected
@@ -100,6 +101,31 @@ def test_cdc_messages(spark, kind):
             assert row["reason"] == expected, name
 
 
+def test_parse_for_kept_rows_has_no_generator(spark):
+    """The same rows, by one parse in generated code."""
+    messages = frame(spark, [text for cases in (GOOD, BAD) for text, _ in cases.values()]).coalesce(1)
+    kept = parse_cdc(messages, kept=True)
+    assert kept.collect() == parse_cdc(messages).collect()
+    text = kept.observe("messages", F.count("reason").alias("unusable"))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and text.count("from_json") == 1
+
+
+def test_repeated_fields_are_known_and_others_not(spark):
+    """As many fields as there are known ones, and more."""
+    end = '"after":{%s,"value":5}}' % ROW
+    texts = {
+        '{"op":1,"op":2,"op":3,"op":4,"op":5,"op":6,' + end: None,
+        '{"op":1,"op":2,"x":3,' + end: "unknown_field",
+        '{"before":1,"op":2,"ts_ms":3,"transaction":4,"source":{},"x":5,' + end: "unknown_field",
+        '{"Op":1,' + end: "unknown_field",
+        '{"op":{"x":[1,{"y":2}]},' + end: None,
+        '{"op":"\\x",' + end: "malformed",
+        '{"op":01,' + end: "malformed",
+        '{"op":NaN,' + end: "malformed",
+    }
+    assert {r["message"]: r["reason"] for r in parse_cdc(frame(spark, texts)).collect()} == texts
+
+
 def test_sides_are_complete(spark):
     texts = [t for t, _ in GOOD.values()] + [t for t, _ in BAD.values()]
     parsed = parse_cdc(frame(spark, texts))

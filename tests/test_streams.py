@@ -38,6 +38,29 @@ def visit(uid, experiment, variant, moment):
     return json.dumps({"uid": uid, "experiment_id": experiment, "variant": variant, "timestamp": moment})
 
 
+def test_batch_is_kept_as_it_is(spark, tmp_path, monkeypatch):
+    """The batch's rows are not encoded while they are kept, and the session's own setting stays."""
+    setting = "spark.sql.inMemoryColumnarStorage.compressed"
+    seen = []
+    write = PartialStore.write
+
+    def look(self, table, partials, *batch):
+        leaves = partials._jdf.queryExecution().withCachedData().collectLeaves()
+        found = [leaves.apply(i) for i in range(leaves.size())]
+        seen.extend(leaf.cacheBuilder().cachedPlan().conf().useCompression() for leaf in found if leaf.nodeName() == "InMemoryRelation")
+        write(self, table, partials, *batch)
+
+    monkeypatch.setattr(PartialStore, "write", look)
+    before = spark.conf.get(setting)
+    store = PartialStore(spark, str(tmp_path / "store"), STOCK_FAMILIES)
+    branches = RefreshingLookup(lambda: spark.createDataFrame([("b1", "1")], LOOKUP))
+    texts = spark.createDataFrame([(change("b1", "s", 4),), (change("b2", "s", 1),), ("x",)], "value STRING")
+    stock_batch(store, branches, "run")(parse.parse_cdc(texts), 0)
+    assert seen and not any(seen) and spark.conf.get(setting) == before
+    assert rows(store.read("counters")) == [("b1|1|s", 4)]
+    assert rows(store.read("misses")) == [("b2", 1)] and rows(store.read("rejects")) == [("malformed", 1)]
+
+
 def put(folder, name, texts, position=0):
     """A whole file with a time of its own, which is the order the source takes files in."""
     folder.mkdir(exist_ok=True)
