@@ -468,13 +468,21 @@ def stream_overlap_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Bytes of a file of messages at most, about, so that no task writes or reads a whole delivery.
 MESSAGE_FILE_BYTES = 128 << 20
+# Those of a row group, at which files can be parted among tasks.
+MESSAGE_GROUP_BYTES = 8 << 20
 
 
-def _message_parts(rows: DataFrame, part: Column) -> tuple[DataFrame, int]:
-    """The messages, stored by the deliveries they come with, and the number of files that each delivery is made in."""
-    stored, path = materialize_at(rows.withColumn("part", part), "stream-input", "part")
-    largest = max((folder_bytes(rows.sparkSession, folder) for folder in matching(rows.sparkSession, f"{path}/part=*")), default=0)
-    return stored, max(1, -(-largest // MESSAGE_FILE_BYTES))
+def _message_parts(rows: DataFrame, part: Column, share: int = 1) -> tuple[DataFrame, int]:
+    """The messages, stored by the deliveries they come with, and the number of files that each delivery is made in.
+
+    Of rows that take less than the messages made of them, a file has a ``share`` of the bytes. There are no more files than tasks that read a delivery.
+    """
+    spark = rows.sparkSession
+    stored, path = materialize_at(rows.withColumn("part", part), "stream-input", "part", group_bytes=MESSAGE_GROUP_BYTES)
+    folders = matching(spark, f"{path}/part=*")
+    largest = max((folder_bytes(spark, folder) for folder in folders), default=0)
+    pieces = max((spark.read.schema(rows.schema).parquet(folder).rdd.getNumPartitions() for folder in folders), default=0)
+    return stored, max(1, min(pieces, -(-largest * share // MESSAGE_FILE_BYTES)))
 
 
 def _message_files(stored: DataFrame, files: int, root: str, order: list[int]) -> None:
@@ -485,7 +493,8 @@ def _message_files(stored: DataFrame, files: int, root: str, order: list[int]) -
     spark = stored.sparkSession
     for number in order:
         before = len(matching(spark, f"{root}/part-*"))
-        stored.where(F.col("part") == number).drop("part").coalesce(files).write.mode("append").parquet(root)
+        sent = stored.where(F.col("part") == number).drop("part").coalesce(files)
+        sent.write.mode("append").option("parquet.block.size", MESSAGE_GROUP_BYTES).parquet(root)
         for _ in range(before + files - len(matching(spark, f"{root}/part-*"))):
             spark.createDataFrame([], stored.drop("part").schema).write.mode("append").parquet(root)
 
@@ -509,19 +518,19 @@ def stream_counters_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship over a bus that delivers every message twice, the second time up to two minutes after."""
+    """The flagship over a bus that delivers every message twice, the second time up to two minutes after.
+
+    Deliveries are stored as the lines that the stream makes the messages of, which take a fraction of the room.
+    """
     root = scratch_dir(spark, "redelivery-stream")
     totals = store.PartialStore(spark, f"{root}/store", store.STOCK_FAMILIES)
     state.use_state_store(spark)
-    part = F.col("l_orderkey") % 3
-    published = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=part.cast("int"), secs=F.col("l_linenumber"))
-    sent = inputs.table(spark, sf_dir, "lineitem").select(
-        F.sha2(F.to_json(F.struct("*")), 256).alias("message_id"), published.alias("published_at"), "l_orderkey", inputs.cdc_message().alias("value")
-    )
-    stored, files = _message_parts(sent, part)
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    stored, files = _message_parts(lines, F.col("l_orderkey") % 3, share=8)
     _message_files(stored, files, f"{root}/in", [0, 1, 0, 2, 1, 2])
-    stream = messages.stream_table(spark, f"{root}/in", max_files=files)
-    once = messages.drop_redelivered(stream, "message_id", "published_at", "10 minutes").select("value")
+    delivered = messages.stream_table(spark, f"{root}/in", max_files=files)
+    sent = inputs.bus_messages(inputs.spread(delivered, lines, *inputs.LINE))
+    once = messages.drop_redelivered(sent, "message_id", "published_at", "10 minutes").select("value")
     branches = lookup.RefreshingLookup(lambda: _branches(spark, sf_dir))
     stock.start_stock_stream(once, totals, branches, f"{root}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
     return totals.read("counters")

@@ -58,6 +58,14 @@ def cdc_messages(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(cdc_message().alias("value"))
 
 
+def bus_messages(lineitem: DataFrame) -> DataFrame:
+    """Change messages as a bus hands them on: with an id, and the time of publication, which three parts of the orders have in turn."""
+    part = F.col("l_orderkey") % 3
+    published = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=part.cast("int"), secs=F.col("l_linenumber"))
+    message_id = F.sha2(F.to_json(F.struct("*")), 256)
+    return lineitem.select(message_id.alias("message_id"), published.alias("published_at"), cdc_message().alias("value"))
+
+
 def damaged_cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change messages of which six in ten cannot be used, each tenth in another way."""
     kind = F.col("l_orderkey") % 10

@@ -35,10 +35,14 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     return materialize_at(rows, name)[0]
 
 
-def materialize_at(rows: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
-    """As ``materialize``, with the folder, to be removed when what was made from the rows is written itself; ``by`` are its last columns, which part it."""
+def materialize_at(rows: DataFrame, name: str, *by: str, group_bytes: int | None = None) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, to be removed when what was made from the rows is written itself; ``by`` are its last columns, which part it.
+
+    ``group_bytes`` is the size of row groups, if not Parquet's.
+    """
     path = scratch_dir(rows.sparkSession, name)
-    rows.write.partitionBy(*by).parquet(path)
+    writer = rows.write.option("parquet.block.size", group_bytes) if group_bytes else rows.write
+    writer.partitionBy(*by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
@@ -70,19 +74,34 @@ def release(spark: SparkSession) -> None:
     remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def uncompressed_cache(spark: SparkSession) -> Iterator[None]:
     """What is persisted in the meantime is kept as it is: looking for the best encoding of a column costs more than a few reads of it save.
 
     The setting counts at the call of ``persist``, when the rows are planned, and not when they are made.
     """
-    setting = "spark.sql.inMemoryColumnarStorage.compressed"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
+    with _setting(spark, "spark.sql.inMemoryColumnarStorage.compressed", "false"):
+        yield
+
+
+@contextmanager
+def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
+    """A stream that is started in the meantime removes the shuffles of each batch at its end.
+
+    Otherwise Spark removes them when the driver's garbage is collected, so those of all batches may be on disk at once.
+    """
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         yield
-    finally:
-        spark.conf.set(setting, before)
 
 
 def drop_shuffles(spark: SparkSession) -> None:

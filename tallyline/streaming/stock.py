@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyline.operators.counters import stock_movement
 from tallyline.operators.enrich import branch_misses
 from tallyline.operators.parse import accepted, only_rejected_text, parse_cdc, reject_counts, rejected
-from tallyline.session import uncompressed_cache
+from tallyline.session import shuffles_end_with_query, uncompressed_cache
 from tallyline.sources.lookup import RefreshingLookup
 from tallyline.sources.store import PartialStore
 
@@ -63,15 +63,17 @@ def start_stock_stream(
     """Run until stopped, or over what is there with ``trigger={"availableNow": True}``.
 
     ``run`` has to change with the checkpoint, because a new checkpoint numbers its batches from 0 again.
-    The counts of read and unusable messages of each batch are in the query's progress.
+    The counts of read and unusable messages of each batch are in the query's progress. Messages may be shuffled on their way: a batch's
+    shuffles are removed as it ends.
     """
     parsed = parse_cdc(messages, kept=True).observe(
         "messages", F.count(F.lit(1)).alias("read"), F.count("reason").alias("unusable")
     )
-    return (
+    writer = (
         parsed.writeStream.queryName(run)
         .foreachBatch(stock_batch(store, lookup, run, **options))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start()
     )
+    with shuffles_end_with_query(messages.sparkSession):
+        return writer.start()

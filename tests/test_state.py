@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,11 +13,12 @@ from tallyline.operators import minute, overlap
 from tallyline.operators.counters import stock_movement
 from tallyline.operators.parse import accepted, parse_cdc
 from tallyline.plans import catalog, inputs, reports
-from tallyline.session import scratch_dir
+from tallyline.session import folder_bytes, scratch_dir
 from tallyline.sources import messages, points
-from tallyline.sources.lookup import Lookup
-from tallyline.sources.store import WEB_FAMILIES, PartialStore
+from tallyline.sources.lookup import Lookup, RefreshingLookup
+from tallyline.sources.store import STOCK_FAMILIES, WEB_FAMILIES, PartialStore
 from tallyline.streaming import late, state
+from tallyline.streaming.stock import start_stock_stream
 from tallyline.streaming.web import web_batch
 from tests.test_plans import plan
 from tests.test_streams import CHANGES, LOOKUP, NOW, change, put, rows, visit
@@ -120,6 +122,54 @@ def test_a_delivery_is_one_batch_of_many_files(spark, monkeypatch):
     assert batches == [most, (5, 10), (0, None), most]
 
 
+def test_ids_of_any_kind_are_told_apart_and_come_out_as_they_were(spark, tmp_path):
+    ids = ["", "ab", "AB", "aB", "abc", "0", "00", "\x00", "x", "\u00e9", "ab ", "0a1b" * 16, None]
+    for again in range(2):
+        part = [(i, datetime(2024, 1, 1)) for i in (ids if again else ids[::-1])]
+        spark.createDataFrame(part, "id STRING, published TIMESTAMP_NTZ").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    once = messages.drop_redelivered(messages.stream_table(spark, f"{tmp_path}/in", max_files=1), "id", "published", "10 minutes")
+    assert once.schema["id"].dataType.simpleString() == "string"
+    query = once.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(**NOW).start()
+    query.awaitTermination()
+    assert sorted(repr(r["id"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == sorted(map(repr, ids))
+
+
+def _shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in found.mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_redelivery_takes_room_for_packed_ids_and_one_batch(spark, branches):
+    """An id of 64 digits takes less than 64 bytes in state, and no shuffle of a batch is left."""
+    root, size = scratch_dir(spark, "test-room"), 20_000
+    sent = spark.range(size, numPartitions=1).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("published"),
+        F.lit(change("b1", "s", 1)).alias("value"),
+    )
+    for _ in range(3):
+        sent.write.mode("append").parquet(f"{root}/in")
+    once = messages.drop_redelivered(messages.stream_table(spark, f"{root}/in", max_files=1), "id", "published", "10 minutes")
+    store = PartialStore(spark, f"{root}/store", STOCK_FAMILIES)
+    lookup = RefreshingLookup(lambda: branches.rows)
+    before = _shuffle_files(spark)
+    start_stock_stream(once.select("value"), store, lookup, f"{root}/checkpoint", trigger=NOW).awaitTermination()
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert folder_bytes(spark, f"{root}/checkpoint/state") < 60 * size
+    assert rows(store.read("counters")) == [("b1|1|s", size)]
+
+
+def test_deliveries_take_the_room_of_lines(spark, sf_dir, monkeypatch):
+    """Not that of the messages made of them, of which each has an id of 64 digits beside its text."""
+    read, stream_table = [], messages.stream_table
+    monkeypatch.setattr(messages, "stream_table", lambda spark, path, max_files: read.append(path) or stream_table(spark, path, max_files))
+    catalog.QUERIES["stream_redelivered"](spark, sf_dir)
+    assert folder_bytes(spark, read[0]) < 2 * 60 * inputs.table(spark, sf_dir, "lineitem").count()
+
+
 @pytest.mark.parametrize("name", ["stream_counters_stateful", "stream_redelivered", "stream_late_rows"])
 def test_large_deliveries_are_not_written_by_one_task(spark, sf_dir, monkeypatch, name):
     """With tables and files of small pieces, the results are those of whole deliveries."""
