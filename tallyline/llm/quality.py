@@ -4,7 +4,8 @@ Method: repetition coverage. Words are hashed once per batch; rolling hashes giv
 and windows and lines that occurred earlier in the same text are found by sorting (text, hash) pairs in numpy. The
 measures are the characters inside such windows and lines, so that long repeated stretches count by their size.
 
-Only repetition decides beyond the base rule: symbols are counted and reported, but lists, tables and source code have many of them.
+Beyond the base rule repetition decides. Symbols are counted; whether too many of them fail a text is for the rules to say, as lists, tables and
+source code have many too: by default they do not, ``op9_quality_rules`` sets a limit.
 
 Every text is one row of a map: nothing is shuffled, no text meets another one, memory is bounded by one batch piece
 (4 MB of text, or one longer text).
@@ -42,11 +43,13 @@ class RepetitionRules:
     ``window_percent``: word characters inside windows of that many words which occurred earlier in the text.
     ``line_percent``: lines equal to an earlier one, of all lines with a word.
     ``line_char_percent``: characters of such lines, of the characters of all lines with a word.
+    ``symbol_percent``: symbols per hundred words, for text that repeats one mark after every word; None for any number.
     """
 
     window_percent: dict[int, int] = field(default_factory=lambda: {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10})
     line_percent: int = 30
     line_char_percent: int = 20
+    symbol_percent: int | None = None
 
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "line_chars", "dup_line_chars", "n_repeat_words"]
@@ -154,6 +157,8 @@ def quality_rules(
     over = (F.lit(100) * F.col("n_dup_lines") > F.lit(rules.line_percent) * F.col("n_lines")) | (
         F.lit(100) * F.col("dup_line_chars") > F.lit(rules.line_char_percent) * F.col("line_chars")
     )
+    if rules.symbol_percent is not None:
+        over = over | (F.lit(100) * F.col("n_symbols") > F.lit(rules.symbol_percent) * F.col("n_words"))
     for length, percent in rules.window_percent.items():
         over = over | (F.lit(100) * F.col(window_column(length)) > F.lit(percent) * F.col("word_chars"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(BASE_PERCENT) * F.col("n_words"))

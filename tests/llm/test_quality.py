@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallyline.llm import quality
+from tallyline.llm import quality, queries
 from tallyline.llm.tokens import texts_of
 from tests.llm import brute
 
@@ -58,3 +58,13 @@ def test_marks_alone_do_not_reject(spark, name):
     row = quality.quality_rules(docs).first()
     assert 100 * row["n_symbols"] > 10 * row["n_words"] and not row["base_failed"]
     assert row["kept"] and brute.kept(CLEAN[name])
+
+
+def test_the_query_also_judges_marks(spark, tmp_path):
+    """More than 10 symbols per hundred words fail a document, 10 do not."""
+    plain = " ".join(f"word{i}" for i in range(20))
+    texts = {"none": plain, "at the limit": f"{plain} #*", "above": f"{plain} #*$", **CLEAN}
+    spark.createDataFrame(list(texts.items()), "doc_id string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op9_quality_rules"](spark, str(tmp_path)).collect()}
+    assert {name for name, r in rows.items() if r["kept"]} == {"none", "at the limit"}
+    assert not any(r["base_failed"] for r in rows.values())
